@@ -72,11 +72,15 @@ def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "even
     same (key, ad) in ``[t - window_ms, t]``."""
     c = timestamp_counts(log, key, ad, t, exclude_empty)
     bucket = _floor_div(F.col("t"), window_ms)
-    cur = c.withColumn("bucket", bucket).withColumn("cur", F.lit(True))
-    prev = (c.where(F.col("t").isNotNull())
-            .withColumn("bucket", bucket + 1).withColumn("cur", F.lit(False)))
+    # Each timestamp goes to its own bucket (cur) and, as context, to the next
+    # one; one pass (explode), so the aggregated rows are read once.
+    copies = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("cur")),
+                               F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("cur"))))
+    both = (c.select("key", "ad", "t", "m", copies.alias("_c"))
+            .select("key", "ad", "t", "m", "_c.bucket", "_c.cur")
+            .where(F.col("cur") | F.col("t").isNotNull()))
     w = Window.partitionBy("key", "ad", "bucket").orderBy("t").rangeBetween(-window_ms, 0)
-    return (cur.unionByName(prev)
+    return (both
             .withColumn("cnt", F.sum("m").over(w))
             .where(F.col("cur"))
             .select("key", "ad", "t", "m", "cnt"))
@@ -123,14 +127,23 @@ def _cycle_rows_id(log: DataFrame, key: str, ad: str, t: str, dedup: bool,
                    lead_default: int | None, chunk_ms: int) -> DataFrame:
     c = timestamp_counts(log, key, ad, t).where(F.col("t").isNotNull())
     if dedup:
-        c = c.withColumn("m", F.lit(1).cast("bigint"))
+        # 1 for every timestamp; written in terms of the count (see below).
+        c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
     c = _with_id(c).withColumn("chunk", _floor_div(F.col("t"), chunk_ms))
 
     wk = Window.partitionBy(*_ID).orderBy("chunk")
-    summary = (c.groupBy(*_ID, "chunk").agg(F.min("t").alias("cmin"), F.max("t").alias("cmax"))
+    # min/max read the count ``m`` so that Catalyst keeps the per-timestamp
+    # aggregate below them (it folds away an aggregate under min/max of its
+    # keys, which would scan and parse the log a second time); with it, both
+    # branches share one exchange of the aggregated rows.
+    has = F.col("m") > 0
+    summary = (c.groupBy(*_ID, "chunk").agg(F.min(F.when(has, F.col("t"))).alias("cmin"),
+                                             F.max(F.when(has, F.col("t"))).alias("cmax"))
                .select(*_ID, "chunk", F.lag("cmax").over(wk).alias("prev_t"),
                        F.lead("cmin").over(wk).alias("next_t")))
-    rows = c.join(summary, [*_ID, "chunk"], "inner")
+    # LEFT (every row has its chunk): an inner join would infer extra filters on
+    # this side and keep the two branches from sharing their exchange.
+    rows = c.join(summary, [*_ID, "chunk"], "left")
 
     wc = Window.partitionBy(*_ID, "chunk").orderBy("t")
     prev = F.coalesce(F.lag("t").over(wc), F.col("prev_t"), F.lit(0).cast("bigint"))
@@ -167,12 +180,15 @@ def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_t
     """``(key, ad, sum_tag, n)``: events per island (the reference's
     ``group by ad, key, sum_tag``)."""
     rows = _cycle_rows_id(log, key, ad, t, dedup, lead_default, chunk_ms)
-    # Both aggregates below are keyed by (id, chunk, ...): no new exchange of rows.
+    # Keyed by (id, chunk, ...): no new exchange of rows.  The chunk's tag total
+    # is its largest running sum, read from the (small) pieces, so the row
+    # windows run once.
     pieces = rows.groupBy(*_ID, "chunk", "local_sum").agg(F.sum("m").alias("n"))
-    totals = rows.groupBy(*_ID, "chunk").agg(F.sum("tag").alias("tags"))
+    totals = pieces.groupBy(*_ID, "chunk").agg(F.max("local_sum").alias("tags"))
     wk = Window.partitionBy(*_ID).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*_ID, "chunk", F.coalesce(F.sum("tags").over(wk), F.lit(0)).alias("offset"))
-    islands = (pieces.join(offsets, [*_ID, "chunk"], "inner")
+    # LEFT for the same reason as above: every piece has its chunk's offset.
+    islands = (pieces.join(offsets, [*_ID, "chunk"], "left")
                .withColumn("sum_tag", (F.col("offset") + F.col("local_sum")).cast("bigint"))
                .groupBy(*_ID, "sum_tag").agg(F.sum("n").cast("bigint").alias("n")))
     return _from_id(islands)
