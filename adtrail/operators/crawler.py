@@ -43,7 +43,7 @@ def crawler_match(df: DataFrame, patterns: DataFrame, ua_col: str = "client_ua",
                   max_rows: int | None = None) -> DataFrame:
     """Fan-out form: ``df`` + ``crawler_pattern``, one row per matching pattern."""
     pairs = agent_patterns(df, patterns, ua_col, max_rows).withColumnRenamed("pattern", "crawler_pattern")
-    out = join_small(df, pairs, df[ua_col] == pairs["_agent"], "left", max_rows, checkpoint=True)
+    out = join_small(df, pairs, (ua_col, "_agent"), "left", max_rows, stage=True)
     return out.drop("_agent")
 
 
@@ -52,7 +52,7 @@ def crawler_flag(df: DataFrame, patterns: DataFrame, ua_col: str = "client_ua",
     """No fan-out form: ``df`` + ``is_crawler``."""
     hits = (agent_patterns(df, patterns, ua_col, max_rows).select("_agent").distinct()
             .withColumn("is_crawler", F.lit(True)))
-    out = join_small(df, hits, df[ua_col] == hits["_agent"], "left", max_rows, checkpoint=True)
+    out = join_small(df, hits, (ua_col, "_agent"), "left", max_rows, stage=True)
     return out.withColumn("is_crawler", F.coalesce(F.col("is_crawler"), F.lit(False))).drop("_agent")
 
 

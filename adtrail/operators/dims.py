@@ -21,7 +21,7 @@ def dim_ads(ads: DataFrame, products: DataFrame, dt: str | None = None,
     a = _day(ads, dt).select("id", "ad_name", "product_id", "material_id", "material_url", "group_id")
     p = _day(products, dt).select(F.col("id").alias("_pid"), F.col("name").alias("product_name"),
                                   F.col("price").cast("decimal(16,2)").alias("product_price"))
-    j = join_small(a, p, a["product_id"] == p["_pid"], "left", max_rows)
+    j = join_small(a, p, ("product_id", "_pid"), "left", max_rows)
     return j.select(F.col("id").alias("ad_id"), "ad_name", "product_id", "product_name", "product_price",
                     "material_id", "material_url", "group_id")
 

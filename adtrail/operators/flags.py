@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adtrail.fixed import (CYCLE_DEVICE_THRESHOLD, CYCLE_IP_THRESHOLD, FREQUENCY_THRESHOLD,
                            FREQUENCY_WINDOW_MS)
 from adtrail.operators import traffic
-from adtrail.plans.broadcast import join_small
+from adtrail.plans.broadcast import join_small, materialize
 
 
 @dataclass(frozen=True)
@@ -44,24 +44,25 @@ def flag_reasons(sets: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def flagged_keys(sets: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Union of the IP sets and of the device sets (NULL keys never match a join,
-    so they are dropped here)."""
-    ips = (sets["high_frequency_ip"].unionByName(sets["cycle_ip"])
-           .where(F.col("client_ip").isNotNull()).distinct())
-    devices = (sets["high_frequency_device"].unionByName(sets["cycle_device"])
-               .where(F.col("client_device_id").isNotNull()).distinct())
-    return ips, devices
+def flagged_table(sets: dict[str, DataFrame]) -> DataFrame:
+    """``(key_type, key)``: every flagged IP and device once.  NULL keys never
+    match a join, so they are dropped here."""
+    return (flag_reasons(sets).where(F.col("key").isNotNull())
+            .select("key_type", "key").distinct())
 
 
 def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int | None = None) -> DataFrame:
-    """``df`` + ``is_invalid_traffic``.  Two left joins on distinct key sets (no
-    fan-out); each set is materialised in the shared folder, its size checked,
-    and broadcast when within the bound."""
-    ips, devices = flagged_keys(sets)
-    ips = ips.select(F.col("client_ip").alias("_fip"), F.lit(True).alias("_ip_hit"))
-    devices = devices.select(F.col("client_device_id").alias("_fdev"), F.lit(True).alias("_dev_hit"))
-    out = join_small(df, ips, df["client_ip"] == ips["_fip"], "left", max_rows, checkpoint=True)
-    out = join_small(out, devices, out["client_device_id"] == devices["_fdev"], "left", max_rows, checkpoint=True)
+    """``df`` + ``is_invalid_traffic``.
+
+    The four rule outputs are computed in one job and written once as a small
+    table (lineage cut); the IP and device parts are then size-checked and
+    joined on (broadcast within the bound).  Distinct keys: no fan-out."""
+    flagged = materialize(flagged_table(sets), "flagged_keys")
+    ips = (flagged.where(F.col("key_type") == "client_ip")
+           .select(F.col("key").alias("_fip"), F.lit(True).alias("_ip_hit")))
+    devices = (flagged.where(F.col("key_type") == "client_device_id")
+               .select(F.col("key").alias("_fdev"), F.lit(True).alias("_dev_hit")))
+    out = join_small(df, ips, ("client_ip", "_fip"), "left", max_rows)
+    out = join_small(out, devices, ("client_device_id", "_fdev"), "left", max_rows)
     flag = F.coalesce(F.col("_ip_hit"), F.col("_dev_hit"), F.lit(False))
     return out.withColumn("is_invalid_traffic", flag).drop("_fip", "_ip_hit", "_fdev", "_dev_hit")

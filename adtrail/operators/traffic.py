@@ -31,7 +31,10 @@ Semantics kept exactly (see README):
   with equal timestamps (only possible without dedup) share one island;
 * with duplicates, tied rows are taken in the order ``t, time_diff desc``.
 
-Rows whose ``event_time`` is NULL are left out of the fixed-period rules.
+Rows whose ``event_time`` is NULL (``t`` missing or not a number) take part
+in no rule.  (In the warehouse their place in a window depends on the
+engine's NULL ordering; excluding them is the defined behaviour here, and it
+lets the IP frequency and IP period rules share one aggregate exchange.)
 The direct, reference-shaped forms are kept as ``*_direct`` for tests and
 benchmarks.
 """
@@ -52,7 +55,8 @@ def _floor_div(c: Column, width: int) -> Column:
 
 
 def _source(log: DataFrame, key: str, ad: str, t: str, exclude_empty: bool) -> DataFrame:
-    src = log.select(F.col(key).alias("key"), F.col(ad).alias("ad"), F.col(t).cast("bigint").alias("t"))
+    src = (log.select(F.col(key).alias("key"), F.col(ad).alias("ad"), F.col(t).cast("bigint").alias("t"))
+           .where(F.col("t").isNotNull()))
     if exclude_empty:
         src = src.where(F.col("key") != "")  # also drops NULL keys, like `key != ''`
     return src
@@ -77,8 +81,7 @@ def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "even
     copies = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("cur")),
                                F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("cur"))))
     both = (c.select("key", "ad", "t", "m", copies.alias("_c"))
-            .select("key", "ad", "t", "m", "_c.bucket", "_c.cur")
-            .where(F.col("cur") | F.col("t").isNotNull()))
+            .select("key", "ad", "t", "m", "_c.bucket", "_c.cur"))
     w = Window.partitionBy("key", "ad", "bucket").orderBy("t").rangeBetween(-window_ms, 0)
     return (both
             .withColumn("cnt", F.sum("m").over(w))
@@ -125,7 +128,7 @@ def _from_id(df: DataFrame) -> DataFrame:
 
 def _cycle_rows_id(log: DataFrame, key: str, ad: str, t: str, dedup: bool,
                    lead_default: int | None, chunk_ms: int) -> DataFrame:
-    c = timestamp_counts(log, key, ad, t).where(F.col("t").isNotNull())
+    c = timestamp_counts(log, key, ad, t)
     if dedup:
         # 1 for every timestamp; written in terms of the count (see below).
         c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
@@ -205,9 +208,9 @@ def cycle_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time
 def cycle_islands_direct(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                          dedup: bool = True, lead_default: int | None = 0) -> DataFrame:
     """Reference form: lag / lead / running sum over whole (key, ad) groups."""
-    src = _source(log, key, ad, t, False).where(F.col("t").isNotNull())
+    src = _source(log, key, ad, t, False)
     if dedup:
-        src = src.groupBy("key", "ad", "t").agg()
+        src = src.distinct()
     w = Window.partitionBy("ad", "key").orderBy("t")
     w2 = Window.partitionBy("ad", "key").orderBy(F.col("t"), F.col("time_diff").desc())
     lead = (F.lead("time_diff", 1).over(w2) if lead_default is None

@@ -92,5 +92,5 @@ def distinct_agents(df: DataFrame, ua_col: str = "client_ua") -> DataFrame:
 def attach_ua_struct(df: DataFrame, rules: DataFrame, ua_col: str = "client_ua",
                      max_rows: int | None = None) -> DataFrame:
     parsed = parse_agents(distinct_agents(df, ua_col), rules, "_agent")
-    joined = join_small(df, parsed, df[ua_col] == parsed["_agent"], "left", max_rows, checkpoint=True)
+    joined = join_small(df, parsed, (ua_col, "_agent"), "left", max_rows, stage=True)
     return joined.drop("_agent")

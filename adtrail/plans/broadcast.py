@@ -4,7 +4,7 @@ A side is broadcast only after its row count has been measured and found
 under a bound; beyond the bound the join falls back to a shuffle join (with
 AQE skew-join splitting enabled in the session).  Derived sides (e.g. the
 flagged key sets, which are the product of whole-log shuffles) are first
-written to the shared checkpoint folder, so the count and the join read the
+written as a table in the shared folder, so the count and the join read the
 same materialised rows and lineage is cut (executor loss only re-reads files).
 """
 
@@ -25,18 +25,22 @@ def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (eager)."""
-    from adtrail.session import shared_dir
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared folder and read it
+    back: one job, lineage cut (an eager ``checkpoint()`` would compute the
+    input twice: once for its action, once to write)."""
+    from adtrail.session import fresh_dir
 
-    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is registered
-    return df.checkpoint(eager=True)
+    path = fresh_dir(df.sparkSession, "materialized", name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, max_rows: int | None = None, checkpoint: bool = False) -> tuple[DataFrame, bool]:
+def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False) -> tuple[DataFrame, bool]:
     """Return ``(side, is_broadcast)``: ``broadcast(df)`` when its measured row
-    count is within the bound, else ``df`` unchanged."""
-    side = materialize(df) if checkpoint else df
+    count is within the bound, else ``df`` unchanged.  ``stage`` writes a
+    derived side to the shared folder first (see :func:`materialize`)."""
+    side = materialize(df) if stage else df
     limit = max_broadcast_rows(side, max_rows)
     # count() is one cheap job over a small side; the result decides the plan.
     if side.count() <= limit:
@@ -45,8 +49,13 @@ def bounded(df: DataFrame, max_rows: int | None = None, checkpoint: bool = False
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int | None = None, checkpoint: bool = False) -> DataFrame:
-    side, _ = bounded(small, max_rows, checkpoint)
+               max_rows: int | None = None, stage: bool = False) -> DataFrame:
+    """Join ``small`` onto ``big``.  ``on`` is a column name, a list of names,
+    or a ``(big_col, small_col)`` pair of names for an equi-join."""
+    side, _ = bounded(small, max_rows, stage)
+    if isinstance(on, tuple):
+        left, right = on
+        return big.join(side, big[left] == side[right], how)
     return big.join(side, on, how)
 
 

@@ -21,7 +21,7 @@ from adtrail.operators.crawler import agent_patterns
 from adtrail.operators.flags import RuleParams, attach_invalid_flag, rule_sets
 from adtrail.operators.geo import attach_region
 from adtrail.operators.ua import parse_agents
-from adtrail.plans.broadcast import join_small
+from adtrail.plans.broadcast import join_small, materialize
 from adtrail.schemas import FACT_COLUMNS
 
 
@@ -46,19 +46,27 @@ def agent_info(log: DataFrame, ua_rules: DataFrame, crawler: DataFrame | None,
 
 def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges: DataFrame,
            ua_rules: DataFrame, crawler: DataFrame | None, params: RuleParams = RuleParams(),
-           crawler_mode: str = "fanout", max_rows: int | None = None) -> DataFrame:
-    """Coarse log -> every fact input column joined on (before projection)."""
+           crawler_mode: str = "fanout", max_rows: int | None = None,
+           stage_log: bool = True) -> DataFrame:
+    """Coarse log -> every fact input column joined on (before projection).
+
+    With ``stage_log`` the coarse log is written once as a columnar table in
+    the shared folder (like the warehouse's temporary table): the four rules
+    and the enrichment read pruned columns of it instead of parsing URLs five
+    times, and lineage is cut there."""
+    if stage_log:
+        log = materialize(log, "coarse_log")
     sets = rule_sets(log, params)
     x = attach_region(log, ranges, "client_ip", max_rows=max_rows)
     info = agent_info(log, ua_rules, crawler, crawler_mode, max_rows=max_rows)
-    x = join_small(x, info, x["client_ua"] == info["_agent"], "left", max_rows, checkpoint=True).drop("_agent")
+    x = join_small(x, info, ("client_ua", "_agent"), "left", max_rows, stage=True).drop("_agent")
     x = attach_invalid_flag(x, sets, max_rows)
     ads = ads_dim.select(F.col("ad_id").alias("_ad_id"), "ad_name", "product_id", "product_name",
                          "product_price", "material_id", "material_url", "group_id")
-    x = join_small(x, ads, x["ad_id"] == ads["_ad_id"], "left", max_rows)
+    x = join_small(x, ads, ("ad_id", "_ad_id"), "left", max_rows)
     plat = platform_dim.select(F.col("id").alias("platform_id"), F.col("platform_name_en").alias("_pne"),
                                "platform_name_zh")
-    x = join_small(x, plat, x["platform_name_en"] == plat["_pne"], "left", max_rows)
+    x = join_small(x, plat, ("platform_name_en", "_pne"), "left", max_rows)
     return x
 
 
@@ -102,9 +110,10 @@ def project_fact(x: DataFrame, keep_dt: bool = True) -> DataFrame:
 def build_event_fact(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges: DataFrame,
                      ua_rules: DataFrame, crawler: DataFrame | None, params: RuleParams = RuleParams(),
                      crawler_mode: str = "fanout", keep_dt: bool = True,
-                     max_rows: int | None = None) -> DataFrame:
+                     max_rows: int | None = None, stage_log: bool = True) -> DataFrame:
     """The 25-column fact from the coarse (parsed) log.  ``crawler_mode``:
     ``fanout`` (one row per matching crawler pattern, the warehouse behaviour)
     or ``flag`` (no fan-out; ``is_crawler`` is dropped from the projection)."""
-    x = enrich(log, ads_dim, platform_dim, ranges, ua_rules, crawler, params, crawler_mode, max_rows)
+    x = enrich(log, ads_dim, platform_dim, ranges, ua_rules, crawler, params, crawler_mode, max_rows,
+               stage_log)
     return project_fact(x, keep_dt)
