@@ -52,6 +52,27 @@ def naive_queries():
     }
 
 
+def skew_profile(spark, sf):
+    """Largest single sort group when one IP carries a third of all events
+    (``event_time % 3 = 0`` is re-keyed to one address): the direct window
+    forms sort a whole (key, ad) group in one task; the bounded forms sort at
+    most one bucket (+ its context copy) or one chunk of distinct timestamps."""
+    log = R.coarse_log(spark, sf).withColumn(
+        "client_ip", F.when(F.col("event_time") % 3 == 0, F.lit("10.0.0.1")).otherwise(F.col("client_ip")))
+    direct = log.groupBy("client_ip", "ad_id").count().agg(F.max("count")).first()[0]
+    counts = traffic.timestamp_counts(log, "client_ip")
+    w = 300_000
+    b = F.floor(F.col("t") / w)
+    freq = (counts.select("key", "ad", F.explode(F.array(b, b + 1)).alias("b"))
+            .groupBy("key", "ad", "b").count().agg(F.max("count")).first()[0])
+    chunk = (counts.groupBy("key", "ad", F.floor(F.col("t") / traffic.DEFAULT_CHUNK_MS))
+             .count().agg(F.max("count")).first()[0])
+    total = log.count()
+    return {"rows": total, "hot_key_rows": log.where(F.col("client_ip") == "10.0.0.1").count(),
+            "direct_window_max_group": direct, "bounded_frequency_max_group": freq,
+            "bounded_cycle_max_group": chunk}
+
+
 HEADLINE = ["fact_enriched", "parse_log", "high_frequency_ip", "high_frequency_device", "cycle_ip",
             "cycle_device", "invalid_flag", "ip_geo", "parse_ua", "crawler_match", "dim_ads",
             "upsert_replace"]
@@ -76,7 +97,7 @@ def main():
     total = round(sum(times[k] for k in HEADLINE), 3)
     sf_label = os.path.basename(sf.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times,
-                      "sf": sf_label}))
+                      "sf": sf_label, "skew": skew_profile(spark, sf)}))
 
 
 if __name__ == "__main__":
