@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,11 @@ from adtrail.operators import traffic
 from adtrail.plans.broadcast import join_small, materialize
 
 
+# Whole inputs up to this many rows may use the direct window plans (see
+# ``choose_strategy``); a session can override it.
+DEFAULT_DIRECT_MAX_ROWS = 5_000_000
+
+
 @dataclass(frozen=True)
 class RuleParams:
     frequency_window_ms: int = FREQUENCY_WINDOW_MS
@@ -20,10 +25,39 @@ class RuleParams:
     cycle_ip_threshold: int = CYCLE_IP_THRESHOLD
     cycle_device_threshold: int = CYCLE_DEVICE_THRESHOLD
     chunk_ms: int = traffic.DEFAULT_CHUNK_MS
+    # "bounded": task sizes independent of key skew; "direct": one window per
+    # (key, ad) group.  Both exact.
+    strategy: str = "bounded"
+
+
+def choose_strategy(staged_log: DataFrame, params: RuleParams) -> RuleParams:
+    """Pick the direct plans only under a proven bound: when the whole
+    (staged) input has at most ``adtrail.rules.directMaxRows`` rows, no
+    (key, ad) group can be larger, so one window per group is a bounded task
+    and the cheaper plan.  Otherwise keep the skew-bounded plans.  The count
+    reads parquet footers of the staged table only."""
+    if params.strategy != "auto":
+        return params
+    conf = staged_log.sparkSession.conf.get("adtrail.rules.directMaxRows", None)
+    limit = int(conf) if conf else DEFAULT_DIRECT_MAX_ROWS
+    strategy = "direct" if staged_log.count() <= limit else "bounded"
+    return replace(params, strategy=strategy)
 
 
 def rule_sets(log: DataFrame, p: RuleParams = RuleParams()) -> dict[str, DataFrame]:
     """The four distinct key sets, computed from the coarse log."""
+    if p.strategy == "direct":
+        def cycle(key, threshold, dedup, lead):
+            isl = traffic.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
+            return isl.where(F.col("n") > threshold).select(F.col("key").alias(key)).distinct()
+        w, th = p.frequency_window_ms, p.frequency_threshold
+        return {
+            "high_frequency_ip": traffic.high_frequency_keys_direct(log, "client_ip", window_ms=w, threshold=th),
+            "high_frequency_device": traffic.high_frequency_keys_direct(log, "client_device_id", window_ms=w,
+                                                                        threshold=th, exclude_empty=True),
+            "cycle_ip": cycle("client_ip", p.cycle_ip_threshold, True, 0),
+            "cycle_device": cycle("client_device_id", p.cycle_device_threshold, False, None),
+        }
     return {
         "high_frequency_ip": traffic.high_frequency_ip(log, p.frequency_window_ms, p.frequency_threshold),
         "high_frequency_device": traffic.high_frequency_device(log, p.frequency_window_ms, p.frequency_threshold),

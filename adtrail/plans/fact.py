@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.operators.crawler import agent_patterns
-from adtrail.operators.flags import RuleParams, attach_invalid_flag, rule_sets
+from adtrail.operators.flags import RuleParams, attach_invalid_flag, choose_strategy, rule_sets
 from adtrail.operators.geo import attach_region
 from adtrail.operators.ua import parse_agents
 from adtrail.plans.broadcast import join_small, materialize
@@ -56,6 +56,7 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
     times, and lineage is cut there."""
     if stage_log:
         log = materialize(log, "coarse_log")
+        params = choose_strategy(log, params)
     sets = rule_sets(log, params)
     x = attach_region(log, ranges, "client_ip", max_rows=max_rows)
     info = agent_info(log, ua_rules, crawler, crawler_mode, max_rows=max_rows)

@@ -28,10 +28,21 @@ def append_partition(df: DataFrame, root: str, dt: str, fmt: str = "orc", compre
     out.write.mode("append").format(fmt).option("compression", compression).save(f"{root.rstrip('/')}/dt={dt}")
 
 
-def write_partitioned(df: DataFrame, root: str, fmt: str = "orc", compression: str = "snappy") -> None:
-    """Replace the days present in ``df`` (dynamic partition overwrite).
-    Rows are clustered by ``dt`` first so each task writes few files."""
-    (df.repartition("dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _by_day(df: DataFrame, files_per_day: int | None) -> DataFrame:
+    """Cluster rows by ``dt`` into ``files_per_day`` groups per day (a
+    deterministic hash of the row picks the group), so a day is written by
+    that many tasks rather than one, and each task writes one day.  ``None``
+    keeps the current partitioning (each task writes the days it holds)."""
+    if not files_per_day:
+        return df
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
+    return df.repartition(F.col("dt"), salt)
+
+
+def write_partitioned(df: DataFrame, root: str, fmt: str = "orc", compression: str = "snappy",
+                      files_per_day: int | None = None) -> None:
+    """Replace the days present in ``df`` (dynamic partition overwrite)."""
+    (_by_day(df, files_per_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt").format(fmt).option("compression", compression).save(root))
 
 
@@ -42,10 +53,10 @@ def to_text_line(df: DataFrame, delimiter: str, null_as: str = "") -> DataFrame:
 
 
 def write_text_partitions(df: DataFrame, root: str, delimiter: str, null_as: str = "",
-                          compression: str = "gzip") -> None:
+                          compression: str = "gzip", files_per_day: int | None = None) -> None:
     """Delimited text, one directory per ``dt`` (days present are replaced)."""
-    lines = to_text_line(df, delimiter, null_as)
-    (lines.repartition("dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    lines = _by_day(to_text_line(df, delimiter, null_as), files_per_day)
+    (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).partitionBy("dt").text(root))
 
 

@@ -43,7 +43,18 @@ def naive_queries():
     def crawler(spark, sf):
         return crawler_match_naive(R.coarse_log(spark, sf), default_patterns(spark))
 
+    def fact_bounded(spark, sf):
+        from dataclasses import replace
+        from adtrail.plans.fact import build_event_fact
+        from adtrail.operators.crawler import default_patterns as pats
+        from adtrail.operators.ua import default_rules
+        return build_event_fact(R.coarse_log(spark, sf), R.ads_dim(spark, sf), R.platform_dim(spark, sf),
+                                R.ranges_as_library(spark, sf), default_rules(spark), pats(spark),
+                                replace(R.PARAMS, strategy="bounded"))
+
     return {
+        # the fact with the skew-bounded rule plans forced (what runs above the row bound)
+        "fact_enriched_bounded": fact_bounded,
         "high_frequency_ip_naive": hf_ip,
         "cycle_ip_naive": cycle("client_ip", True, 0, R.CYCLE_IP_MIN),
         "cycle_device_naive": cycle("client_device_id", False, None, R.CYCLE_DEVICE_MIN),
