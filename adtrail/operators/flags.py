@@ -44,25 +44,29 @@ def choose_strategy(staged_log: DataFrame, params: RuleParams) -> RuleParams:
     return replace(params, strategy=strategy)
 
 
-def rule_sets(log: DataFrame, p: RuleParams = RuleParams()) -> dict[str, DataFrame]:
-    """The four distinct key sets, computed from the coarse log."""
+def rule_sets(log: DataFrame, p: RuleParams = RuleParams(), distinct: bool = True) -> dict[str, DataFrame]:
+    """The four key sets, computed from the coarse log (``distinct=False``
+    leaves duplicates for a caller that de-duplicates their union)."""
+    w, th, d = p.frequency_window_ms, p.frequency_threshold, distinct
     if p.strategy == "direct":
         def cycle(key, threshold, dedup, lead):
             isl = traffic.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
-            return isl.where(F.col("n") > threshold).select(F.col("key").alias(key)).distinct()
-        w, th = p.frequency_window_ms, p.frequency_threshold
+            keys = isl.where(F.col("n") > threshold).select(F.col("key").alias(key))
+            return keys.distinct() if d else keys
         return {
-            "high_frequency_ip": traffic.high_frequency_keys_direct(log, "client_ip", window_ms=w, threshold=th),
+            "high_frequency_ip": traffic.high_frequency_keys_direct(log, "client_ip", window_ms=w, threshold=th,
+                                                                    distinct=d),
             "high_frequency_device": traffic.high_frequency_keys_direct(log, "client_device_id", window_ms=w,
-                                                                        threshold=th, exclude_empty=True),
+                                                                        threshold=th, exclude_empty=True,
+                                                                        distinct=d),
             "cycle_ip": cycle("client_ip", p.cycle_ip_threshold, True, 0),
             "cycle_device": cycle("client_device_id", p.cycle_device_threshold, False, None),
         }
     return {
-        "high_frequency_ip": traffic.high_frequency_ip(log, p.frequency_window_ms, p.frequency_threshold),
-        "high_frequency_device": traffic.high_frequency_device(log, p.frequency_window_ms, p.frequency_threshold),
-        "cycle_ip": traffic.cycle_ip(log, p.cycle_ip_threshold, chunk_ms=p.chunk_ms),
-        "cycle_device": traffic.cycle_device(log, p.cycle_device_threshold, chunk_ms=p.chunk_ms),
+        "high_frequency_ip": traffic.high_frequency_ip(log, w, th, distinct=d),
+        "high_frequency_device": traffic.high_frequency_device(log, w, th, distinct=d),
+        "cycle_ip": traffic.cycle_ip(log, p.cycle_ip_threshold, chunk_ms=p.chunk_ms, distinct=d),
+        "cycle_device": traffic.cycle_device(log, p.cycle_device_threshold, chunk_ms=p.chunk_ms, distinct=d),
     }
 
 

@@ -89,23 +89,29 @@ def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "even
             .select("key", "ad", "t", "m", "cnt"))
 
 
+def _keys(df: DataFrame, key: str, distinct: bool) -> DataFrame:
+    out = df.select(F.col("key").alias(key))
+    # A caller that de-duplicates a union of rule outputs anyway passes
+    # distinct=False and saves an exchange per rule.
+    return out.distinct() if distinct else out
+
+
 def high_frequency_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                         window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
-                        exclude_empty: bool = False) -> DataFrame:
+                        exclude_empty: bool = False, distinct: bool = True) -> DataFrame:
     """Distinct keys that, for some ad, have more than ``threshold`` events in
     a trailing ``window_ms`` window."""
     fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty)
-    return fc.where(F.col("cnt") > threshold).select(F.col("key").alias(key)).distinct()
+    return _keys(fc.where(F.col("cnt") > threshold), key, distinct)
 
 
 def high_frequency_keys_direct(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                                window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
-                               exclude_empty: bool = False) -> DataFrame:
+                               exclude_empty: bool = False, distinct: bool = True) -> DataFrame:
     """Reference form: one RANGE window per (key, ad) over the raw rows."""
     src = _source(log, key, ad, t, exclude_empty)
     w = Window.partitionBy("key", "ad").orderBy("t").rangeBetween(-window_ms, 0)
-    return (src.withColumn("cnt", F.count(F.lit(1)).over(w))
-            .where(F.col("cnt") > threshold).select(F.col("key").alias(key)).distinct())
+    return _keys(src.withColumn("cnt", F.count(F.lit(1)).over(w)).where(F.col("cnt") > threshold), key, distinct)
 
 
 # ------------------------------------------------------------------ fixed period
@@ -199,10 +205,11 @@ def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_t
 
 def cycle_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                threshold: int = CYCLE_IP_THRESHOLD, dedup: bool = True,
-               lead_default: int | None = 0, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+               lead_default: int | None = 0, chunk_ms: int = DEFAULT_CHUNK_MS,
+               distinct: bool = True) -> DataFrame:
     """Distinct keys with an island of equal gaps larger than ``threshold``."""
     isl = cycle_islands(log, key, ad, t, dedup, lead_default, chunk_ms)
-    return isl.where(F.col("n") > threshold).select(F.col("key").alias(key)).distinct()
+    return _keys(isl.where(F.col("n") > threshold), key, distinct)
 
 
 def cycle_islands_direct(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
@@ -223,14 +230,14 @@ def cycle_islands_direct(log: DataFrame, key: str, ad: str = "ad_id", t: str = "
 
 # ------------------------------------------------------------------ the four rules
 def high_frequency_ip(log: DataFrame, window_ms: int = FREQUENCY_WINDOW_MS,
-                      threshold: int = FREQUENCY_THRESHOLD) -> DataFrame:
-    return high_frequency_keys(log, "client_ip", window_ms=window_ms, threshold=threshold)
+                      threshold: int = FREQUENCY_THRESHOLD, **kw) -> DataFrame:
+    return high_frequency_keys(log, "client_ip", window_ms=window_ms, threshold=threshold, **kw)
 
 
 def high_frequency_device(log: DataFrame, window_ms: int = FREQUENCY_WINDOW_MS,
-                          threshold: int = FREQUENCY_THRESHOLD) -> DataFrame:
+                          threshold: int = FREQUENCY_THRESHOLD, **kw) -> DataFrame:
     return high_frequency_keys(log, "client_device_id", window_ms=window_ms, threshold=threshold,
-                               exclude_empty=True)
+                               exclude_empty=True, **kw)
 
 
 def cycle_ip(log: DataFrame, threshold: int = CYCLE_IP_THRESHOLD, **kw) -> DataFrame:

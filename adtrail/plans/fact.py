@@ -57,7 +57,7 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
     if stage_log:
         log = materialize(log, "coarse_log")
         params = choose_strategy(log, params)
-    sets = rule_sets(log, params)
+    sets = rule_sets(log, params, distinct=False)  # de-duplicated once, in the flagged-key table
     x = attach_region(log, ranges, "client_ip", max_rows=max_rows)
     info = agent_info(log, ua_rules, crawler, crawler_mode, max_rows=max_rows)
     x = join_small(x, info, ("client_ua", "_agent"), "left", max_rows, stage=True).drop("_agent")
