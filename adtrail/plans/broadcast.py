@@ -1,8 +1,8 @@
 """Size-checked broadcast joins.
 
-A side is broadcast only after its row count has been measured and found
-under a bound; beyond the bound the join falls back to a shuffle join (with
-AQE skew-join splitting enabled in the session).  Derived sides (e.g. the
+A side is broadcast only after its row count and byte size have been
+measured and found under a bound; beyond the bound the join falls back to a
+shuffle join (with AQE skew-join splitting enabled in the session).  Derived sides (e.g. the
 flagged key sets, which are the product of whole-log shuffles) are first
 written as a table in the shared folder, so the count and the join read the
 same materialised rows and lineage is cut (executor loss only re-reads files).
@@ -13,27 +13,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on broadcast rows; a session can override it with
-# ``spark.conf.set("adtrail.broadcast.maxRows", ...)``.
+# Default bounds on a broadcast side (rows, and bytes measured as the JSON
+# length of its rows); a session can override them with
+# ``adtrail.broadcast.maxRows`` / ``adtrail.broadcast.maxBytes``.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    v = df.sparkSession.conf.get(key, None)
+    return int(v) if v else default
 
 
 def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
     if override is not None:
         return override
-    v = df.sparkSession.conf.get("adtrail.broadcast.maxRows", None)
-    return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
+    return _conf_int(df, "adtrail.broadcast.maxRows", DEFAULT_MAX_BROADCAST_ROWS)
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` in one job; bytes are the JSON length of each
+    row, a stand-in for its size once built into a hash relation."""
+    row = df.select(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))),
+                               F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["b"])
+
+
+# Staged tables of this process, per application, until released.
+_STAGED: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it
     back: one job, lineage cut (an eager ``checkpoint()`` would compute the
-    input twice: once for its action, once to write)."""
+    input twice: once for its action, once to write).  A job that has written
+    its output releases its staged tables with :func:`release_staged`."""
     from adtrail.session import fresh_dir
 
-    path = fresh_dir(df.sparkSession, "materialized", name)
+    spark = df.sparkSession
+    path = fresh_dir(spark, "materialized", name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark) -> int:
+    """Delete the staged tables of this application (after its output is
+    written; DataFrames reading them are invalid afterwards)."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
 
 
 def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False) -> tuple[DataFrame, bool]:
@@ -42,8 +76,10 @@ def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False) ->
     derived side to the shared folder first (see :func:`materialize`)."""
     side = materialize(df) if stage else df
     limit = max_broadcast_rows(side, max_rows)
-    # count() is one cheap job over a small side; the result decides the plan.
-    if side.count() <= limit:
+    max_bytes = _conf_int(side, "adtrail.broadcast.maxBytes", DEFAULT_MAX_BROADCAST_BYTES)
+    # One cheap job over a small side; the measured size decides the plan.
+    rows, size = measure(side)
+    if rows <= limit and size <= max_bytes:
         return F.broadcast(side), True
     return side, False
 

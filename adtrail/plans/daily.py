@@ -29,6 +29,7 @@ from adtrail.operators.dims import dim_ads, dim_crawler, dim_platform
 from adtrail.operators.flags import RuleParams
 from adtrail.operators.parse import parse_log
 from adtrail.operators.ua import default_rules
+from adtrail.plans.broadcast import release_staged
 from adtrail.plans.fact import build_event_fact
 from adtrail.sinks.partitions import overwrite_partition
 from adtrail.sources.testdata import spread
@@ -137,6 +138,7 @@ def build_dwd(spark: SparkSession, wh: Warehouse, date: str, ranges: DataFrame,
                             ua_rules if ua_rules is not None else default_rules(spark), crawler,
                             params, crawler_mode, keep_dt=False)
     overwrite_partition(fact, wh.dwd("dwd_ads_event_inc"), date)
+    release_staged(spark)  # the day is written: drop the staged intermediate tables
 
 
 def run(spark: SparkSession, layer: str, wh: Warehouse, tables: str = "all", date: str | None = None,

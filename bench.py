@@ -52,9 +52,19 @@ def naive_queries():
                                 R.ranges_as_library(spark, sf), default_rules(spark), pats(spark),
                                 replace(R.PARAMS, strategy="bounded"))
 
+    def bounded(rule, clock):
+        def q(spark, sf):
+            from dataclasses import replace
+            from adtrail.operators.flags import rule_sets
+            return rule_sets(R.coarse_log(spark, sf, clock), replace(R.PARAMS, strategy="bounded"))[rule]
+        return q
+
     return {
-        # the fact with the skew-bounded rule plans forced (what runs above the row bound)
+        # the skew-bounded plans forced (what runs above the row bound)
         "fact_enriched_bounded": fact_bounded,
+        "high_frequency_ip_bounded": bounded("high_frequency_ip", "ms"),
+        "cycle_ip_bounded": bounded("cycle_ip", "day"),
+        "cycle_device_bounded": bounded("cycle_device", "day"),
         "high_frequency_ip_naive": hf_ip,
         "cycle_ip_naive": cycle("client_ip", True, 0, R.CYCLE_IP_MIN),
         "cycle_device_naive": cycle("client_device_id", False, None, R.CYCLE_DEVICE_MIN),

@@ -40,6 +40,8 @@ def test_daily_layers_end_to_end(spark, tmp_path):
     daily.run(spark, "dwd", wh, date=DAY, ranges=ranges, params=R.PARAMS)
     daily.run(spark, "dwd", wh, date=DAY, ranges=ranges, params=R.PARAMS)   # re-run: idempotent
 
+    from adtrail.plans.broadcast import _STAGED
+    assert not _STAGED.get(spark.sparkContext.applicationId)              # staged tables released
     got = spark.read.orc(f"{wh.dwd('dwd_ads_event_inc')}/dt={DAY}")
     # same day computed in memory from the adapter, without the text/ORC round trips
     log = parse_log(R.raw_log(spark, SMOKE).where(F.col("dt") == DAY))
