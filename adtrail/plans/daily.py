@@ -32,8 +32,7 @@ from adtrail.operators.ua import default_rules
 from adtrail.plans.broadcast import release_staged
 from adtrail.plans.fact import build_event_fact
 from adtrail.sinks.partitions import overwrite_partition
-from adtrail.sources.testdata import spread
-from adtrail.sources.text import read_crawler_json, read_delimited_text
+from adtrail.sources.text import read_crawler_json, read_delimited_text, spread
 
 ODS_DELIMITERS = {name: (LOG_FIELD_DELIMITER if name == "ods_ad_log_inc" else ODS_FIELD_DELIMITER)
                   for name in schemas.ODS_TABLES}

@@ -40,10 +40,10 @@ def catalog_tables(tables: DataFrame, database: str, explicit: str | None = None
 
 def catalog_columns(columns: DataFrame, database: str, tables: DataFrame) -> DataFrame:
     """Per table, its columns in ordinal order with source and warehouse types:
-    ``(table_name, columns: array<struct<ordinal_position, column_name, data_type, hive_type>>)``."""
+    ``(table_name, columns: array<struct<ordinal_position, column_name, data_type, target_type>>)``."""
     c = columns.where(F.col("table_schema") == database).join(tables, "table_name", "left_semi")
     item = F.struct(F.col("ordinal_position").cast("int").alias("ordinal_position"),
-                    F.col("column_name"), F.col("data_type"), warehouse_type("data_type").alias("hive_type"))
+                    F.col("column_name"), F.col("data_type"), warehouse_type("data_type").alias("target_type"))
     return c.groupBy("table_name").agg(F.sort_array(F.collect_list(item)).alias("columns"))
 
 

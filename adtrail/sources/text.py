@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the scan gives fewer partitions than
+    the cluster has cores (a gzip text file, a single-row-group file); a scan
+    that already splits is left alone (no extra shuffle)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def split_fields(df: DataFrame, schema: T.StructType, delimiter: str, null_token: str | None = None,
                  value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), _regex_quote(delimiter), -1)
@@ -37,7 +47,7 @@ def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType, de
     if "dt" in raw.columns:
         raw = raw.withColumn("dt", F.col("dt").cast("string"))
     if min_partitions:
-        raw = raw.repartition(min_partitions)
+        raw = spread(raw, min_partitions)
     return split_fields(raw, schema, delimiter, null_token)
 
 

@@ -22,7 +22,7 @@ def test_catalog_tables_all_or_explicit(spark):
 
 def test_catalog_columns_in_ordinal_order_with_types(spark):
     tables, cols = _schema(spark)
-    got = {r["table_name"]: [(c["column_name"], c["hive_type"]) for c in r["columns"]]
+    got = {r["table_name"]: [(c["column_name"], c["target_type"]) for c in r["columns"]]
            for r in catalog_columns(cols, "ad", catalog_tables(tables, "ad")).collect()}
     assert got == {"ads": [("id", "bigint"), ("name", "string"), ("score", "float")],
                    "product": [("id", "bigint"), ("price", "string")]}
