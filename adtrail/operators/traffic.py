@@ -138,13 +138,16 @@ def _cycle_rows_id(log: DataFrame, key: str, ad: str, t: str, dedup: bool,
     if dedup:
         # 1 for every timestamp; written in terms of the count (see below).
         c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
-    c = _with_id(c).withColumn("chunk", _floor_div(F.col("t"), chunk_ms))
+    # One exchange of the aggregated rows by (key, ad, chunk): the chunk
+    # summary is aggregated in place from it, and the summary join and the
+    # row windows below keep its partitioning.
+    c = _with_id(c).withColumn("chunk", _floor_div(F.col("t"), chunk_ms)).repartition(*_ID, "chunk")
 
     wk = Window.partitionBy(*_ID).orderBy("chunk")
     # min/max read the count ``m`` so that Catalyst keeps the per-timestamp
     # aggregate below them (it folds away an aggregate under min/max of its
-    # keys, which would scan and parse the log a second time); with it, both
-    # branches share one exchange of the aggregated rows.
+    # keys, which would scan the log a second time); with it, both branches
+    # share the exchanges of the aggregated rows.
     has = F.col("m") > 0
     summary = (c.groupBy(*_ID, "chunk").agg(F.min(F.when(has, F.col("t"))).alias("cmin"),
                                              F.max(F.when(has, F.col("t"))).alias("cmax"))

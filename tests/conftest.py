@@ -7,13 +7,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from adtrail.session import get_spark
+def spark():
+    from adtrail.session import get_spark, shared_dir
 
-    # Tests have no cluster folder: give the session one of their own.
-    shared = str(tmp_path_factory.mktemp("shared"))
-    s = get_spark("local[4]", 4, app="adtrail-tests", extra={"spark.checkpoint.dir": shared})
-    s.sparkContext.setCheckpointDir(shared)
+    s = get_spark("local[4]", 4, app="adtrail-tests")
+    # The shared folder comes from the session (spark.checkpoint.dir); only
+    # when nothing is configured does shared_dir() create one of its own.
+    shared_dir(s)
     yield s
 
 
