@@ -7,6 +7,8 @@ A missing query key gives NULL, ``k=`` gives ``''``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,20 @@ def url_part(url, part: str) -> Column:
     return F.try_parse_url(_col(url), F.lit(part))
 
 
+def query_value(query, key: str) -> Column:
+    """Value of ``key`` in an already extracted query string, with the same
+    rule as ``parse_url(u, 'QUERY', key)``: first ``(&|^)key=([^&]*)``;
+    NULL when the key is absent (or the query is NULL)."""
+    q = _col(query)
+    pattern = f"(&|^){re.escape(key)}=([^&]*)"
+    return F.when(q.rlike(pattern), F.regexp_extract(q, pattern, 2))
+
+
+def split_element(path, index: int) -> Column:
+    """Element ``index`` of an extracted path split on ``/``; NULL when shorter."""
+    return F.get(F.split(_col(path), "/"), index)
+
+
 def path_element(url, index: int) -> Column:
     """Element ``index`` of the path split on ``/`` (0 is the empty string
     before the leading slash); NULL when the path is shorter."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.fixed import PATH_EVENT_TYPE_INDEX, PATH_PLATFORM_INDEX
-from adtrail.functions.url import absolute_url, decode, path_element, query_param, to_bigint
+from adtrail.functions.url import absolute_url, decode, query_value, split_element, to_bigint, url_part
 
 
 def parse_log(log: DataFrame, uri_col: str = "request_uri", keep: tuple[str, ...] = ("dt",)) -> DataFrame:
@@ -17,18 +17,22 @@ def parse_log(log: DataFrame, uri_col: str = "request_uri", keep: tuple[str, ...
     the row is kept.  Columns named in ``keep`` that exist are passed through.
     """
     url = absolute_url(F.col(uri_col))
+    passthrough = [F.col(c) for c in keep if c in log.columns]
+    # The URL is parsed twice per row (query, path) instead of once per field;
+    # the key values come from the query with parse_url's own key rule.
+    parts = log.select(url_part(url, "QUERY").alias("_q"), url_part(url, "PATH").alias("_p"), *passthrough)
+    q, p = F.col("_q"), F.col("_p")
     cols = [
-        to_bigint(query_param(url, "t")).alias("event_time"),
-        path_element(url, PATH_EVENT_TYPE_INDEX).alias("event_type"),
-        query_param(url, "id").alias("ad_id"),
-        query_param(url, "ip").alias("client_ip"),
-        path_element(url, PATH_PLATFORM_INDEX).alias("platform_name_en"),
-        decode(query_param(url, "ua")).alias("client_ua"),
-        query_param(url, "os_type").alias("client_os_type"),
-        query_param(url, "device_id").alias("client_device_id"),
+        to_bigint(query_value(q, "t")).alias("event_time"),
+        split_element(p, PATH_EVENT_TYPE_INDEX).alias("event_type"),
+        query_value(q, "id").alias("ad_id"),
+        query_value(q, "ip").alias("client_ip"),
+        split_element(p, PATH_PLATFORM_INDEX).alias("platform_name_en"),
+        decode(query_value(q, "ua")).alias("client_ua"),
+        query_value(q, "os_type").alias("client_os_type"),
+        query_value(q, "device_id").alias("client_device_id"),
     ]
-    passthrough = [F.col(c) for c in keep if c in log.columns]
-    return log.select(*cols, *passthrough)
+    return parts.select(*cols, *passthrough)
 
 
 def fine_log(parsed: DataFrame, ranges: DataFrame, rules: DataFrame, **kw) -> DataFrame:
