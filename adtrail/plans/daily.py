@@ -140,6 +140,26 @@ def build_dwd(spark: SparkSession, wh: Warehouse, date: str, ranges: DataFrame,
     release_staged(spark)  # the day is written: drop the staged intermediate tables
 
 
+def register_views(spark: SparkSession, wh: Warehouse) -> list[str]:
+    """Expose every warehouse table that exists as a temporary view, so that
+    reports can be written in SQL (``spark.sql("select ... from dwd_ads_event_inc
+    where dt = '...'")``; the ``dt`` filter prunes partitions)."""
+    names = []
+    for t in schemas.ODS_TABLES:
+        if path_exists(spark, wh.ods(t)):
+            read_ods(spark, wh, t).createOrReplaceTempView(t)
+            names.append(t)
+    for t, root in [(t, wh.dim(t)) for t in DIM_TABLES] + [("dim_crawler_user_agent", wh.dim("dim_crawler_user_agent")),
+                                                           ("dwd_ads_event_inc", wh.dwd("dwd_ads_event_inc"))]:
+        if path_exists(spark, root):
+            df = spark.read.option("basePath", root).orc(root)
+            if "dt" in df.columns:
+                df = df.withColumn("dt", F.col("dt").cast("string"))
+            df.createOrReplaceTempView(t)
+            names.append(t)
+    return names
+
+
 def run(spark: SparkSession, layer: str, wh: Warehouse, tables: str = "all", date: str | None = None,
         **kw) -> None:
     """Run one layer for one business date: ``ods``, ``dim``, ``dwd`` or ``crawler``."""

@@ -53,6 +53,12 @@ def test_daily_layers_end_to_end(spark, tmp_path):
     key = lambda rows: sorted(map(tuple, rows), key=repr)
     assert key(got.collect()) == key(want.collect())
 
+    views = daily.register_views(spark, wh)
+    assert {"ods_ad_log_inc", "dim_ads_info_full", "dim_crawler_user_agent", "dwd_ads_event_inc"} <= set(views)
+    q = spark.sql(f"SELECT count(*) FROM dwd_ads_event_inc WHERE dt = '{DAY}'")
+    assert "PartitionFilters: [isnotnull(dt" in q._jdf.queryExecution().executedPlan().toString()
+    assert q.first()[0] == got.count()
+
 
 def test_missing_origin_is_skipped(spark):
     wh = daily.Warehouse(fresh_dir(spark, "warehouse"))
