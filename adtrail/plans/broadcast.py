@@ -54,14 +54,21 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, "materialized", name)
     df.write.mode("overwrite").parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _STAGED.setdefault(_app_id(spark), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _app_id(spark) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return "default"
+
+
 def release_staged(spark) -> int:
     """Delete the staged tables of this application (after its output is
     written; DataFrames reading them are invalid afterwards)."""
-    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    paths = _STAGED.pop(_app_id(spark), [])
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:

@@ -48,11 +48,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext on the client
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="adtrail-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:
+            pass
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

@@ -16,10 +16,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition only when the scan gives fewer partitions than
     the cluster has cores (a gzip text file, a single-row-group file); a scan
     that already splits is left alone (no extra shuffle)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def split_fields(df: DataFrame, schema: T.StructType, delimiter: str, null_token: str | None = None,
