@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adtrail.fixed import (CYCLE_DEVICE_THRESHOLD, CYCLE_IP_THRESHOLD, FREQUENCY_THRESHOLD,
                            FREQUENCY_WINDOW_MS)
 from adtrail.operators import traffic
-from adtrail.plans.broadcast import join_small, materialize
+from adtrail.plans.broadcast import join_small, materialize, measure
 
 
 # Whole inputs up to this many rows may use the direct window plans (see
@@ -96,11 +96,12 @@ def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int
     table (lineage cut); the IP and device parts are then size-checked and
     joined on (broadcast within the bound).  Distinct keys: no fan-out."""
     flagged = materialize(flagged_table(sets), "flagged_keys")
+    size = measure(flagged)  # bounds both halves: one job
     ips = (flagged.where(F.col("key_type") == "client_ip")
            .select(F.col("key").alias("_fip"), F.lit(True).alias("_ip_hit")))
     devices = (flagged.where(F.col("key_type") == "client_device_id")
                .select(F.col("key").alias("_fdev"), F.lit(True).alias("_dev_hit")))
-    out = join_small(df, ips, ("client_ip", "_fip"), "left", max_rows)
-    out = join_small(out, devices, ("client_device_id", "_fdev"), "left", max_rows)
+    out = join_small(df, ips, ("client_ip", "_fip"), "left", max_rows, known=size)
+    out = join_small(out, devices, ("client_device_id", "_fdev"), "left", max_rows, known=size)
     flag = F.coalesce(F.col("_ip_hit"), F.col("_dev_hit"), F.lit(False))
     return out.withColumn("is_invalid_traffic", flag).drop("_fip", "_ip_hit", "_fdev", "_dev_hit")

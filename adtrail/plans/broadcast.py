@@ -77,25 +77,29 @@ def release_staged(spark) -> int:
     return len(paths)
 
 
-def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False) -> tuple[DataFrame, bool]:
+def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False,
+            known: tuple[int, int] | None = None) -> tuple[DataFrame, bool]:
     """Return ``(side, is_broadcast)``: ``broadcast(df)`` when its measured row
     count is within the bound, else ``df`` unchanged.  ``stage`` writes a
     derived side to the shared folder first (see :func:`materialize`)."""
     side = materialize(df) if stage else df
     limit = max_broadcast_rows(side, max_rows)
     max_bytes = _conf_int(side, "adtrail.broadcast.maxBytes", DEFAULT_MAX_BROADCAST_BYTES)
-    # One cheap job over a small side; the measured size decides the plan.
-    rows, size = measure(side)
+    # One cheap job over a small side (none when its size is already known);
+    # the measured size decides the plan.
+    rows, size = known or measure(side)
     if rows <= limit and size <= max_bytes:
         return F.broadcast(side), True
     return side, False
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int | None = None, stage: bool = False) -> DataFrame:
+               max_rows: int | None = None, stage: bool = False,
+               known: tuple[int, int] | None = None) -> DataFrame:
     """Join ``small`` onto ``big``.  ``on`` is a column name, a list of names,
-    or a ``(big_col, small_col)`` pair of names for an equi-join."""
-    side, _ = bounded(small, max_rows, stage)
+    or a ``(big_col, small_col)`` pair of names for an equi-join.  ``known``
+    passes an upper bound (rows, bytes) already measured."""
+    side, _ = bounded(small, max_rows, stage, known)
     if isinstance(on, tuple):
         left, right = on
         return big.join(side, big[left] == side[right], how)
