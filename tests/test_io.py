@@ -59,3 +59,20 @@ def test_crawler_json_dim(spark, tmp_path):
     assert dim.columns == ["pattern", "addition_date", "url", "instance"]
     rows = {r["pattern"]: r for r in dim.collect()}
     assert rows["Googlebot"]["instance"] == ["a", "b"] and rows["bot"]["url"] is None
+
+
+def test_salted_day_clustering_writes_same_rows(spark):
+    root = fresh_dir(spark, "t_salted")
+    df = spark.range(0, 400).select((F.col("id") % 7).alias("v"), F.col("id"),
+                                    F.when(F.col("id") % 2 == 0, "2024-01-01").otherwise("2024-01-02").alias("dt"))
+    # AQE would merge these tiny partitions (at scale it merges only small ones)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_partitioned(df, root, files_per_day=3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.orc(root).withColumn("dt", F.col("dt").cast("string"))
+    assert sorted(map(tuple, back.select("v", "id", "dt").collect())) == sorted(map(tuple, df.collect()))
+    day = root + "/dt=2024-01-01"
+    files = [f for f in os.listdir(day) if f.endswith(".orc")]
+    assert 1 < len(files) <= 3          # a day is written by up to files_per_day tasks, not one
