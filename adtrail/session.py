@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,12 +67,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unused sub-folder of the shared folder (one per run)."""
     return shared_dir(spark, *parts, uuid.uuid4().hex)
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
