@@ -101,6 +101,8 @@ def project_fact(x: DataFrame, keep_dt: bool = True) -> DataFrame:
         F.col("client_ua").alias("client_user_agent"),
         F.col("is_invalid_traffic"),
     ]
+    if "is_crawler" in x.columns:          # crawler_mode="flag": one row per event, flag kept
+        cols.append(F.col("is_crawler"))
     if keep_dt and "dt" in x.columns:
         cols.append(F.col("dt"))
     out = x.select(*cols)
@@ -114,7 +116,7 @@ def build_event_fact(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame
                      max_rows: int | None = None, stage_log: bool = True) -> DataFrame:
     """The 25-column fact from the coarse (parsed) log.  ``crawler_mode``:
     ``fanout`` (one row per matching crawler pattern, the warehouse behaviour)
-    or ``flag`` (no fan-out; ``is_crawler`` is dropped from the projection)."""
+    or ``flag`` (no fan-out; an ``is_crawler`` column follows the 25 columns)."""
     x = enrich(log, ads_dim, platform_dim, ranges, ua_rules, crawler, params, crawler_mode, max_rows,
                stage_log)
     return project_fact(x, keep_dt)

@@ -73,3 +73,17 @@ def test_fact_same_under_every_plan_choice(spark):
     assert base == _sorted(fact(replace(R.PARAMS, strategy="direct")))
     assert base == _sorted(fact(replace(R.PARAMS, strategy="auto"), max_rows=0))   # every join shuffled
     assert any(r[-2] for r in base)                                                 # some rows flagged
+
+
+def test_crawler_flag_mode_has_no_fanout(spark):
+    from adtrail.plans import registry as R
+    from conftest import SMOKE
+
+    args = (R.coarse_log(spark, SMOKE), R.ads_dim(spark, SMOKE), R.platform_dim(spark, SMOKE),
+            R.ranges_as_library(spark, SMOKE), default_rules(spark), default_patterns(spark), R.PARAMS)
+    flagged = build_event_fact(*args, crawler_mode="flag")
+    fanout = build_event_fact(*args)
+    assert flagged.columns[-2:] == ["is_crawler", "dt"]
+    n_events = R.coarse_log(spark, SMOKE).count()
+    assert flagged.count() == n_events < fanout.count()
+    assert flagged.where(F.col("is_crawler")).count() > 0
