@@ -69,3 +69,12 @@ def test_business_date_default():
     import datetime as dt
     assert daily.business_date() == (dt.date.today() - dt.timedelta(days=1)).isoformat()
     assert daily.business_date("2023-01-07") == "2023-01-07"
+
+
+def test_table_selection():
+    import pytest
+    from adtrail import schemas
+    assert daily._select("all", schemas.ODS_TABLES) == list(schemas.ODS_TABLES)
+    assert daily._select("ods_ad_log_inc, ods_ads_info_full", schemas.ODS_TABLES) == ["ods_ad_log_inc", "ods_ads_info_full"]
+    with pytest.raises(ValueError):
+        daily._select("nope", schemas.ODS_TABLES)

@@ -105,3 +105,48 @@ def test_null_keys_and_times(spark):
     isl = traffic.cycle_islands(log, "client_ip")
     assert {r["key"] for r in isl.collect()} == {None}
     assert F is not None
+
+
+def _islands_python(rows, dedup, lead_default):
+    """Plain-Python statement of the rule: lag(t, 1, 0); tag = d - lead(d) != 0 with
+    the given lead default (None: NULL -> tag 0); ties ordered by t, d desc; sum_tag
+    over a RANGE frame (rows with equal t share it); count per (key, ad, sum_tag)."""
+    from collections import Counter, defaultdict
+    groups = defaultdict(list)
+    for k, a, t in rows:
+        if t is not None:
+            groups[(k, a)].append(t)
+    out = Counter()
+    for (k, a), ts in groups.items():
+        ts = sorted(set(ts)) if dedup else sorted(ts)
+        d, prev = [], 0
+        for i, t in enumerate(ts):
+            d.append(t - (ts[i - 1] if i else prev))
+        # within a tie the nonzero difference comes first (t, d desc): already the case
+        lead = [d[i + 1] if i + 1 < len(d) else lead_default for i in range(len(d))]
+        tag = [1 if (ld is not None and di - ld != 0) else 0 for di, ld in zip(d, lead)]
+        running, upto = 0, {}
+        for t, g in zip(ts, tag):
+            running += g
+            upto[t] = running            # last write per t: sum over all peers
+        for t in ts:
+            out[(k, a, upto[t])] += 1
+    return sorted(((k, a, s, n) for (k, a, s), n in out.items()), key=repr)
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_islands_match_plain_python(spark, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(300):
+        k = "hot" if rnd.random() < 0.5 else f"k{rnd.randrange(3)}"
+        gap = rnd.choice([1000, 3000])
+        t = rnd.randrange(0, 40) * gap
+        rows.append((k, rnd.choice(["1", None]), t))
+        if rnd.random() < 0.2:
+            rows.append(rows[-1])          # duplicates
+    for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
+        log = _log(spark, rows, key)
+        got = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead, chunk_ms=15000)
+        got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in got.collect()), key=repr)
+        assert got == _islands_python(rows, dedup, lead), key
