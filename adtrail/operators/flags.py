@@ -89,14 +89,18 @@ def flagged_table(sets: dict[str, DataFrame]) -> DataFrame:
             .select("key_type", "key").distinct())
 
 
-def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int | None = None) -> DataFrame:
-    """``df`` + ``is_invalid_traffic``.
-
-    The four rule outputs are computed in one job and written once as a small
-    table (lineage cut); the IP and device parts are then size-checked and
-    joined on (broadcast within the bound).  Distinct keys: no fan-out."""
+def prepare_flagged(sets: dict[str, DataFrame]) -> tuple[DataFrame, tuple[int, int]]:
+    """The four rule outputs computed in one job and written once as a small
+    table (lineage cut), with its measured (rows, bytes)."""
     flagged = materialize(flagged_table(sets), "flagged_keys")
-    size = measure(flagged)  # bounds both halves: one job
+    return flagged, measure(flagged)
+
+
+def join_flags(df: DataFrame, flagged: DataFrame, size: tuple[int, int],
+               max_rows: int | None = None) -> DataFrame:
+    """``df`` + ``is_invalid_traffic`` from a prepared flagged-key table: the IP
+    and device parts are joined on (broadcast within the bound).  Distinct
+    keys: no fan-out."""
     ips = (flagged.where(F.col("key_type") == "client_ip")
            .select(F.col("key").alias("_fip"), F.lit(True).alias("_ip_hit")))
     devices = (flagged.where(F.col("key_type") == "client_device_id")
@@ -105,3 +109,10 @@ def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int
     out = join_small(out, devices, ("client_device_id", "_fdev"), "left", max_rows, known=size)
     flag = F.coalesce(F.col("_ip_hit"), F.col("_dev_hit"), F.lit(False))
     return out.withColumn("is_invalid_traffic", flag).drop("_fip", "_ip_hit", "_fdev", "_dev_hit")
+
+
+def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int | None = None) -> DataFrame:
+    """``df`` + ``is_invalid_traffic``: the event's IP or device is in any of
+    the four key sets."""
+    flagged, size = prepare_flagged(sets)
+    return join_flags(df, flagged, size, max_rows)

@@ -42,11 +42,17 @@ def bucket_ranges(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
                                                         ip_bucket(F.col("end_ip"), prefix_bits))))
 
 
+def prepare_ranges(ranges: DataFrame, prefix_bits: int = 16,
+                   max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """The bucketed range side and whether it is broadcast (size measured)."""
+    return bounded(bucket_ranges(ranges, prefix_bits), max_rows)
+
+
 def lookup_ip(df: DataFrame, ranges: DataFrame, ip_col: str = "client_ip", prefix_bits: int = 16,
-              max_rows: int | None = None) -> DataFrame:
-    """``df`` + the five region columns (NULL when not found)."""
-    buckets = bucket_ranges(ranges, prefix_bits)
-    side, is_broadcast = bounded(buckets, max_rows)
+              max_rows: int | None = None, prepared: tuple[DataFrame, bool] | None = None) -> DataFrame:
+    """``df`` + the five region columns (NULL when not found).  ``prepared``
+    is the result of :func:`prepare_ranges` when computed ahead."""
+    side, is_broadcast = prepared or prepare_ranges(ranges, prefix_bits, max_rows)
     left = df.withColumn("_ipn", ipv4_to_long(F.col(ip_col)))
     left = left.withColumn("_ipb", ip_bucket(F.col("_ipn"), prefix_bits))
     if is_broadcast:

@@ -14,14 +14,16 @@ the bound fall back to shuffle joins (AQE splits skewed partitions).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.operators.crawler import agent_patterns
-from adtrail.operators.flags import RuleParams, attach_invalid_flag, choose_strategy, rule_sets
-from adtrail.operators.geo import attach_region
+from adtrail.operators.flags import RuleParams, choose_strategy, join_flags, prepare_flagged, rule_sets
+from adtrail.operators.geo import attach_region, prepare_ranges
 from adtrail.operators.ua import parse_agents
-from adtrail.plans.broadcast import join_small, materialize
+from adtrail.plans.broadcast import bounded, materialize
 from adtrail.schemas import FACT_COLUMNS
 
 
@@ -53,21 +55,41 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
     With ``stage_log`` the coarse log is written once as a columnar table in
     the shared folder (like the warehouse's temporary table): the four rules
     and the enrichment read pruned columns of it instead of parsing URLs five
-    times, and lineage is cut there."""
+    times, and lineage is cut there.
+
+    The sides joined onto the log are prepared (computed, staged, measured)
+    first.  They do not depend on each other, so their jobs are submitted
+    together from a small thread pool and overlap on the cluster; the joins
+    themselves are then one map-side pass over the log.
+    """
     if stage_log:
         log = materialize(log, "coarse_log")
         params = choose_strategy(log, params)
     sets = rule_sets(log, params, distinct=False)  # de-duplicated once, in the flagged-key table
-    x = attach_region(log, ranges, "client_ip", max_rows=max_rows)
-    info = agent_info(log, ua_rules, crawler, crawler_mode, max_rows=max_rows)
-    x = join_small(x, info, ("client_ua", "_agent"), "left", max_rows, stage=True).drop("_agent")
-    x = attach_invalid_flag(x, sets, max_rows)
     ads = ads_dim.select(F.col("ad_id").alias("_ad_id"), "ad_name", "product_id", "product_name",
                          "product_price", "material_id", "material_url", "group_id")
-    x = join_small(x, ads, ("ad_id", "_ad_id"), "left", max_rows)
     plat = platform_dim.select(F.col("id").alias("platform_id"), F.col("platform_name_en").alias("_pne"),
                                "platform_name_zh")
-    x = join_small(x, plat, ("platform_name_en", "_pne"), "left", max_rows)
+    tasks = {
+        "region": lambda: prepare_ranges(ranges, max_rows=max_rows),
+        "info": lambda: bounded(agent_info(log, ua_rules, crawler, crawler_mode, max_rows=max_rows),
+                                max_rows, stage=True),
+        "flags": lambda: prepare_flagged(sets),
+        "ads": lambda: bounded(ads, max_rows),
+        "plat": lambda: bounded(plat, max_rows),
+    }
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        side = {k: f.result() for k, f in futures.items()}
+
+    x = attach_region(log, ranges, "client_ip", prepared=side["region"])
+    info = side["info"][0]
+    x = x.join(info, x["client_ua"] == info["_agent"], "left").drop("_agent")
+    x = join_flags(x, *side["flags"], max_rows)
+    a = side["ads"][0]
+    x = x.join(a, x["ad_id"] == a["_ad_id"], "left")
+    p = side["plat"][0]
+    x = x.join(p, x["platform_name_en"] == p["_pne"], "left")
     return x
 
 
