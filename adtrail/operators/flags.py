@@ -30,18 +30,19 @@ class RuleParams:
     strategy: str = "bounded"
 
 
-def choose_strategy(staged_log: DataFrame, params: RuleParams) -> RuleParams:
-    """Pick the direct plans only under a proven bound: when the whole
-    (staged) input has at most ``adtrail.rules.directMaxRows`` rows, no
-    (key, ad) group can be larger, so one window per group is a bounded task
-    and the cheaper plan.  Otherwise keep the skew-bounded plans.  The count
-    reads parquet footers of the staged table only."""
+def choose_strategy(staged_log: DataFrame, params: RuleParams, rows: int | None = None) -> RuleParams:
+    """Pick the direct plans only under a proven bound: when the whole input
+    has at most ``adtrail.rules.directMaxRows`` rows, no (key, ad) group can be
+    larger, so one window per group is a bounded task and the cheaper plan.
+    Otherwise keep the skew-bounded plans.  ``rows`` is a known row count of
+    the input (e.g. of the table it is a row-for-row projection of); without
+    it the staged input is counted (parquet footers only)."""
     if params.strategy != "auto":
         return params
     conf = staged_log.sparkSession.conf.get("adtrail.rules.directMaxRows", None)
     limit = int(conf) if conf else DEFAULT_DIRECT_MAX_ROWS
-    strategy = "direct" if staged_log.count() <= limit else "bounded"
-    return replace(params, strategy=strategy)
+    n = staged_log.count() if rows is None else rows
+    return replace(params, strategy="direct" if n <= limit else "bounded")
 
 
 def rule_sets(log: DataFrame, p: RuleParams = RuleParams(), distinct: bool = True) -> dict[str, DataFrame]:
