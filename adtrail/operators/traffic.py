@@ -63,18 +63,33 @@ def _source(log: DataFrame, key: str, ad: str, t: str, exclude_empty: bool) -> D
 
 
 def timestamp_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                     exclude_empty: bool = False) -> DataFrame:
-    """``(key, ad, t, m)``: events per exact timestamp (map-side combined)."""
-    return (_source(log, key, ad, t, exclude_empty)
-            .groupBy("key", "ad", "t").agg(F.count(F.lit(1)).alias("m")))
+                     exclude_empty: bool = False, min_group_rows: int | None = None) -> DataFrame:
+    """``(key, ad, t, m)``: events per exact timestamp (map-side combined).
+
+    ``min_group_rows`` keeps only (key, ad) groups with at least that many
+    events.  A rule with threshold ``n`` passes ``n + 1``: a group with at
+    most ``n`` events in total can neither exceed ``n`` in a window nor form
+    an island larger than ``n``, so the pruning is exact.  It costs one count
+    per (key, ad) (map-side combined, small output) and a semi-join, and it
+    keeps light keys (most of them, at scale) out of the per-timestamp
+    shuffles."""
+    src = _source(log, key, ad, t, exclude_empty)
+    if min_group_rows is not None:
+        heavy = (src.groupBy("key", "ad").agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") >= min_group_rows)
+                 .select(F.col("key").alias("_hk"), F.col("ad").alias("_ha")))
+        cond = src["key"].eqNullSafe(heavy["_hk"]) & src["ad"].eqNullSafe(heavy["_ha"])
+        src = src.join(heavy, cond, "left_semi")
+    return src.groupBy("key", "ad", "t").agg(F.count(F.lit(1)).alias("m"))
 
 
 # ------------------------------------------------------------------ frequency
 def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                     window_ms: int = FREQUENCY_WINDOW_MS, exclude_empty: bool = False) -> DataFrame:
+                     window_ms: int = FREQUENCY_WINDOW_MS, exclude_empty: bool = False,
+                     min_group_rows: int | None = None) -> DataFrame:
     """``(key, ad, t, m, cnt)``: for each distinct timestamp, the events of the
     same (key, ad) in ``[t - window_ms, t]``."""
-    c = timestamp_counts(log, key, ad, t, exclude_empty)
+    c = timestamp_counts(log, key, ad, t, exclude_empty, min_group_rows)
     bucket = _floor_div(F.col("t"), window_ms)
     # Each timestamp goes to its own bucket (cur) and, as context, to the next
     # one; one pass (explode), so the aggregated rows are read once.
@@ -98,10 +113,11 @@ def _keys(df: DataFrame, key: str, distinct: bool) -> DataFrame:
 
 def high_frequency_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                         window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
-                        exclude_empty: bool = False, distinct: bool = True) -> DataFrame:
+                        exclude_empty: bool = False, distinct: bool = True, prune: bool = True) -> DataFrame:
     """Distinct keys that, for some ad, have more than ``threshold`` events in
-    a trailing ``window_ms`` window."""
-    fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty)
+    a trailing ``window_ms`` window (light groups pruned first, exactly)."""
+    fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty,
+                          min_group_rows=threshold + 1 if prune else None)
     return _keys(fc.where(F.col("cnt") > threshold), key, distinct)
 
 
@@ -133,8 +149,8 @@ def _from_id(df: DataFrame) -> DataFrame:
 
 
 def _cycle_rows_id(log: DataFrame, key: str, ad: str, t: str, dedup: bool,
-                   lead_default: int | None, chunk_ms: int) -> DataFrame:
-    c = timestamp_counts(log, key, ad, t)
+                   lead_default: int | None, chunk_ms: int, min_group_rows: int | None = None) -> DataFrame:
+    c = timestamp_counts(log, key, ad, t, min_group_rows=min_group_rows)
     if dedup:
         # 1 for every timestamp; written in terms of the count (see below).
         c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
@@ -188,10 +204,11 @@ def cycle_rows(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time
 
 def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                   dedup: bool = True, lead_default: int | None = 0,
-                  chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                  chunk_ms: int = DEFAULT_CHUNK_MS, min_group_rows: int | None = None) -> DataFrame:
     """``(key, ad, sum_tag, n)``: events per island (the reference's
-    ``group by ad, key, sum_tag``)."""
-    rows = _cycle_rows_id(log, key, ad, t, dedup, lead_default, chunk_ms)
+    ``group by ad, key, sum_tag``); with ``min_group_rows``, only for groups
+    with at least that many events."""
+    rows = _cycle_rows_id(log, key, ad, t, dedup, lead_default, chunk_ms, min_group_rows)
     # Keyed by (id, chunk, ...): no new exchange of rows.  The chunk's tag total
     # is its largest running sum, read from the (small) pieces, so the row
     # windows run once.
@@ -209,9 +226,11 @@ def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_t
 def cycle_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                threshold: int = CYCLE_IP_THRESHOLD, dedup: bool = True,
                lead_default: int | None = 0, chunk_ms: int = DEFAULT_CHUNK_MS,
-               distinct: bool = True) -> DataFrame:
-    """Distinct keys with an island of equal gaps larger than ``threshold``."""
-    isl = cycle_islands(log, key, ad, t, dedup, lead_default, chunk_ms)
+               distinct: bool = True, prune: bool = True) -> DataFrame:
+    """Distinct keys with an island of equal gaps larger than ``threshold``
+    (light groups pruned first, exactly)."""
+    isl = cycle_islands(log, key, ad, t, dedup, lead_default, chunk_ms,
+                        min_group_rows=threshold + 1 if prune else None)
     return _keys(isl.where(F.col("n") > threshold), key, distinct)
 
 

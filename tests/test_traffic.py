@@ -150,3 +150,23 @@ def test_islands_match_plain_python(spark, seed):
         got = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead, chunk_ms=15000)
         got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in got.collect()), key=repr)
         assert got == _islands_python(rows, dedup, lead), key
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_pruned_flags_equal_unpruned_and_direct(spark, seed):
+    rows = _random_rows(seed, n_keys=12, n=300)
+    rows += [(None, "1", 1000 * i) for i in range(9)] + [("k0", None, 5000 * i) for i in range(7)]
+    for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
+        log = _log(spark, rows, key)
+        for th in (2, 4, 6):
+            pruned = traffic.cycle_keys(log, key, threshold=th, dedup=dedup, lead_default=lead, chunk_ms=20000)
+            full = traffic.cycle_keys(log, key, threshold=th, dedup=dedup, lead_default=lead, chunk_ms=20000,
+                                      prune=False)
+            isl = traffic.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
+            direct = isl.where(F.col("n") > th).select("key").distinct()
+            want = sorted((r[0] for r in direct.collect()), key=repr)
+            assert sorted((r[0] for r in pruned.collect()), key=repr) == want
+            assert sorted((r[0] for r in full.collect()), key=repr) == want
+        fast = traffic.high_frequency_keys(log, key, window_ms=8000, threshold=3)
+        slow = traffic.high_frequency_keys(log, key, window_ms=8000, threshold=3, prune=False)
+        assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, slow.collect()), key=repr)
