@@ -18,6 +18,7 @@ def _inputs(spark):
         (f"/ad/web/click?t=1000&id=1&ip=10.0.0.1&ua={CHROME}&os_type=&device_id=d1", "2024-01-01"),
         (f"/ad/web/view?t=2000&id=2&ip=10.0.0.2&ua={CHROME}&os_type=ios&device_id=d2", "2024-01-01"),
         ("/ad/app/view?t=3000&id=9&ip=10.0.0.3&ua=&device_id=d3", "2024-01-01"),
+        (f"/ad/web/view?t=4000&id=1&ip=&ua={CHROME}&device_id=d4", "2024-01-01"),
     ], "request_uri string, dt string")
     ads = spark.createDataFrame([("1", "p1", "m1", "g1", "ad one", "u1"), ("2", "p404", "m2", "g2", "ad two", "u2")],
                                 "id string, product_id string, material_id string, group_id string, ad_name string, material_url string")
@@ -31,7 +32,11 @@ def test_fact_columns_and_rules(spark):
     log, ads, plats, ranges = _inputs(spark)
     fact = build_event_fact(log, ads, plats, ranges, default_rules(spark), default_patterns(spark), RuleParams())
     assert tuple(fact.columns) == FACT_COLUMNS + ("dt",)
-    rows = {r["ad_id"]: r for r in fact.collect()}
+    all_rows = fact.collect()
+    r4 = [r for r in all_rows if r["client_device_id"] == "d4"][0]
+    assert r4["client_os_type"] == "Windows"          # os_type absent (NULL) -> agent's os
+    assert r4["client_ip"] == "" and r4["client_country"] is None   # empty ip: row kept, no region
+    rows = {r["ad_id"]: r for r in all_rows if r["client_device_id"] != "d4"}
     r1, r2, r9 = rows["1"], rows["2"], rows["9"]
     assert r1["ad_product_price"] == "12.50" and r1["ad_product_name"] == "prod"
     assert r1["client_os_type"] == "Windows"          # '' os_type -> agent's os
@@ -50,7 +55,7 @@ def test_fact_flags_and_no_stage(spark):
     log, ads, plats, ranges = _inputs(spark)
     p = RuleParams(frequency_window_ms=10_000, frequency_threshold=0)
     fact = build_event_fact(log, ads, plats, ranges, default_rules(spark), None, p, stage_log=False)
-    assert fact.where(F.col("is_invalid_traffic")).count() == 3
+    assert fact.where(F.col("is_invalid_traffic")).count() == 4
 
 
 def _sorted(df):
