@@ -26,8 +26,9 @@ class RuleParams:
     cycle_device_threshold: int = CYCLE_DEVICE_THRESHOLD
     chunk_ms: int = traffic.DEFAULT_CHUNK_MS
     # "bounded": task sizes independent of key skew; "direct": one window per
-    # (key, ad) group.  Both exact.
-    strategy: str = "bounded"
+    # (key, ad) group; "auto": direct only under a proven row bound of a staged
+    # input (choose_strategy), else bounded.  All exact.
+    strategy: str = "auto"
 
 
 def choose_strategy(staged_log: DataFrame, params: RuleParams, rows: int | None = None) -> RuleParams:
