@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -42,28 +43,32 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
-    from the session.  Only when nothing is set (local tests) a folder of our own
-    is created and registered, so that ``checkpoint()`` works too.
+    from the session (or from ``setCheckpointDir``).  Only a local master, where
+    driver and executors are one process, may run without it: then a folder of
+    this process is used.  On any other master a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect: no SparkContext on the client
-            base = None
+        base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="adtrail-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:
-            pass
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set on master {master!r}: staged tables need a folder "
+                "that the driver and every executor share")
+        base = _local_dir()
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"
     return path
 
 
+@functools.cache
+def _local_dir() -> str:
+    """One folder per process, for local masters only."""
+    return tempfile.mkdtemp(prefix="adtrail-")
+
+
 def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unused sub-folder of the shared folder (one per run)."""
     return shared_dir(spark, *parts, uuid.uuid4().hex)
