@@ -63,7 +63,7 @@ def features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) ->
     window = F.transform(
         F.expr("slice(__h, 1, greatest(size(__h) - 2, 0))"),
         lambda h, i: F.xxhash64(h, F.get("__h", i + 1), F.get("__h", i + 2)).bitwiseAND(F.bitwise_not("__m")).bitwiseOR(i.cast("bigint")))
-    names = [c for c in d.columns if not c.startswith("__")]
+    names = [c for c in d.columns if c not in ("__h", "__m")]
     d = d.select(*names, "__m", F.sort_array(window).alias("__s"))
     same = lambda x, y: F.coalesce(x.bitwiseXOR(y) .bitwiseAND(F.bitwise_not("__m")) == 0, F.lit(False))
     found = F.filter("__s", lambda x, i: same(x, F.get("__s", i - 1)) | same(x, F.get("__s", i + 1)))
@@ -169,5 +169,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, staging: Staging, stratum: str
     feats = staging.table(_with_stratum(docs, stratum, ("doc_id",)), "quality_features")
     cutoffs = staging.table(fit_cutoffs(good_documents(feats, labels), alpha, delta), "quality_cutoffs")
     rows = docs.select(F.struct("*").alias("__row"), docs["text"], docs[stratum].alias("__by"))
-    verdicts = judge(_with_stratum(rows, "__by", ("__row",)), cutoffs)
+    # One struct per row, through explode: a filter is not pushed below it, where
+    # it would take the place of the counts and compute them once per use.
+    counted = _with_stratum(rows, "__by", ("__row",)).select(F.explode(F.array(F.struct("*"))).alias("__x")).select("__x.*")
+    verdicts = judge(counted, cutoffs)
     return verdicts.filter("kept").select("__row.*")

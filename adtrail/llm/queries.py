@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtrail.llm import id_codec, quality_rules, token_automaton
+from adtrail.llm import (
+    bit_mixing, id_codec, importance, language_id, licenses, mixing, pivot_search, quality_rules, shingle_join,
+    token_automaton)
 from adtrail.staging import session_scope
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +26,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.quality_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), session_scope(spark))
+
+
 def op2_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_codec.write_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID, session_scope(spark))
 
@@ -32,11 +38,40 @@ def op3_token_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_automaton.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.link_components(table(spark, sf_dir, "documents"), session_scope(spark))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"), session_scope(spark))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), session_scope(spark))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", *quality_rules.RULES)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_id_files, op3_token_automaton, op8_quality_rules)}
+def op9_bit_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = lambda d: F.coalesce(language_id.fold(d["doc_id"], 5) == 1, F.lit(False))
+    out = bit_mixing.score(docs, lambda d: ~held(d), session_scope(spark))
+    return out.withColumn("held_out", held(out))
+
+
+def op10_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"), session_scope(spark))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_importance_resampling, op2_id_files, op3_token_automaton, op4_language_id, op5_shingle_join, op6_source_mix,
+    op7_license_scan, op8_quality_rules, op9_bit_mixing, op10_pivot_search)}

@@ -6,7 +6,8 @@ produce.  It starts as one state that loops on every base symbol.  Each merge
 are led to a copy of their target that has lost its ``v`` arc, and wherever a
 ``u`` arc stands, an arc ``c`` is added that leads where ``u`` then ``v`` led.
 All arcs with one label end in one state, so a state is named by the label
-that enters it.  The copies are not written out (tens of thousands of states
+that enters it.  (Where ``v`` never follows ``u``, a gadget changes nothing.)
+The copies are not written out (tens of thousands of states
 by as many arcs): a state keeps the arcs that *it* lost, with the number of
 the gadget, and shares everything older with the state it was copied from
 (that of ``v``, for a token ``c``).  An arc is looked up along these two short
@@ -53,18 +54,28 @@ class TokenAutomaton:
         self.lost: dict[tuple[int, int], int] = {}   # (state, arc) -> gadget that removed it
         self.table: dict[tuple[int, int], bool] = {}  # transitions looked up so far
         self.trie: dict = {}
+        self.made = {u + v for u, v in merges}
+        self.idle: set[int] = set()           # labels whose gadget found no place
         for number, (u, v) in enumerate(merges):
             self._add_gadget(number, vocabulary[u], vocabulary[v], vocabulary[u + v])
 
     def _add_gadget(self, number: int, u: int, v: int, c: int) -> None:
-        if self.born[c] >= 0 or max(self.born[u], self.born[v]) >= number:
-            raise ValueError(f"merge {number} makes a label again or uses one of a later merge")
+        if self.born[c] >= 0:
+            raise ValueError(f"merge {number} makes a label that an earlier one made")
+        if not (self._stands(u) and self._stands(v) and self._arc(u, v)):
+            self.idle.add(c)              # v never follows u here: nothing to lead elsewhere
+            return
         self.lost[u, v] = number
         self.born[c], self.left[c], self.right[c] = number, u, v
 
+    def _stands(self, token: int) -> bool:
+        return self.born[token] >= 0 or self.labels[token] not in self.made
+
     def link(self, tokens: list[int]) -> None:
         """Enter these tokens' labels (as symbol sequences) into the trie."""
         for i in tokens:
+            if i in self.idle:
+                continue
             node = self.trie
             for s in symbols(self.labels[i]):
                 node = node.setdefault(s, {})
@@ -163,8 +174,7 @@ class WordCodec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocabulary = model["vocab"] | self.special
         self.automaton = TokenAutomaton(vocabulary, merges)
-        made = {a + b for a, b in merges}
-        base = [i for s, i in model["vocab"].items() if s in made or len(symbols(s)) == 1]
+        base = [i for s, i in model["vocab"].items() if s in self.automaton.made or len(symbols(s)) == 1]
         self.automaton.link(base)
         self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = _Words(self._encode_word)
