@@ -316,7 +316,8 @@ def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: st
                     ["name", "cluster", "n", "hashes"])
                 yield out.filter(ok)
 
-    rows = _rows(docs, key, text).withColumnRenamed("doc_id", "__id")
+    # Members grow with the documents: always a shuffle join, at any size.
+    rows, members = _rows(docs, key, text).withColumnRenamed("doc_id", "__id"), members.hint("merge")
     found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text")
     return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary").dropDuplicates(["name"])
 
