@@ -48,7 +48,8 @@ RATE = 0.02
 START_WEIGHT = 0.4
 END = np.uint64(0x5E9D)       # the end token's name
 ESCAPE = np.uint64(0xE5C)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
+_PENDING = 1 << 23            # bits counted at a time
 _PARTIAL = 1_500_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -133,7 +134,9 @@ def make_code(tokens: list[tuple[int, int]], total: int, ends: int, byte_counts:
     rest = max(1, total - ends - int(known.sum()))
     counts = np.concatenate([[0, ends], known]).astype(np.int64)
     weights = np.concatenate([[rest, max(1, ends)], known])
-    return Code(names, counts, huffman(weights), huffman(np.maximum(byte_counts, 1)))
+    weights = np.maximum(weights, int(weights.sum()) >> 20)     # no code above 31 bits
+    byte_counts = np.maximum(byte_counts, 1 + (int(byte_counts.sum()) >> 20))
+    return Code(names, counts, huffman(weights), huffman(byte_counts))
 
 
 @dataclass
@@ -190,7 +193,7 @@ def bits_of(t: W.Texts, code: Code) -> Bits:
     head = sfirst[:-1]
     symbol = np.where(esc, 0, found)
     value[head], length[head] = code.word[0][symbol], code.word[1][symbol]
-    context[1, head], context[2, head] = one, two
+    context[1, head], context[2, head] = W.mix(one), W.mix(two)
     spelt = np.ones(total, bool)
     spelt[head] = False
     s = np.flatnonzero(spelt)
@@ -202,22 +205,25 @@ def bits_of(t: W.Texts, code: Code) -> Bits:
         char = np.where(j < size[owner], data[np.minimum(pos, len(data) - 1)].astype(np.int64), 256)
         value[s], length[s] = code.byte[0][char], code.byte[1][char]
         c1, c2, c3 = get(1) + np.uint64(1), get(2) + np.uint64(1), get(3) + np.uint64(1)
-        context[0, s] = c1 * _B
-        context[1, s] = (c1 + (c2 << np.uint64(9))) * _B
-        context[2, s] = (c1 + (c2 << np.uint64(9)) + (c3 << np.uint64(18))) * _B
+        context[0, s] = W.mix(c1 * _B)
+        context[1, s] = W.mix((c1 + (c2 << np.uint64(9))) * _B)
+        context[2, s] = W.mix((c1 + (c2 << np.uint64(9)) + (c3 << np.uint64(18))) * _B)
     # Bits: value, and the path so far (with a leading one) as part of the slot.
     bfirst = np.concatenate([[0], np.cumsum(length)])
-    of = np.repeat(np.arange(total, dtype=np.int32), length)
-    left = (bfirst[1:][of] - 1 - np.arange(int(bfirst[-1]))).astype(np.int64)    # bits still to come
-    v = value[of]
-    bit = (v >> left) & 1
-    path = ((v | (np.int64(1) << length[of])) >> (left + 1)).astype(np.uint64) * _A
+    left = np.repeat(bfirst[1:].astype(np.int32) - 1, length)
+    left -= np.arange(len(left), dtype=np.int32)                                # bits still to come
+    path = np.repeat((value | (np.int64(1) << length)).astype(np.uint32), length) >> left.view(np.uint32)
+    bit = path & np.uint32(1)
+    path >>= np.uint32(1)
+    path *= np.uint32(0x9E3779B1)
     slots = []
     for order in range(3):
-        h = (path + context[order][of]) * _B
-        h ^= h >> np.uint64(32)
-        slots.append(((h * _A) >> np.uint64(64 - TABLE_BITS[order])).astype(np.int64))
-    return Bits(bit, slots, spelt[of], bfirst[sfirst[tfirst]], found, token, tfirst)
+        h = np.repeat((context[order] >> np.uint64(32)).astype(np.uint32), length)
+        h += path
+        h *= np.uint32(0x85EBCA6B)
+        h >>= np.uint32(32 - TABLE_BITS[order])
+        slots.append(h)
+    return Bits(bit, slots, np.repeat(spelt, length), bfirst[sfirst[tfirst]], found, token, tfirst)
 
 
 @dataclass
@@ -248,38 +254,37 @@ def score_bits(b: Bits, tables: Tables, rate: float = RATE) -> np.ndarray:
     lane_bits = np.minimum(SEGMENT, size[lane_row] - nth * SEGMENT)
     blocks = -(-lane_bits // STEP)
     start = np.concatenate([[0], np.cumsum(blocks)])
-    lane_of_bit = np.repeat(np.arange(len(lane_row)), lane_bits)
     at = np.arange(len(b.bit)) + np.repeat(start[:-1] * STEP - (np.cumsum(lane_bits) - lane_bits), lane_bits)
     total = int(start[-1]) * STEP
-    x = np.zeros((total, 3), np.float32)
-    for i in range(3):
-        x[at, i] = tables.odds[i][b.slots[i]]
-    gate = np.zeros(total, np.int8)
-    gate[at] = tables.seen[2][b.slots[2]] * 3 + tables.seen[1][b.slots[1]] + b.spelt * 9
-    sign = np.zeros(total, np.float32)          # 0: padding
-    sign[at] = 2 * b.bit - 1
-    del lane_of_bit, at
-    x, gate, sign = x.reshape(-1, STEP, 3), gate.reshape(-1, STEP), sign.reshape(-1, STEP)
+
+    def padded(values: np.ndarray, kind: type) -> np.ndarray:
+        out = np.zeros(total, kind)
+        out[at] = values
+        return out.reshape(-1, STEP)
+
+    x = [padded(tables.odds[i][b.slots[i]], np.float32) for i in range(3)]
+    gate = padded(tables.seen[2][b.slots[2]] * np.int8(3) + tables.seen[1][b.slots[1]] + b.spelt * np.int8(9), np.int8)
+    sign = padded(b.bit * np.float32(2) - np.float32(1), np.float32)    # 0: padding
     order = np.argsort(-blocks, kind="stable")
-    steps = blocks[order]
-    weights = np.full((len(order) * GATES, 3), START_WEIGHT, np.float32)
+    steps, first = blocks[order], start[:-1][order]
+    weights = [np.full(len(order) * GATES, START_WEIGHT, np.float32) for _ in range(3)]
     loss = np.zeros(len(order))
-    first = start[:-1][order]
+    lane = (np.arange(len(order)) * GATES)[:, None]
     live = len(order)
     for s in range(int(steps.max(initial=0))):
         while live and steps[live - 1] <= s:
             live -= 1
-        rows_now = first[:live] + s
-        xs, sg = x[rows_now], sign[rows_now]
-        which = (np.arange(live) * GATES)[:, None] + gate[rows_now]
-        dot = np.einsum("lsi,lsi->ls", weights[which], xs)
-        e = np.exp(np.clip(-sg * dot, -60, 60))
-        used = np.abs(sg)
-        loss[:live] += (np.log1p(e) * used).sum(axis=1, dtype=np.float64)
-        err = (sg * (e / (1 + e)) * np.float32(rate)).ravel()      # rate * (bit - p)
+        now = first[:live] + s
+        xs, sg = [v[now] for v in x], sign[now]
+        which = lane[:live] + gate[now]
+        dot = weights[0][which] * xs[0] + weights[1][which] * xs[1] + weights[2][which] * xs[2]
+        e = np.exp(np.minimum(-sg * dot, np.float32(80)))
+        one = e + np.float32(1)
+        loss[:live] += (np.log(one) * np.abs(sg)).sum(axis=1, dtype=np.float64)
+        err = sg * (e / one) * np.float32(rate)                    # rate * (bit - p)
         flat = which.ravel()
         for i in range(3):
-            weights[:live * GATES, i] += np.bincount(flat, err * xs[..., i].ravel(), live * GATES).astype(np.float32)
+            weights[i][:live * GATES] += np.bincount(flat, (err * xs[i]).ravel(), live * GATES).astype(np.float32)
     out = np.zeros(rows)
     np.add.at(out, lane_row[order], -loss / math.log(10))
     return out
@@ -327,13 +332,23 @@ def gather_tables(training: DataFrame, code, text: str = "text", key: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(2 * s, np.int64) for s in sizes]
-        used = False
+        used, waiting, bits = False, [], 0
+
+        def count():
+            for i in range(3):
+                held[i] += np.bincount(np.concatenate([w[i] for w in waiting]), minlength=2 * sizes[i])
+
         for batch in batches:
             for t in W.texts(batch.column(1), _CHUNK):
                 b = bits_of(t, code.value)
                 used = True
-                for i in range(3):
-                    held[i] += np.bincount(b.slots[i] * 2 + b.bit, minlength=2 * sizes[i])
+                waiting.append([(v * np.uint32(2) + b.bit).view(np.int32) for v in b.slots])
+                bits += len(b.bit)
+                if bits >= _PENDING:
+                    count()
+                    waiting, bits = [], 0
+        if waiting:
+            count()
         if used:
             every = np.concatenate(held).astype("<u4").reshape(-1, 2 * BLOCK)
             yield pa.RecordBatch.from_arrays(

@@ -7,7 +7,7 @@ and harms no other.  Blocks of a segment are coded side by side, one numpy
 lane each.  A segment's bytes are, little-endian: ``magic, n_blocks`` (u4),
 then per block ``n_ids, n_words, crc32`` (u4), then the blocks' 16-bit words.
 
-Model of a block.  Order 0: adaptive frequencies of id groups (``id >> 6``),
+Model of a block.  Order 0: adaptive frequencies of id groups (``id >> 8``),
 brought up to date every ``EPOCH`` ids.  Order 1 and order 2: the id that last
 followed the previous id, or the previous two, with how often in a row it was
 right.  The three are mixed: the mass of order 0 is fixed, and each candidate
@@ -34,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from adtrail.llm.words import WordTable
 from adtrail.staging import Staging
 
 MAGIC = 0x31444954
 BLOCK = 4096          # ids per block
 EPOCH = 128           # ids between updates of the order-0 frequencies
 SEGMENT_IDS = 4 << 20
-LOW_BITS = 6          # order 0 codes id >> LOW_BITS adaptively, the rest evenly
+LOW_BITS = 8          # order 0 codes id >> LOW_BITS adaptively, the rest evenly
 ORDER0_BITS = 16
 MAX_ID = (1 << 17) - 1
 _T1, _T2 = 11, 12     # log2 of a lane's order-1 and order-2 table
@@ -108,20 +109,22 @@ class Model:
         cb, fb = self.order0(b)
         in_a = (v >= ca) & (v < ca + fa + wa)
         in_b = (v >= cb + wa) & (v < cb + wa + fb + wb)
-        u = v - np.where(v >= ca + fa + wa, wa, 0) - np.where(v >= cb + wa + fb + wb, wb, 0)
-        g = np.zeros(len(v), dtype=np.int64)
-        want, row = u >> LOW_BITS, self.row[:len(v)]
+        ids = np.where(in_a, a, b)
+        rest = np.flatnonzero(~(in_a | in_b))           # no candidate: search the groups
+        v, ca, fa, wa, cb, fb, wb = (x[rest] for x in (v, ca, fa, wa, cb, fb, wb))
+        u = v - (v >= ca + fa + wa) * wa - (v >= cb + wa + fb + wb) * wb
+        want, row = u >> LOW_BITS, self.row[rest]
+        g = np.zeros(len(rest), dtype=np.int64)
         step = 1 << (self.groups.bit_length() - 1)
         while step:
-            at = g + step
-            ok = at < self.groups
-            ok &= self.cum[row + np.where(ok, at, 0)] <= want
-            g += ok * step
+            at = np.minimum(g + step, self.groups)       # the entry after the last group is above all
+            g += (self.cum[row + at] <= want) * step
             step >>= 1
+        g = np.minimum(g, self.groups - 1)
         low = self.cum[row + g]
         f = self.cum[row + g + 1] - low
-        ids = np.clip((g << LOW_BITS) + (u - (low << LOW_BITS)) // f, 0, (self.groups << LOW_BITS) - 1)  # damaged blocks
-        return np.where(in_a, a, np.where(in_b, b, ids))
+        ids[rest] = np.clip((g << LOW_BITS) + (u - (low << LOW_BITS)) // f, 0, (self.groups << LOW_BITS) - 1)  # damaged blocks
+        return ids
 
     def update(self, ids: np.ndarray) -> None:
         k = len(ids)
@@ -255,8 +258,6 @@ def unpack(data: bytes) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, "<u4")
 
 
-CACHE_WORDS = 1_000_000
-
 
 class LibraryEncoder:
     """Ids of a text by the tokenizers library.  The file's rules never join
@@ -269,18 +270,13 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.known: dict[bytes, bytes] = {}
+        self.words = WordTable(self._encode_word)
+
+    def _encode_word(self, word: bytes) -> bytes:
+        return np.array(self.library.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        new = list(set().union(*words).difference(self.known)) if words else []
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(set().union(*words))
-        made = self.library.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for w, e in zip(new, made):
-            self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+    def __call__(self, text: bytes) -> bytes:
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @functools.lru_cache(maxsize=2)
@@ -316,7 +312,7 @@ def encode_segments(docs: DataFrame, path: str, end_id: int, text: str = "text",
             for lo in range(0, batch.num_rows, 500):
                 b = batch.slice(lo, 500)
                 shard = b.column(2)[0].as_py()
-                raw = enc([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()])
+                raw = [enc(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()]
                 for k, ids in zip(b.column(0).to_pylist(), raw):
                     n = len(ids) // 4 + 1
                     if held and held + n > segment_ids:

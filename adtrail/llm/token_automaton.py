@@ -29,14 +29,15 @@ import functools
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from adtrail.llm.words import WordTable
+
 _NEVER = 1 << 60
-CACHE_WORDS = 1_000_000  # distinct words kept per Python worker (about 200 MB)
 
 
 class TokenAutomaton:
@@ -177,7 +178,7 @@ class WordCodec:
         base = [i for s, i in model["vocab"].items() if s in self.automaton.made or len(symbols(s)) == 1]
         self.automaton.link(base)
         self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words = _Words(self._encode_word)
+        self.words = WordTable(self._encode_word)
 
     def _encode_word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -201,19 +202,6 @@ class WordCodec:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-class _Words(dict):
-    """Encodings of words, made on first use; emptied when full."""
-
-    def __init__(self, make: Callable[[bytes], bytes]):
-        self.make = make
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = self.make(word)
-        return value
-
-
 @functools.lru_cache(maxsize=2)
 def codec(path: str) -> WordCodec:
     """The codec of a tokenizer file, built once per Python worker."""

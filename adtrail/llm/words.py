@@ -7,7 +7,7 @@ few vector operations instead of a Python loop.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,7 @@ _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
 _M3 = np.uint64(0x94D049BB133111EB)
 CHUNK_BYTES = 4 << 20
+TABLE_WORDS = 1_000_000  # distinct words kept per Python worker (about 200 MB)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -117,3 +118,16 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of ``values[first[i]:first[i+1]]`` per row (empty rows: 0)."""
     total = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
     return total[first[1:]] - total[first[:-1]]
+
+
+class WordTable(dict):
+    """A value per word, made on first use; emptied when full."""
+
+    def __init__(self, make: Callable[[bytes], bytes]):
+        self.make = make
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= TABLE_WORDS:
+            self.clear()
+        value = self[word] = self.make(word)
+        return value
