@@ -15,6 +15,9 @@ QUERY_KEYS = ("t", "id", "ip", "ua", "os_type", "device_id")
 PATH_PLATFORM_INDEX = 2
 PATH_EVENT_TYPE_INDEX = 3
 
+# Valid event times, epoch milliseconds: 0 up to (not including) 2100-01-01.
+MAX_EVENT_TIME_MS = 4102444800000
+
 # --- fixed values: invalid-traffic rules ----------------------------------
 # Trailing window of the high-frequency rules, milliseconds (5 minutes).
 FREQUENCY_WINDOW_MS = 300000

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adtrail.fixed import URL_PREFIX
+from adtrail.fixed import MAX_EVENT_TIME_MS, URL_PREFIX
 
 
 def _col(c) -> Column:
@@ -62,3 +62,11 @@ def decode(value) -> Column:
 def to_bigint(value) -> Column:
     """String to bigint, NULL when not a number."""
     return _col(value).try_cast("bigint")
+
+
+def valid_event_time(t) -> Column:
+    """Epoch ms within the valid domain; NULL outside it, as for a non-number.
+    (``t`` comes from the client: without a domain, differences of two times
+    could overflow and fail the day.)"""
+    c = _col(t)
+    return F.when((c >= 0) & (c < MAX_EVENT_TIME_MS), c)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +10,8 @@ from pyspark.sql import functions as F
 from adtrail.fixed import (CYCLE_DEVICE_THRESHOLD, CYCLE_IP_THRESHOLD, FREQUENCY_THRESHOLD,
                            FREQUENCY_WINDOW_MS)
 from adtrail.operators import traffic
-from adtrail.plans.broadcast import join_small, materialize, measure
-
-
-# Whole inputs up to this many rows may use the direct window plans (see
-# ``choose_strategy``); a session can override it.
-DEFAULT_DIRECT_MAX_ROWS = 5_000_000
-
+from adtrail.plans.broadcast import join_small, measure
+from adtrail.staging import Staging, session_scope
 
 @dataclass(frozen=True)
 class RuleParams:
@@ -24,52 +19,32 @@ class RuleParams:
     frequency_threshold: int = FREQUENCY_THRESHOLD
     cycle_ip_threshold: int = CYCLE_IP_THRESHOLD
     cycle_device_threshold: int = CYCLE_DEVICE_THRESHOLD
-    chunk_ms: int = traffic.DEFAULT_CHUNK_MS
-    # "bounded": task sizes independent of key skew; "direct": one window per
-    # (key, ad) group; "auto": direct only under a proven row bound of a staged
-    # input (choose_strategy), else bounded.  All exact.
-    strategy: str = "auto"
-
-
-def choose_strategy(staged_log: DataFrame, params: RuleParams, rows: int | None = None) -> RuleParams:
-    """Pick the direct plans only under a proven bound: when the whole input
-    has at most ``adtrail.rules.directMaxRows`` rows, no (key, ad) group can be
-    larger, so one window per group is a bounded task and the cheaper plan.
-    Otherwise keep the skew-bounded plans.  ``rows`` is a known row count of
-    the input (e.g. of the table it is a row-for-row projection of); without
-    it the staged input is counted (parquet footers only)."""
-    if params.strategy != "auto":
-        return params
-    conf = staged_log.sparkSession.conf.get("adtrail.rules.directMaxRows", None)
-    limit = int(conf) if conf else DEFAULT_DIRECT_MAX_ROWS
-    n = staged_log.count() if rows is None else rows
-    return replace(params, strategy="direct" if n <= limit else "bounded")
-
-
-def rule_sets(log: DataFrame, p: RuleParams = RuleParams(), distinct: bool = True) -> dict[str, DataFrame]:
+    # Where events without a time stand in the fixed-period rules; None: nowhere.
+    cycle_null_time: int | None = None
+
+
+def rule_sets(log: DataFrame, p: RuleParams = RuleParams(), distinct: bool = True,
+              scope: Staging | None = None) -> dict[str, DataFrame]:
     """The four key sets, computed from the coarse log (``distinct=False``
     leaves duplicates for a caller that de-duplicates their union)."""
+    scope = scope or session_scope(log.sparkSession)
+    return {rule: rule_set(log, rule, p, distinct, scope) for rule in RULES}
+
+
+RULES = ("high_frequency_ip", "high_frequency_device", "cycle_ip", "cycle_device")
+
+
+def rule_set(log: DataFrame, rule: str, p: RuleParams = RuleParams(), distinct: bool = True,
+             scope: Staging | None = None) -> DataFrame:
+    """One of the four key sets."""
     w, th, d = p.frequency_window_ms, p.frequency_threshold, distinct
-    if p.strategy == "direct":
-        def cycle(key, threshold, dedup, lead):
-            isl = traffic.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
-            keys = isl.where(F.col("n") > threshold).select(F.col("key").alias(key))
-            return keys.distinct() if d else keys
-        return {
-            "high_frequency_ip": traffic.high_frequency_keys_direct(log, "client_ip", window_ms=w, threshold=th,
-                                                                    distinct=d),
-            "high_frequency_device": traffic.high_frequency_keys_direct(log, "client_device_id", window_ms=w,
-                                                                        threshold=th, exclude_empty=True,
-                                                                        distinct=d),
-            "cycle_ip": cycle("client_ip", p.cycle_ip_threshold, True, 0),
-            "cycle_device": cycle("client_device_id", p.cycle_device_threshold, False, None),
-        }
-    return {
-        "high_frequency_ip": traffic.high_frequency_ip(log, w, th, distinct=d),
-        "high_frequency_device": traffic.high_frequency_device(log, w, th, distinct=d),
-        "cycle_ip": traffic.cycle_ip(log, p.cycle_ip_threshold, chunk_ms=p.chunk_ms, distinct=d),
-        "cycle_device": traffic.cycle_device(log, p.cycle_device_threshold, chunk_ms=p.chunk_ms, distinct=d),
-    }
+    if rule == "high_frequency_ip":
+        return traffic.high_frequency_ip(log, w, th, distinct=d)
+    if rule == "high_frequency_device":
+        return traffic.high_frequency_device(log, w, th, distinct=d)
+    if rule == "cycle_ip":
+        return traffic.cycle_ip(log, p.cycle_ip_threshold, distinct=d, null_time=p.cycle_null_time, scope=scope)
+    return traffic.cycle_device(log, p.cycle_device_threshold, distinct=d, null_time=p.cycle_null_time, scope=scope)
 
 
 def flag_reasons(sets: dict[str, DataFrame]) -> DataFrame:
@@ -91,10 +66,11 @@ def flagged_table(sets: dict[str, DataFrame]) -> DataFrame:
             .select("key_type", "key").distinct())
 
 
-def prepare_flagged(sets: dict[str, DataFrame]) -> tuple[DataFrame, tuple[int, int]]:
+def prepare_flagged(sets: dict[str, DataFrame], scope: Staging | None = None) -> tuple[DataFrame, tuple[int, int]]:
     """The four rule outputs computed in one job and written once as a small
     table (lineage cut), with its measured (rows, bytes)."""
-    flagged = materialize(flagged_table(sets), "flagged_keys")
+    flagged = flagged_table(sets)
+    flagged = (scope or session_scope(flagged.sparkSession)).table(flagged, "flagged_keys")
     return flagged, measure(flagged)
 
 
@@ -113,8 +89,9 @@ def join_flags(df: DataFrame, flagged: DataFrame, size: tuple[int, int],
     return out.withColumn("is_invalid_traffic", flag).drop("_fip", "_ip_hit", "_fdev", "_dev_hit")
 
 
-def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int | None = None) -> DataFrame:
+def attach_invalid_flag(df: DataFrame, sets: dict[str, DataFrame], max_rows: int | None = None,
+                        scope: Staging | None = None) -> DataFrame:
     """``df`` + ``is_invalid_traffic``: the event's IP or device is in any of
     the four key sets."""
-    flagged, size = prepare_flagged(sets)
+    flagged, size = prepare_flagged(sets, scope)
     return join_flags(df, flagged, size, max_rows)

@@ -17,7 +17,7 @@ addresses keep their row and get NULL region fields.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.functions.ip import ip_bucket, ipv4_to_long, region_split
@@ -42,9 +42,22 @@ def bucket_ranges(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
                                                         ip_bucket(F.col("end_ip"), prefix_bits))))
 
 
+def check_disjoint(ranges: DataFrame, prefix_bits: int = 16) -> None:
+    """Raise if two ranges share an address (neighbours are compared inside a
+    bucket: ranges that overlap touch a common bucket)."""
+    r = ranges.select("start_ip", "end_ip")
+    r = r.withColumn("_bucket", F.explode(F.sequence(ip_bucket(F.col("start_ip"), prefix_bits), ip_bucket(F.col("end_ip"), prefix_bits))))
+    upto = Window.partitionBy("_bucket").orderBy("start_ip", "end_ip").rowsBetween(Window.unboundedPreceding, -1)
+    bad = r.withColumn("_upto", F.max("end_ip").over(upto)).where(F.col("_upto") >= F.col("start_ip")).limit(1).collect()
+    if bad:
+        raise ValueError(f"IP ranges overlap at {bad[0]['start_ip']}")
+
+
 def prepare_ranges(ranges: DataFrame, prefix_bits: int = 16,
                    max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """The bucketed range side and whether it is broadcast (size measured)."""
+    """The bucketed range side and whether it is broadcast (size measured).
+    Ranges that overlap would multiply events: they are an error."""
+    check_disjoint(ranges, prefix_bits)
     return bounded(bucket_ranges(ranges, prefix_bits), max_rows)
 
 
@@ -65,7 +78,9 @@ def lookup_ip(df: DataFrame, ranges: DataFrame, ip_col: str = "client_ip", prefi
         cond = ((ips["_ipb"] == side["_bucket"])
                 & ips["_ipn"].between(side["start_ip"], side["end_ip"]))
         resolved = ips.join(side, cond, "inner").select("_ipn", *REGION_FIELDS)
-        out = left.join(resolved, "_ipn", "left")
+        # Rows without an address match nothing and would all meet in one partition.
+        known = left.where(F.col("_ipn").isNotNull()).join(resolved, "_ipn", "left")
+        out = known.unionByName(left.where(F.col("_ipn").isNull()), allowMissingColumns=True)
     return out.drop("_ipn", "_ipb", "_bucket", "start_ip", "end_ip")
 
 

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.fixed import PATH_EVENT_TYPE_INDEX, PATH_PLATFORM_INDEX
-from adtrail.functions.url import absolute_url, decode, query_value, split_element, to_bigint, url_part
+from adtrail.functions.url import absolute_url, decode, query_value, split_element, to_bigint, url_part, valid_event_time
+from adtrail.staging import Staging
 
 
 def parse_log(log: DataFrame, uri_col: str = "request_uri", keep: tuple[str, ...] = ("dt",)) -> DataFrame:
     """Coarse parse of ``request_uri`` into the event columns.
 
     ``event_time`` is cast to bigint once, here (NULL when ``t`` is not a
-    number); ``client_ua`` is URL-decoded.  Malformed URLs give NULL fields and
+    number or outside the valid domain); ``client_ua`` is URL-decoded.  Malformed URLs give NULL fields and
     the row is kept.  Columns named in ``keep`` that exist are passed through.
     """
     url = absolute_url(F.col(uri_col))
@@ -23,7 +24,7 @@ def parse_log(log: DataFrame, uri_col: str = "request_uri", keep: tuple[str, ...
     parts = log.select(url_part(url, "QUERY").alias("_q"), url_part(url, "PATH").alias("_p"), *passthrough)
     q, p = F.col("_q"), F.col("_p")
     cols = [
-        to_bigint(query_value(q, "t")).alias("event_time"),
+        valid_event_time(to_bigint(query_value(q, "t"))).alias("event_time"),
         split_element(p, PATH_EVENT_TYPE_INDEX).alias("event_type"),
         query_value(q, "id").alias("ad_id"),
         query_value(q, "ip").alias("client_ip"),
@@ -35,11 +36,12 @@ def parse_log(log: DataFrame, uri_col: str = "request_uri", keep: tuple[str, ...
     return parts.select(*cols, *passthrough)
 
 
-def fine_log(parsed: DataFrame, ranges: DataFrame, rules: DataFrame, **kw) -> DataFrame:
+def fine_log(parsed: DataFrame, ranges: DataFrame, rules, max_rows: int | None = None,
+             scope: Staging | None = None) -> DataFrame:
     """Coarse log + ``region_struct`` (IP range lookup) + ``ua_struct`` (UA rules;
     NULL when the agent is empty or NULL)."""
     from adtrail.operators.geo import attach_region
     from adtrail.operators.ua import attach_ua_struct
 
-    with_region = attach_region(parsed, ranges, ip_col="client_ip", **kw)
-    return attach_ua_struct(with_region, rules, ua_col="client_ua")
+    with_region = attach_region(parsed, ranges, ip_col="client_ip", max_rows=max_rows)
+    return attach_ua_struct(with_region, rules, "client_ua", max_rows, scope)

@@ -6,20 +6,21 @@ rule ever sorts a whole key in one task:
 
 * Every rule starts from **events per exact timestamp**, ``(key, ad, t) ->
   m``: a hash aggregate with map-side combine, shuffled on all three columns,
-  so one key's timestamps spread over all reducers.  After it, a group of
-  width ``w`` milliseconds of one key holds at most ``w`` rows.
+  so one key's timestamps spread over all reducers.  Groups too light for the
+  rule are dropped *after* it, from the combined rows; raw log rows are never
+  joined or sorted.
 * **High frequency** (trailing ``RANGE`` window, both ends inclusive): time
   is cut into buckets of the window width; bucket ``b`` is sorted together
   with a copy of bucket ``b-1`` and ``sum(m)`` over ``RANGE BETWEEN w
   PRECEDING AND CURRENT ROW`` is taken for the rows of ``b``.  Exact (a
   frame never reaches further back than ``b-1``) and every sort holds at most
   two windows of one key.
-* **Fixed period** (gaps and islands): time is cut into chunks; within a
-  chunk the previous/next timestamps come from ``lag``/``lead``, across a
-  chunk edge from a per-chunk (min, max) summary.  Island ids are a running
-  sum of tags: local sums per chunk plus a per-chunk offset.  Island sizes are
-  counted per chunk first and summed across chunks, so no island is ever
-  collected in one place.
+* **Fixed period** (gaps and islands): the combined rows are range-partitioned
+  by (key, ad, t) and staged, so a heavy key lies in several consecutive parts
+  and every part is about equally large, whatever the times are.  ``lag``,
+  ``lead`` and the running tag sum are taken inside (part, key, ad).  What
+  crosses a part edge (the neighbouring time, the tags so far) is read from a
+  table with one row per part.  Island sizes are counted per part and summed.
 
 Semantics kept exactly (see README):
 
@@ -29,14 +30,11 @@ Semantics kept exactly (see README):
   rule);
 * ``sum_tag`` = running ``sum(tag)`` with the default RANGE frame, so rows
   with equal timestamps (only possible without dedup) share one island;
-* with duplicates, tied rows are taken in the order ``t, time_diff desc``.
-
-Rows whose ``event_time`` is NULL (``t`` missing or not a number) take part
-in no rule.  (In the warehouse their place in a window depends on the
-engine's NULL ordering; excluding them is the defined behaviour here, and it
-lets the IP frequency and IP period rules share one aggregate exchange.)
-The direct, reference-shaped forms are kept as ``*_direct`` for tests and
-benchmarks.
+* with duplicates, tied rows are taken in the order ``t, time_diff desc``;
+* times outside the valid domain (``fixed.MAX_EVENT_TIME_MS``) count as NULL;
+* events without a time are peers of each other in the frequency window (as
+  NULLs of a ``RANGE`` frame are).  In the fixed-period rules they take no part,
+  or, with ``null_time``, stand at that time.
 """
 
 from __future__ import annotations
@@ -46,62 +44,69 @@ from pyspark.sql import functions as F
 
 from adtrail.fixed import (CYCLE_DEVICE_THRESHOLD, CYCLE_IP_THRESHOLD, FREQUENCY_THRESHOLD,
                            FREQUENCY_WINDOW_MS)
+from adtrail.functions.url import valid_event_time
+from adtrail.staging import Staging, session_scope
 
-DEFAULT_CHUNK_MS = 3_600_000
+# Group identity of a (key, ad) pair with NULLs made explicit, so that joins,
+# windows and ranges share plain equality keys.
+_ID = ["kk", "kn", "aa", "an"]
 
 
-def _floor_div(c: Column, width: int) -> Column:
-    return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("bigint")
+def _with_id(df: DataFrame) -> DataFrame:
+    return df.select(F.coalesce(F.col("key"), F.lit("")).alias("kk"), F.col("key").isNull().alias("kn"),
+                     F.coalesce(F.col("ad"), F.lit("")).alias("aa"), F.col("ad").isNull().alias("an"),
+                     *[c for c in df.columns if c not in ("key", "ad")])
 
 
-def _source(log: DataFrame, key: str, ad: str, t: str, exclude_empty: bool) -> DataFrame:
-    src = (log.select(F.col(key).alias("key"), F.col(ad).alias("ad"), F.col(t).cast("bigint").alias("t"))
-           .where(F.col("t").isNotNull()))
-    if exclude_empty:
-        src = src.where(F.col("key") != "")  # also drops NULL keys, like `key != ''`
-    return src
+def _from_id(df: DataFrame) -> DataFrame:
+    rest = [c for c in df.columns if c not in _ID]
+    return df.select(F.when(~F.col("kn"), F.col("kk")).alias("key"),
+                     F.when(~F.col("an"), F.col("aa")).alias("ad"), *rest)
 
 
 def timestamp_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                     exclude_empty: bool = False, min_group_rows: int | None = None) -> DataFrame:
-    """``(key, ad, t, m)``: events per exact timestamp (map-side combined).
-
-    ``min_group_rows`` keeps only (key, ad) groups with at least that many
-    events.  A rule with threshold ``n`` passes ``n + 1``: a group with at
-    most ``n`` events in total can neither exceed ``n`` in a window nor form
-    an island larger than ``n``, so the pruning is exact.  It costs one count
-    per (key, ad) (map-side combined, small output) and a semi-join, and it
-    keeps light keys (most of them, at scale) out of the per-timestamp
-    shuffles."""
-    src = _source(log, key, ad, t, exclude_empty)
-    if min_group_rows is not None:
-        heavy = (src.groupBy("key", "ad").agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") >= min_group_rows)
-                 .select(F.col("key").alias("_hk"), F.col("ad").alias("_ha")))
-        cond = src["key"].eqNullSafe(heavy["_hk"]) & src["ad"].eqNullSafe(heavy["_ha"])
-        src = src.join(heavy, cond, "left_semi")
+                     exclude_empty: bool = False) -> DataFrame:
+    """``(key, ad, t, m)``: events per exact timestamp (map-side combined); the
+    events of a (key, ad) without a valid time are one row with NULL ``t``."""
+    src = log.select(F.col(key).alias("key"), F.col(ad).alias("ad"),
+                     valid_event_time(F.col(t).cast("bigint")).alias("t"))
+    if exclude_empty:
+        src = src.where(F.col("key") != "")  # also drops NULL keys, like `key != ''`
     return src.groupBy("key", "ad", "t").agg(F.count(F.lit(1)).alias("m"))
 
 
+def _heavy(c: DataFrame, min_group_rows: int | None) -> DataFrame:
+    """The combined rows of groups with at least that many events.  A rule with
+    threshold ``n`` passes ``n + 1``: a group with at most ``n`` events can
+    neither exceed ``n`` in a window nor form an island larger than ``n``, so
+    this is exact, and it keeps light groups (most, at scale) out of the sorts.
+    (An inner join with unique keys: a semi-join would be pushed below the
+    aggregate, to the raw rows.)"""
+    if min_group_rows is None:
+        return c
+    heavy = (c.groupBy(*_ID).agg(F.sum("m").alias("_n")).where(F.col("_n") >= min_group_rows)
+             .select(*_ID))
+    return c.join(heavy, _ID, "inner")
+
+
 # ------------------------------------------------------------------ frequency
 def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                      window_ms: int = FREQUENCY_WINDOW_MS, exclude_empty: bool = False,
                      min_group_rows: int | None = None) -> DataFrame:
     """``(key, ad, t, m, cnt)``: for each distinct timestamp, the events of the
-    same (key, ad) in ``[t - window_ms, t]``."""
-    c = timestamp_counts(log, key, ad, t, exclude_empty, min_group_rows)
-    bucket = _floor_div(F.col("t"), window_ms)
+    same (key, ad) in ``[t - window_ms, t]`` (NULL ``t``: those without a time)."""
+    c = _heavy(_with_id(timestamp_counts(log, key, ad, t, exclude_empty)), min_group_rows)
+    bucket = F.expr(f"t div {window_ms}")        # valid times are not negative
     # Each timestamp goes to its own bucket (cur) and, as context, to the next
     # one; one pass (explode), so the aggregated rows are read once.
-    copies = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("cur")),
-                               F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("cur"))))
-    both = (c.select("key", "ad", "t", "m", copies.alias("_c"))
-            .select("key", "ad", "t", "m", "_c.bucket", "_c.cur"))
-    w = Window.partitionBy("key", "ad", "bucket").orderBy("t").rangeBetween(-window_ms, 0)
-    return (both
-            .withColumn("cnt", F.sum("m").over(w))
-            .where(F.col("cur"))
-            .select("key", "ad", "t", "m", "cnt"))
+    own = F.struct(F.coalesce(bucket, F.lit(-1)).alias("bucket"), F.lit(True).alias("cur"))
+    following = F.struct((F.coalesce(bucket, F.lit(-1)) + 1).alias("bucket"), F.lit(False).alias("cur"))
+    copies = F.explode(F.when(F.col("t").isNull(), F.array(own)).otherwise(F.array(own, following)))
+    both = (c.select(*_ID, "t", "m", copies.alias("_c"))
+            .select(*_ID, "t", "m", "_c.bucket", "_c.cur"))
+    w = Window.partitionBy(*_ID, "bucket").orderBy("t").rangeBetween(-window_ms, 0)
+    return _from_id(both.withColumn("cnt", F.sum("m").over(w)).where(F.col("cur"))
+                    .select(*_ID, "t", "m", "cnt"))
 
 
 def _keys(df: DataFrame, key: str, distinct: bool) -> DataFrame:
@@ -115,67 +120,51 @@ def high_frequency_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "e
                         window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
                         exclude_empty: bool = False, distinct: bool = True, prune: bool = True) -> DataFrame:
     """Distinct keys that, for some ad, have more than ``threshold`` events in
-    a trailing ``window_ms`` window (light groups pruned first, exactly)."""
+    a trailing ``window_ms`` window (light groups dropped first, exactly)."""
     fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty,
                           min_group_rows=threshold + 1 if prune else None)
     return _keys(fc.where(F.col("cnt") > threshold), key, distinct)
 
 
-def high_frequency_keys_direct(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                               window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
-                               exclude_empty: bool = False, distinct: bool = True) -> DataFrame:
-    """Reference form: one RANGE window per (key, ad) over the raw rows."""
-    src = _source(log, key, ad, t, exclude_empty)
-    w = Window.partitionBy("key", "ad").orderBy("t").rangeBetween(-window_ms, 0)
-    return _keys(src.withColumn("cnt", F.count(F.lit(1)).over(w)).where(F.col("cnt") > threshold), key, distinct)
-
-
 # ------------------------------------------------------------------ fixed period
-# Group identity of a (key, ad) pair with NULLs made explicit, so that joins
-# and windows share plain equality keys (a null-safe join would re-shuffle).
-_ID = ["kk", "kn", "aa", "an"]
+def _ordered_parts(log: DataFrame, key: str, ad: str, t: str, dedup: bool, min_group_rows: int | None,
+                   null_time: int | None, scope: Staging) -> DataFrame:
+    """``(id, t, m, part)``: the combined rows in range parts of (id, t).  Staged,
+    as a second evaluation of the ranges could cut them elsewhere."""
+    c = _with_id(timestamp_counts(log, key, ad, t))
+    if null_time is None:
+        c = c.where(F.col("t").isNotNull())
+    else:
+        c = (c.withColumn("t", F.coalesce("t", F.lit(null_time).cast("bigint")))
+             .groupBy(*_ID, "t").agg(F.sum("m").alias("m")))
+    if dedup:
+        c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
+    c = _heavy(c, min_group_rows)
+    return scope.table(c.repartitionByRange(*_ID, "t").withColumn("part", F.spark_partition_id()), "ordered_times")
 
 
-def _with_id(df: DataFrame) -> DataFrame:
-    return df.select(F.coalesce(F.col("key"), F.lit("")).alias("kk"), F.col("key").isNull().alias("kn"),
-                     F.coalesce(F.col("ad"), F.lit("")).alias("aa"), F.col("ad").isNull().alias("an"),
-                     *[c for c in df.columns if c not in ("key", "ad")])
+def _part_edges(parts: DataFrame) -> DataFrame:
+    """One row per part: its first and last (id, t) and its neighbours' (as many
+    rows as the range exchange has partitions, so one task may order them)."""
+    place = F.struct(*_ID, "t")
+    e = parts.groupBy("part").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    w = Window.orderBy("part")
+    return e.select("part", "first", "last", F.lag("last").over(w).alias("before"), F.lead("first").over(w).alias("after"))
 
 
-def _from_id(df: DataFrame) -> DataFrame:
-    rest = [c for c in df.columns if c not in _ID]
-    return df.select(F.when(~F.col("kn"), F.col("kk")).alias("key"),
-                     F.when(~F.col("an"), F.col("aa")).alias("ad"), *rest)
+def _is(place: str) -> Column:
+    """Does the row belong to the group of this edge?"""
+    ok = F.lit(True)
+    for c in _ID:
+        ok = ok & (F.col(c) == F.col(f"{place}.{c}"))
+    return F.coalesce(ok, F.lit(False))
 
 
-def _cycle_rows_id(log: DataFrame, key: str, ad: str, t: str, dedup: bool,
-                   lead_default: int | None, chunk_ms: int, min_group_rows: int | None = None) -> DataFrame:
-    c = timestamp_counts(log, key, ad, t, min_group_rows=min_group_rows)
-    if dedup:
-        # 1 for every timestamp; written in terms of the count (see below).
-        c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
-    # One exchange of the aggregated rows by (key, ad, chunk): the chunk
-    # summary is aggregated in place from it, and the summary join and the
-    # row windows below keep its partitioning.
-    c = _with_id(c).withColumn("chunk", _floor_div(F.col("t"), chunk_ms)).repartition(*_ID, "chunk")
-
-    wk = Window.partitionBy(*_ID).orderBy("chunk")
-    # min/max read the count ``m`` so that Catalyst keeps the per-timestamp
-    # aggregate below them (it folds away an aggregate under min/max of its
-    # keys, which would scan the log a second time); with it, both branches
-    # share the exchanges of the aggregated rows.
-    has = F.col("m") > 0
-    summary = (c.groupBy(*_ID, "chunk").agg(F.min(F.when(has, F.col("t"))).alias("cmin"),
-                                             F.max(F.when(has, F.col("t"))).alias("cmax"))
-               .select(*_ID, "chunk", F.lag("cmax").over(wk).alias("prev_t"),
-                       F.lead("cmin").over(wk).alias("next_t")))
-    # LEFT (every row has its chunk): an inner join would infer extra filters on
-    # this side and keep the two branches from sharing their exchange.
-    rows = c.join(summary, [*_ID, "chunk"], "left")
-
-    wc = Window.partitionBy(*_ID, "chunk").orderBy("t")
-    prev = F.coalesce(F.lag("t").over(wc), F.col("prev_t"), F.lit(0).cast("bigint"))
-    nxt = F.coalesce(F.lead("t").over(wc), F.col("next_t"))
+def _cycle_rows(parts: DataFrame, lead_default: int | None) -> DataFrame:
+    rows = parts.join(F.broadcast(_part_edges(parts)), "part", "left")   # a row per part
+    w = Window.partitionBy("part", *_ID).orderBy("t")
+    prev = F.coalesce(F.lag("t").over(w), F.when(_is("before"), F.col("before.t")), F.lit(0).cast("bigint"))
+    nxt = F.coalesce(F.lead("t").over(w), F.when(_is("after"), F.col("after.t")))
     e = nxt - F.col("t")
     e_lead = e if lead_default is None else F.coalesce(e, F.lit(lead_default).cast("bigint"))
 
@@ -186,70 +175,69 @@ def _cycle_rows_id(log: DataFrame, key: str, ad: str, t: str, dedup: bool,
     multi = flag(F.col("time_diff")) + flag(F.col("_e"))
     out = (rows.withColumn("time_diff", F.col("t") - prev).withColumn("_e", e_lead)
            .withColumn("tag", F.when(F.col("m") == 1, single).otherwise(multi))
-           .withColumn("local_sum", F.sum("tag").over(wc.rowsBetween(Window.unboundedPreceding, 0))))
-    return out.select(*_ID, "chunk", "t", "m", "time_diff", "tag", "local_sum")
+           .withColumn("local_sum", F.sum("tag").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    return out.select(*_ID, "part", "t", "m", "time_diff", "tag", "local_sum")
 
 
 def cycle_rows(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-               dedup: bool = True, lead_default: int | None = 0,
-               chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
-    """Per distinct timestamp: ``(key, ad, chunk, t, m, time_diff, tag, local_sum)``.
+               dedup: bool = True, lead_default: int | None = 0, null_time: int | None = None,
+               scope: Staging | None = None) -> DataFrame:
+    """Per distinct timestamp: ``(key, ad, part, t, m, time_diff, tag, local_sum)``.
 
     ``m`` is the number of events at ``t`` (1 with ``dedup``), ``time_diff``
     that of the first of them, ``tag`` the number of tags the ``m`` rows carry
-    and ``local_sum`` the running tag sum inside the chunk.
+    and ``local_sum`` the running tag sum inside the part.
     """
-    return _from_id(_cycle_rows_id(log, key, ad, t, dedup, lead_default, chunk_ms))
+    scope = scope or session_scope(log.sparkSession)
+    return _from_id(_cycle_rows(_ordered_parts(log, key, ad, t, dedup, None, null_time, scope), lead_default))
+
+
+def _carried(parts: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Per part whose first group goes on from earlier parts: the tags that the
+    group has there.  A scan over the parts: a group that fills whole parts adds
+    up over them, and starts again where another group ends."""
+    edges = _part_edges(parts)
+    last = (pieces.join(F.broadcast(edges.select("part", "last")), "part").where(_is("last"))
+            .groupBy("part").agg(F.max("local_sum").alias("tags")))
+    same = lambda a, b: F.coalesce(F.struct(*[F.col(f"{a}.{c}") for c in _ID]) == F.struct(*[F.col(f"{b}.{c}") for c in _ID]), F.lit(False))
+    e = edges.join(F.broadcast(last), "part").select("part", "first", "tags", same("before", "first").alias("goes_on"),
+                                                     same("first", "last").alias("one_group"))
+    w = Window.orderBy("part")
+    e = e.withColumn("run", F.sum(F.when(F.col("goes_on") & F.col("one_group"), 0).otherwise(1)).over(w))
+    e = e.withColumn("upto", F.sum("tags").over(Window.partitionBy("run").orderBy("part")))
+    return (e.withColumn("carry", F.lag("upto").over(w)).where("goes_on").select("part", "first", "carry"))
 
 
 def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                  dedup: bool = True, lead_default: int | None = 0,
-                  chunk_ms: int = DEFAULT_CHUNK_MS, min_group_rows: int | None = None) -> DataFrame:
+                  dedup: bool = True, lead_default: int | None = 0, min_group_rows: int | None = None,
+                  null_time: int | None = None, scope: Staging | None = None) -> DataFrame:
     """``(key, ad, sum_tag, n)``: events per island (the reference's
     ``group by ad, key, sum_tag``); with ``min_group_rows``, only for groups
     with at least that many events."""
-    rows = _cycle_rows_id(log, key, ad, t, dedup, lead_default, chunk_ms, min_group_rows)
-    # Keyed by (id, chunk, ...): no new exchange of rows.  The chunk's tag total
-    # is its largest running sum, read from the (small) pieces, so the row
-    # windows run once.
-    pieces = rows.groupBy(*_ID, "chunk", "local_sum").agg(F.sum("m").alias("n"))
-    totals = pieces.groupBy(*_ID, "chunk").agg(F.max("local_sum").alias("tags"))
-    wk = Window.partitionBy(*_ID).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*_ID, "chunk", F.coalesce(F.sum("tags").over(wk), F.lit(0)).alias("offset"))
-    # LEFT for the same reason as above: every piece has its chunk's offset.
-    islands = (pieces.join(offsets, [*_ID, "chunk"], "left")
-               .withColumn("sum_tag", (F.col("offset") + F.col("local_sum")).cast("bigint"))
+    scope = scope or session_scope(log.sparkSession)
+    parts = _ordered_parts(log, key, ad, t, dedup, min_group_rows, null_time, scope)
+    rows = _cycle_rows(parts, lead_default)
+    # Keyed like the windows, so no new exchange; staged, so the windows run once
+    # for both uses below.
+    pieces = scope.table(rows.groupBy("part", *_ID, "local_sum").agg(F.sum("m").alias("n")), "pieces")
+    carried = F.broadcast(_carried(parts, pieces))                        # a row per part at most
+    offset = F.when(_is("first"), F.col("carry")).otherwise(F.lit(0))
+    islands = (pieces.join(carried, "part", "left")
+               .withColumn("sum_tag", (F.col("local_sum") + offset).cast("bigint"))
                .groupBy(*_ID, "sum_tag").agg(F.sum("n").cast("bigint").alias("n")))
     return _from_id(islands)
 
 
 def cycle_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-               threshold: int = CYCLE_IP_THRESHOLD, dedup: bool = True,
-               lead_default: int | None = 0, chunk_ms: int = DEFAULT_CHUNK_MS,
-               distinct: bool = True, prune: bool = True) -> DataFrame:
+               threshold: int = CYCLE_IP_THRESHOLD, dedup: bool = True, lead_default: int | None = 0,
+               distinct: bool = True, prune: bool = True, null_time: int | None = None,
+               scope: Staging | None = None) -> DataFrame:
     """Distinct keys with an island of equal gaps larger than ``threshold``
-    (light groups pruned first, exactly)."""
-    isl = cycle_islands(log, key, ad, t, dedup, lead_default, chunk_ms,
-                        min_group_rows=threshold + 1 if prune else None)
+    (light groups dropped first, exactly)."""
+    isl = cycle_islands(log, key, ad, t, dedup, lead_default, threshold + 1 if prune else None, null_time, scope)
     return _keys(isl.where(F.col("n") > threshold), key, distinct)
 
 
-def cycle_islands_direct(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                         dedup: bool = True, lead_default: int | None = 0) -> DataFrame:
-    """Reference form: lag / lead / running sum over whole (key, ad) groups."""
-    src = _source(log, key, ad, t, False)
-    if dedup:
-        src = src.distinct()
-    w = Window.partitionBy("ad", "key").orderBy("t")
-    w2 = Window.partitionBy("ad", "key").orderBy(F.col("t"), F.col("time_diff").desc())
-    lead = (F.lead("time_diff", 1).over(w2) if lead_default is None
-            else F.lead("time_diff", 1, lead_default).over(w2))
-    x = (src.withColumn("time_diff", F.col("t") - F.lag("t", 1, 0).over(w))
-         .withColumn("tag", F.when(F.col("time_diff") - lead != 0, 1).otherwise(0))
-         .withColumn("sum_tag", F.sum("tag").over(w)))
-    return x.groupBy("key", "ad", "sum_tag").agg(F.count(F.lit(1)).alias("n"))
-
-
 # ------------------------------------------------------------------ the four rules
 def high_frequency_ip(log: DataFrame, window_ms: int = FREQUENCY_WINDOW_MS,
                       threshold: int = FREQUENCY_THRESHOLD, **kw) -> DataFrame:

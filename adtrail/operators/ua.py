@@ -6,20 +6,27 @@ priority wins; the version is ``regexp_extract(ua, version_pattern, 1)``.
 Agents matching no rule of an attribute get ``Unknown`` and a NULL version.
 
 The agents are deduplicated first (one regex pass per distinct agent, not per
-event), matched against the broadcast rule table (its size is checked), and
-the result is joined back on the agent string.  The rule table below is ours:
+event).  The rules are a parameter of the job (a list, or a table that is read
+into one, at most ``MAX_RULES`` rows): each attribute is one ``CASE`` chain of
+literal patterns, compiled once per task, and a chain stops at its first match.
+The result is joined back on the agent string.  The rule table below is ours:
 the third-party library the warehouse used is not part of it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtrail.plans.broadcast import bounded, join_small
+from adtrail.plans.broadcast import join_small
 from adtrail.schemas import UA_RULES
+from adtrail.staging import Staging, session_scope
 
 UNKNOWN = "Unknown"
+# The longest rule table; a longer one is an error, never cut.
+MAX_RULES = 10_000
 
 # --- fixed values: our UA rule table (attribute, priority, pattern, value, version_pattern)
 # Patterns use the syntax common to Java regex and RE2.
@@ -56,32 +63,48 @@ def default_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(UA_RULE_ROWS, UA_RULES)
 
 
-def parse_agents(agents: DataFrame, rules: DataFrame, ua_col: str = "ua",
-                 max_rows: int | None = None) -> DataFrame:
+def rule_list(rules: DataFrame | Iterable[tuple]) -> list[tuple]:
+    """``(attribute, priority, pattern, value, version_pattern)`` rows by priority."""
+    if isinstance(rules, DataFrame):
+        cols = ("attribute", "priority", "pattern", "value", "version_pattern")
+        rules = [tuple(r) for r in rules.select(*cols).limit(MAX_RULES + 1).collect()]
+    out = sorted(rules, key=lambda r: (r[0], r[1]))
+    if len(out) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} agent rules")
+    return out
+
+
+def _chain(rules: list[tuple], ua: Column, result, default) -> Column:
+    """The first matching rule's result."""
+    out = None
+    for r in rules:
+        out = (F if out is None else out).when(ua.rlike(r[2]), result(r))
+    return F.lit(default) if out is None else out.otherwise(F.lit(default))
+
+
+def parse_agents(agents: DataFrame, rules: DataFrame | Iterable[tuple], ua_col: str = "ua") -> DataFrame:
     """Distinct agents -> ``(ua_col, ua_struct)``."""
-    side, _ = bounded(rules.select("attribute", "priority", "pattern", "value", "version_pattern"), max_rows)
-    # Regex theta join against the small rule table: a broadcast nested-loop join.
-    m = agents.select(F.col(ua_col).alias("_ua")).join(side, F.expr("_ua rlike pattern"), "left")
-    aggs = []
-    for a in ATTRIBUTES:
-        pick = F.when(F.col("attribute") == a, F.col("priority"))
-        aggs.append(F.min_by(F.struct("value", "version_pattern"), pick).alias(f"_{a}"))
-    best = m.groupBy("_ua").agg(*aggs)
+    by: dict[str, list[tuple]] = {a: [] for a in ATTRIBUTES}
+    for r in rule_list(rules):
+        if r[0] in by:
+            by[r[0]].append(r)
+    ua = F.col(ua_col)
+    no_version = F.lit(None).cast("string")
 
-    def name(a: str):
-        return F.coalesce(F.col(f"_{a}.value"), F.lit(UNKNOWN))
+    def name(a: str) -> Column:
+        return _chain(by[a], ua, lambda r: F.lit(r[3]), UNKNOWN)
 
-    def version(a: str):
-        return F.expr(f"regexp_extract(_ua, _{a}.version_pattern, 1)")
+    def version(a: str) -> Column:
+        return _chain(by[a], ua, lambda r: F.regexp_extract(ua, r[4], 1) if r[4] else no_version, None).cast("string")
 
     st = F.struct(
         name("browser").alias("browser"), version("browser").alias("browserVersion"),
         name("engine").alias("engine"), version("engine").alias("engineVersion"),
         name("os").alias("os"), version("os").alias("osVersion"),
         name("platform").alias("platform"),
-        F.coalesce(F.col("_mobile.value") == "true", F.lit(False)).alias("isMobile"),
+        (_chain(by["mobile"], ua, lambda r: F.lit(r[3]), "false") == "true").alias("isMobile"),
     )
-    return best.select(F.col("_ua").alias(ua_col), st.alias("ua_struct"))
+    return agents.select(ua_col, st.alias("ua_struct"))
 
 
 def distinct_agents(df: DataFrame, ua_col: str = "client_ua") -> DataFrame:
@@ -89,8 +112,8 @@ def distinct_agents(df: DataFrame, ua_col: str = "client_ua") -> DataFrame:
     return df.select(F.col(ua_col).alias("_agent")).where(F.col("_agent") != "").distinct()
 
 
-def attach_ua_struct(df: DataFrame, rules: DataFrame, ua_col: str = "client_ua",
-                     max_rows: int | None = None) -> DataFrame:
+def attach_ua_struct(df: DataFrame, rules: DataFrame | Iterable[tuple], ua_col: str = "client_ua",
+                     max_rows: int | None = None, scope: Staging | None = None) -> DataFrame:
     parsed = parse_agents(distinct_agents(df, ua_col), rules, "_agent")
-    joined = join_small(df, parsed, (ua_col, "_agent"), "left", max_rows, stage=True)
+    joined = join_small(df, parsed, (ua_col, "_agent"), "left", max_rows, stage=scope or session_scope(df.sparkSession))
     return joined.drop("_agent")

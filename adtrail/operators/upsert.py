@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtrail.plans.broadcast import join_small, materialize
+from adtrail.plans.broadcast import join_small
+from adtrail.staging import Staging, session_scope
 
 
 def latest_per_key(incoming: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -19,13 +20,13 @@ def latest_per_key(incoming: DataFrame, keys: list[str], order_by: list[str]) ->
 
 
 def upsert_replace(existing: DataFrame, incoming: DataFrame, keys: list[str],
-                   max_rows: int | None = None) -> DataFrame:
+                   max_rows: int | None = None, scope: Staging | None = None) -> DataFrame:
     """Rows of ``existing`` whose key is not in ``incoming``, plus ``incoming``
     (the effect of ``REPLACE INTO`` keyed on ``keys``).  ``incoming`` should
     hold one row per key (see :func:`latest_per_key`).  The incoming batch is
     staged once (its keys and its rows come from that table) and measured; a
     batch within the bound is broadcast, so the large existing table is
     filtered in place rather than shuffled."""
-    inc = materialize(incoming.select(*existing.columns), "upsert_incoming")
+    inc = (scope or session_scope(existing.sparkSession)).table(incoming.select(*existing.columns), "upsert_incoming")
     kept = join_small(existing, inc.select(*keys), keys, "left_anti", max_rows)
     return kept.unionByName(inc)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adtrail.staging import Staging
+
 # Default bounds on a broadcast side (rows, and bytes measured as the JSON
 # length of its rows); a session can override them with
 # ``adtrail.broadcast.maxRows`` / ``adtrail.broadcast.maxBytes``.
@@ -40,49 +42,12 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"])
 
 
-# Staged tables of this process, per application, until released.
-_STAGED: dict[str, list[str]] = {}
-
-
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once as a parquet table in the shared folder and read it
-    back: one job, lineage cut (an eager ``checkpoint()`` would compute the
-    input twice: once for its action, once to write).  A job that has written
-    its output releases its staged tables with :func:`release_staged`."""
-    from adtrail.session import fresh_dir
-
-    spark = df.sparkSession
-    path = fresh_dir(spark, "materialized", name)
-    df.write.mode("overwrite").parquet(path)
-    _STAGED.setdefault(_app_id(spark), []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _app_id(spark) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # Spark Connect: no SparkContext on the client
-        return "default"
-
-
-def release_staged(spark) -> int:
-    """Delete the staged tables of this application (after its output is
-    written; DataFrames reading them are invalid afterwards)."""
-    paths = _STAGED.pop(_app_id(spark), [])
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-    return len(paths)
-
-
-def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False,
+def bounded(df: DataFrame, max_rows: int | None = None, stage: Staging | None = None,
             known: tuple[int, int] | None = None) -> tuple[DataFrame, bool]:
     """Return ``(side, is_broadcast)``: ``broadcast(df)`` when its measured row
-    count is within the bound, else ``df`` unchanged.  ``stage`` writes a
-    derived side to the shared folder first (see :func:`materialize`)."""
-    side = materialize(df) if stage else df
+    count is within the bound, else ``df`` unchanged.  ``stage`` is
+    the scope that holds a derived side, written to the shared folder first."""
+    side = stage.table(df, "side") if stage is not None else df
     limit = max_broadcast_rows(side, max_rows)
     max_bytes = _conf_int(side, "adtrail.broadcast.maxBytes", DEFAULT_MAX_BROADCAST_BYTES)
     # One cheap job over a small side (none when its size is already known);
@@ -94,7 +59,7 @@ def bounded(df: DataFrame, max_rows: int | None = None, stage: bool = False,
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int | None = None, stage: bool = False,
+               max_rows: int | None = None, stage: Staging | None = None,
                known: tuple[int, int] | None = None) -> DataFrame:
     """Join ``small`` onto ``big``.  ``on`` is a column name, a list of names,
     or a ``(big_col, small_col)`` pair of names for an equi-join.  ``known``

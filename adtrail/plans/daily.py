@@ -1,4 +1,4 @@
-"""Daily layer jobs: origin text -> ODS -> DIM -> DWD, one business date per run.
+"""Daily layer jobs: sources -> origin text -> ODS -> DIM -> DWD, one business date per run.
 
 ``run(spark, layer, tables="all", date=None, ...)`` selects a layer and either
 every table of it or a comma list; ``date`` defaults to yesterday.  Every
@@ -18,6 +18,7 @@ Warehouse layout (``root`` is a folder every executor reaches)::
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +29,11 @@ from adtrail.fixed import LOG_FIELD_DELIMITER, ODS_FIELD_DELIMITER
 from adtrail.operators.dims import dim_ads, dim_crawler, dim_platform
 from adtrail.operators.flags import RuleParams
 from adtrail.operators.parse import parse_log
-from adtrail.operators.ua import default_rules
-from adtrail.plans.broadcast import release_staged
+from adtrail.operators.ua import UA_RULE_ROWS
 from adtrail.plans.fact import build_event_fact
-from adtrail.sinks.partitions import overwrite_partition
+from adtrail.sinks.partitions import overwrite_partition, write_text
 from adtrail.sources.text import read_crawler_json, read_delimited_text, spread
+from adtrail.staging import Staging
 
 ODS_DELIMITERS = {name: (LOG_FIELD_DELIMITER if name == "ods_ad_log_inc" else ODS_FIELD_DELIMITER)
                   for name in schemas.ODS_TABLES}
@@ -78,6 +79,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+# ---------------------------------------------------------------- import
+def import_layer(spark: SparkSession, wh: Warehouse, reader: Callable[[str], DataFrame], date: str,
+                 tables: str = "all") -> list[str]:
+    """First step of the day: every selected source table is copied whole to
+    ``origin/<table>/<date>`` as delimited gzip text, replacing what is there.
+    ``reader`` gives a table by name (e.g. a partitioned JDBC read)."""
+    done = []
+    for t in _select(tables, schemas.ODS_TABLES):
+        columns = [c for c in schemas.ODS_TABLES[t].names if c != "dt"]
+        write_text(reader(t).select(*columns), wh.origin(t, date), ODS_DELIMITERS[t])
+        done.append(t)
+    return done
+
+
 # ---------------------------------------------------------------- ODS
 def load_ods(spark: SparkSession, wh: Warehouse, date: str, tables: str = "all") -> list[str]:
     """Origin text of the day -> ``ods/<table>/dt=<date>`` (gzip text, replaced).
@@ -127,17 +142,21 @@ def read_dim(spark: SparkSession, wh: Warehouse, table: str, date: str) -> DataF
 
 # ---------------------------------------------------------------- DWD
 def build_dwd(spark: SparkSession, wh: Warehouse, date: str, ranges: DataFrame,
-              ua_rules: DataFrame | None = None, params: RuleParams = RuleParams(),
-              crawler_mode: str = "fanout") -> None:
-    log = parse_log(spread(read_ods(spark, wh, "ods_ad_log_inc", date)))
+              ua_rules=None, params: RuleParams = RuleParams(), crawler_mode: str = "fanout") -> None:
+    """The day's fact.  ``crawler_mode`` ``fanout`` or ``flag`` needs the crawler
+    dimension (an error if it is missing); ``none`` builds without it.  Staged
+    tables belong to this build and go when it ends, well or not."""
     crawler_path = wh.dim("dim_crawler_user_agent")
-    crawler = spark.read.orc(crawler_path) if path_exists(spark, crawler_path) else None
-    fact = build_event_fact(log, read_dim(spark, wh, "dim_ads_info_full", date),
-                            read_dim(spark, wh, "dim_platform_info_full", date), ranges,
-                            ua_rules if ua_rules is not None else default_rules(spark), crawler,
-                            params, crawler_mode, keep_dt=False)
-    overwrite_partition(fact, wh.dwd("dwd_ads_event_inc"), date)
-    release_staged(spark)  # the day is written: drop the staged intermediate tables
+    if crawler_mode != "none" and not path_exists(spark, crawler_path):
+        raise FileNotFoundError(f"no crawler dimension at {crawler_path}: build it, or ask for crawler_mode='none'")
+    crawler = None if crawler_mode == "none" else spark.read.orc(crawler_path)
+    with Staging(spark) as scope:
+        log = parse_log(spread(read_ods(spark, wh, "ods_ad_log_inc", date)))
+        fact = build_event_fact(log, read_dim(spark, wh, "dim_ads_info_full", date),
+                                read_dim(spark, wh, "dim_platform_info_full", date), ranges,
+                                ua_rules if ua_rules is not None else UA_RULE_ROWS, crawler,
+                                params, crawler_mode, keep_dt=False, scope=scope)
+        overwrite_partition(fact, wh.dwd("dwd_ads_event_inc"), date)
 
 
 def register_views(spark: SparkSession, wh: Warehouse) -> list[str]:
@@ -162,9 +181,11 @@ def register_views(spark: SparkSession, wh: Warehouse) -> list[str]:
 
 def run(spark: SparkSession, layer: str, wh: Warehouse, tables: str = "all", date: str | None = None,
         **kw) -> None:
-    """Run one layer for one business date: ``ods``, ``dim``, ``dwd`` or ``crawler``."""
+    """Run one layer for one business date: ``import``, ``ods``, ``dim``, ``dwd`` or ``crawler``."""
     d = business_date(date)
-    if layer == "ods":
+    if layer == "import":
+        import_layer(spark, wh, kw["reader"], d, tables)
+    elif layer == "ods":
         load_ods(spark, wh, d, tables)
     elif layer == "dim":
         build_dims(spark, wh, d, tables)

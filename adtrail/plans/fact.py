@@ -20,25 +20,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.operators.crawler import agent_patterns
-from adtrail.operators.flags import RuleParams, choose_strategy, join_flags, prepare_flagged, rule_sets
+from adtrail.operators.flags import RULES, RuleParams, join_flags, prepare_flagged, rule_set
 from adtrail.operators.geo import attach_region, prepare_ranges
 from adtrail.operators.ua import parse_agents
-from adtrail.plans.broadcast import bounded, materialize
+from adtrail.plans.broadcast import bounded
 from adtrail.schemas import FACT_COLUMNS
+from adtrail.staging import Staging, session_scope
 
 
-def agent_info(log: DataFrame, ua_rules: DataFrame, crawler: DataFrame | None,
-               crawler_mode: str = "fanout", ua_col: str = "client_ua",
-               max_rows: int | None = None) -> DataFrame:
+def agent_info(log: DataFrame, ua_rules, crawler, crawler_mode: str = "fanout",
+               ua_col: str = "client_ua") -> DataFrame:
     """One row per (distinct agent, matching crawler pattern):
     ``(_agent, ua_struct, crawler_pattern)``; or, with ``crawler_mode='flag'``,
     one row per agent with ``is_crawler``."""
     agents = log.select(F.col(ua_col).alias("_agent")).where(F.col("_agent").isNotNull()).distinct()
-    parsed = parse_agents(agents.where(F.col("_agent") != ""), ua_rules, "_agent", max_rows)
+    parsed = parse_agents(agents.where(F.col("_agent") != ""), ua_rules, "_agent")
     info = agents.join(parsed, "_agent", "left")
     if crawler is None:
         return info
-    pairs = agent_patterns(log, crawler, ua_col, max_rows).withColumnRenamed("pattern", "crawler_pattern")
+    pairs = agent_patterns(log, crawler, ua_col).withColumnRenamed("pattern", "crawler_pattern")
     if crawler_mode == "flag":
         hits = pairs.select("_agent").distinct().withColumn("is_crawler", F.lit(True))
         return (info.join(hits, "_agent", "left")
@@ -47,9 +47,8 @@ def agent_info(log: DataFrame, ua_rules: DataFrame, crawler: DataFrame | None,
 
 
 def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges: DataFrame,
-           ua_rules: DataFrame, crawler: DataFrame | None, params: RuleParams = RuleParams(),
-           crawler_mode: str = "fanout", max_rows: int | None = None,
-           stage_log: bool = True) -> DataFrame:
+           ua_rules, crawler, params: RuleParams = RuleParams(), crawler_mode: str = "fanout",
+           max_rows: int | None = None, stage_log: bool = True, scope: Staging | None = None) -> DataFrame:
     """Coarse log -> every fact input column joined on (before projection).
 
     With ``stage_log`` the coarse log is written once as a columnar table in
@@ -62,25 +61,26 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
     together from a small thread pool and overlap on the cluster; the joins
     themselves are then one map-side pass over the log.
     """
+    scope = scope or session_scope(log.sparkSession)
     if stage_log:
-        log = materialize(log, "coarse_log")
-        params = choose_strategy(log, params)
-    sets = rule_sets(log, params, distinct=False)  # de-duplicated once, in the flagged-key table
+        log = scope.table(log, "coarse_log")
     ads = ads_dim.select(F.col("ad_id").alias("_ad_id"), "ad_name", "product_id", "product_name",
                          "product_price", "material_id", "material_url", "group_id")
     plat = platform_dim.select(F.col("id").alias("platform_id"), F.col("platform_name_en").alias("_pne"),
                                "platform_name_zh")
     tasks = {
         "region": lambda: prepare_ranges(ranges, max_rows=max_rows),
-        "info": lambda: bounded(agent_info(log, ua_rules, crawler, crawler_mode, max_rows=max_rows),
-                                max_rows, stage=True),
-        "flags": lambda: prepare_flagged(sets),
-        "ads": lambda: bounded(ads, max_rows),
-        "plat": lambda: bounded(plat, max_rows),
+        "info": lambda: bounded(agent_info(log, ua_rules, crawler, crawler_mode), max_rows, stage=scope),
+        "ads": lambda: bounded(ads, max_rows, stage=scope),       # staged: measured and joined, computed once
+        "plat": lambda: bounded(plat, max_rows, stage=scope),
     }
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+    # Keys are de-duplicated once, in the flagged-key table.
+    rules = {r: (lambda r=r: rule_set(log, r, params, False, scope)) for r in RULES}
+    with ThreadPoolExecutor(max_workers=len(tasks) + len(rules)) as pool:
+        sets = {k: pool.submit(f) for k, f in rules.items()}
         futures = {k: pool.submit(f) for k, f in tasks.items()}
-        side = {k: f.result() for k, f in futures.items()}
+        flags = prepare_flagged({k: f.result() for k, f in sets.items()}, scope)
+        side = {k: f.result() for k, f in futures.items()} | {"flags": flags}
 
     x = attach_region(log, ranges, "client_ip", prepared=side["region"])
     info = side["info"][0]
@@ -133,12 +133,12 @@ def project_fact(x: DataFrame, keep_dt: bool = True) -> DataFrame:
 
 
 def build_event_fact(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges: DataFrame,
-                     ua_rules: DataFrame, crawler: DataFrame | None, params: RuleParams = RuleParams(),
-                     crawler_mode: str = "fanout", keep_dt: bool = True,
-                     max_rows: int | None = None, stage_log: bool = True) -> DataFrame:
+                     ua_rules, crawler, params: RuleParams = RuleParams(), crawler_mode: str = "fanout",
+                     keep_dt: bool = True, max_rows: int | None = None, stage_log: bool = True,
+                     scope: Staging | None = None) -> DataFrame:
     """The 25-column fact from the coarse (parsed) log.  ``crawler_mode``:
     ``fanout`` (one row per matching crawler pattern, the warehouse behaviour)
     or ``flag`` (no fan-out; an ``is_crawler`` column follows the 25 columns)."""
     x = enrich(log, ads_dim, platform_dim, ranges, ua_rules, crawler, params, crawler_mode, max_rows,
-               stage_log)
+               stage_log, scope)
     return project_fact(x, keep_dt)

@@ -6,6 +6,8 @@
   rows of a day whose new result is empty.)
 * ``write_partitioned`` writes every day present in the frame, replacing
   exactly those days (dynamic overwrite).
+* Days are written after a ``rebalance``, so a day is neither many small files
+  nor one task's work.
 * Text writers put NULL out as ``''`` (import layout) or ``\\N`` (export).
 """
 
@@ -18,8 +20,7 @@ from pyspark.sql import functions as F
 def overwrite_partition(df: DataFrame, root: str, dt: str, fmt: str = "orc",
                         compression: str = "snappy", files: int | None = None) -> None:
     out = df.drop("dt") if "dt" in df.columns else df
-    if files:
-        out = out.repartition(files)
+    out = out.repartition(files) if files else out.hint("rebalance")
     out.write.mode("overwrite").format(fmt).option("compression", compression).save(f"{root.rstrip('/')}/dt={dt}")
 
 
@@ -32,9 +33,9 @@ def _by_day(df: DataFrame, files_per_day: int | None) -> DataFrame:
     """Cluster rows by ``dt`` into ``files_per_day`` groups per day (a
     deterministic hash of the row picks the group), so a day is written by
     that many tasks rather than one, and each task writes one day.  ``None``
-    keeps the current partitioning (each task writes the days it holds)."""
+    rebalances: AQE joins small outputs of a day and splits large ones."""
     if not files_per_day:
-        return df
+        return df.hint("rebalance", "dt")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
     return df.repartition(F.col("dt"), salt)
 

@@ -62,3 +62,10 @@ def shard_union(shards: list[DataFrame]) -> DataFrame:
     projected to the first shard's column list, then bag-unioned."""
     cols = shards[0].columns
     return reduce(DataFrame.unionByName, [s.select(*cols) for s in shards])
+
+
+def shards_by_key(table: DataFrame, key: str, shards: int) -> list[DataFrame]:
+    """A table as its shards: rows by ``key`` modulo ``shards`` and, last, the
+    rows without a key.  Every row is in exactly one shard."""
+    place = F.pmod(F.col(key), F.lit(shards))
+    return [*(table.where(place == i) for i in range(shards)), table.where(F.col(key).isNull())]

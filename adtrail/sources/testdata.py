@@ -16,8 +16,11 @@ with the data.  The log's query string is built from the event like this:
 path                  ``/ad/<platform>/<event_type>``; platform is
                       ``p<event_id % 150>``, or ``unknown`` when
                       ``event_id % 13 = 0`` (no platform match)
-``t``                 epoch ms of ``ts`` (clock ``ms``) or of the day
-                      of ``ts`` (clock ``day``: equal gaps occur)
+``t``                 epoch ms of ``ts`` (clock ``ms``; of the day of ``ts``
+                      for ``user_id % 4 = 1``, so equal gaps occur) or of
+                      the day (clock ``day``); absent when ``event_id % 23
+                      = 5``; the smallest bigint, the largest, or -1 when
+                      ``event_id % 97`` is 7, 8 or 9
 ``id``                ``user_id % 7 * 5 + <event type index>``; the key
                       is absent when ``event_id % 17 = 0``
 ``ip``                ``10.<user_id % 256>.<user_id div 256>.1``;
@@ -47,6 +50,8 @@ ENCODED_AGENTS = (
     "Mozilla%2F5.0+%28compatible%3B+Baiduspider%2F2.0%3B+%2Bhttp%3A%2F%2Fwww.baidu.com%2Fsearch%2Fspider.html%29",
 )
 EVENT_TYPES = ("view", "click", "error", "purchase", "signup")
+# Times that no event has, by ``event_id % 97``.
+HOSTILE_TIMES = ((7, "-9223372036854775808"), (8, "9223372036854775807"), (9, "-1"))
 # First address of the derived IP space: 10.0.0.0
 IP_BASE = 167772160
 # Each nation owns eight /16 blocks.
@@ -75,7 +80,10 @@ def _event_type_index(c: Column) -> Column:
 def request_log(events: DataFrame, clock: str = "ms") -> DataFrame:
     """``ods_ad_log_inc`` rows (+ ``dt``) from ``events``."""
     eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    t = _epoch_ms(F.date_trunc("DAY", ts) if clock == "day" else ts)
+    coarse = F.lit(True) if clock == "day" else uid % 4 == 1
+    t = F.when(coarse, _epoch_ms(F.date_trunc("DAY", ts))).otherwise(_epoch_ms(ts)).cast("string")
+    for rest, hostile in HOSTILE_TIMES:
+        t = F.when(eid % 97 == rest, F.lit(hostile)).otherwise(t)
     platform = F.when(eid % 13 == 0, F.lit("unknown")).otherwise(F.concat(F.lit("p"), (eid % 150).cast("string")))
     ad = ((uid % 7) * 5 + _event_type_index(F.col("event_type"))).cast("string")
     ip = F.when(uid % 50 == 48, F.concat(F.lit("10.300."), uid.cast("string"), F.lit(".1"))) \
@@ -96,7 +104,7 @@ def request_log(events: DataFrame, clock: str = "ms") -> DataFrame:
 
     query = F.concat_ws(
         "&",
-        kv("t", t.cast("string")),
+        kv("t", t, eid % 23 == 5),
         kv("id", ad, eid % 17 == 0),
         kv("ip", ip, eid % 101 == 0),
         kv("ua", ua),
@@ -168,7 +176,10 @@ def _duck_case(sel: str, values: tuple[str, ...]) -> str:
 
 def request_log_sql(clock: str = "ms") -> str:
     """DuckDB SQL equal to :func:`request_log` (for the oracle)."""
-    t = "epoch_us(date_trunc('day', ts)) // 1000" if clock == "day" else "epoch_us(ts) // 1000"
+    coarse = "true" if clock == "day" else "user_id % 4 = 1"
+    hostile = " ".join(f"WHEN event_id % 97 = {r} THEN '{v}'" for r, v in HOSTILE_TIMES)
+    t = (f"CASE {hostile} WHEN {coarse} THEN CAST(epoch_us(date_trunc('day', ts)) // 1000 AS VARCHAR) "
+         "ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END")
     type_idx = "CASE event_type " + " ".join(
         f"WHEN '{n}' THEN {i}" for i, n in enumerate(EVENT_TYPES)) + " END"
     ua = f"CASE WHEN event_id % 8 = 6 THEN '' ELSE {_duck_case('event_id % 8', ENCODED_AGENTS)} END"
@@ -176,7 +187,7 @@ def request_log_sql(clock: str = "ms") -> str:
 SELECT CAST(ts AS VARCHAR) AS time_local, 'GET' AS request_method,
        '/ad/' || CASE WHEN event_id % 13 = 0 THEN 'unknown' ELSE 'p' || CAST(event_id % 150 AS VARCHAR) END
        || '/' || event_type || '?' || concat_ws('&',
-            't=' || CAST({t} AS VARCHAR),
+            CASE WHEN event_id % 23 = 5 THEN NULL ELSE 't=' || ({t}) END,
             CASE WHEN event_id % 17 = 0 THEN NULL ELSE 'id=' || CAST(user_id % 7 * 5 + {type_idx} AS VARCHAR) END,
             CASE WHEN event_id % 101 = 0 THEN NULL
                  WHEN user_id % 50 = 48 THEN 'ip=10.300.' || CAST(user_id AS VARCHAR) || '.1'

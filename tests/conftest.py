@@ -11,8 +11,8 @@ def spark():
     from adtrail.session import get_spark, shared_dir
 
     s = get_spark("local[4]", 4, app="adtrail-tests")
-    # The shared folder comes from the session (spark.checkpoint.dir); only
-    # when nothing is configured does shared_dir() create one of its own.
+    # The shared folder comes from the session (spark.checkpoint.dir) or, on a
+    # local master without it, is a folder of this process.
     shared_dir(s)
     yield s
 

@@ -6,7 +6,7 @@ from adtrail.fixed import LOG_FIELD_DELIMITER
 from adtrail.operators.crawler import CRAWLER_ROWS, default_patterns
 from adtrail.operators.dims import dim_ads, dim_platform
 from adtrail.operators.parse import parse_log
-from adtrail.operators.ua import default_rules
+from adtrail.operators.ua import UA_RULE_ROWS
 from adtrail.plans import daily
 from adtrail.plans import registry as R
 from adtrail.plans.fact import build_event_fact
@@ -40,14 +40,12 @@ def test_daily_layers_end_to_end(spark, tmp_path):
     daily.run(spark, "dwd", wh, date=DAY, ranges=ranges, params=R.PARAMS)
     daily.run(spark, "dwd", wh, date=DAY, ranges=ranges, params=R.PARAMS)   # re-run: idempotent
 
-    from adtrail.plans.broadcast import _STAGED
-    assert not _STAGED.get(spark.sparkContext.applicationId)              # staged tables released
     got = spark.read.orc(f"{wh.dwd('dwd_ads_event_inc')}/dt={DAY}")
     # same day computed in memory from the adapter, without the text/ORC round trips
     log = parse_log(R.raw_log(spark, SMOKE).where(F.col("dt") == DAY))
     ads = dim_ads(td.ads_info(td.read_table(spark, SMOKE, "part")), td.product_info(td.read_table(spark, SMOKE, "supplier")))
     plats = dim_platform(td.platform_info(td.read_table(spark, SMOKE, "customer")))
-    want = build_event_fact(log, ads, plats, ranges, default_rules(spark), default_patterns(spark), R.PARAMS,
+    want = build_event_fact(log, ads, plats, ranges, UA_RULE_ROWS, default_patterns(spark), R.PARAMS,
                             keep_dt=False)
     assert got.columns == want.columns
     key = lambda rows: sorted(map(tuple, rows), key=repr)
@@ -60,6 +58,63 @@ def test_daily_layers_end_to_end(spark, tmp_path):
     assert q.first()[0] == got.count()
 
 
+def _staged_now(spark):
+    import os
+    from adtrail.session import shared_dir
+    root = shared_dir(spark, "staged").removeprefix("file:")
+    return {(d, x) for d in (os.listdir(root) if os.path.isdir(root) else []) for x in os.listdir(f"{root}/{d}")}
+
+
+def _ready(spark):
+    wh = daily.Warehouse(fresh_dir(spark, "warehouse"))
+    _origin(spark, wh)
+    daily.load_ods(spark, wh, DAY)
+    daily.run(spark, "dim", wh, date=DAY)
+    return wh
+
+
+def test_builds_release_their_own_tables_only(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from adtrail.staging import Staging
+    ranges = R.ranges_as_library(spark, SMOKE)
+    with Staging(spark) as other:
+        held = other.table(spark.range(5), "other")
+        before = _staged_now(spark)
+        places = [_ready(spark) for _ in range(2)]
+        with ThreadPoolExecutor(2) as pool:                     # side by side
+            list(pool.map(lambda wh: daily.build_dwd(spark, wh, DAY, ranges, params=R.PARAMS, crawler_mode="none"), places))
+        got = [sorted(map(tuple, spark.read.orc(f"{wh.dwd('dwd_ads_event_inc')}/dt={DAY}").collect()), key=repr) for wh in places]
+        assert got[0] and got[0] == got[1]
+        assert _staged_now(spark) == before and held.count() == 5
+
+
+def test_a_failing_build_releases_its_tables(spark):
+    import pytest
+    wh = _ready(spark)
+    before = _staged_now(spark)
+    overlapping = spark.createDataFrame([(1, 10, "a|b|c|d|e"), (5, 20, "a|b|c|d|e")], "start_ip bigint, end_ip bigint, region string")
+    with pytest.raises(ValueError, match="overlap"):
+        daily.build_dwd(spark, wh, DAY, overlapping, params=R.PARAMS, crawler_mode="none")
+    assert _staged_now(spark) == before
+
+
+def test_missing_crawler_dimension_is_an_error(spark):
+    import pytest
+    wh = _ready(spark)
+    with pytest.raises(FileNotFoundError):
+        daily.build_dwd(spark, wh, DAY, R.ranges_as_library(spark, SMOKE))
+
+
+def test_import_layer_copies_tables(spark):
+    wh = daily.Warehouse(fresh_dir(spark, "warehouse"))
+    ads = td.ads_info(td.read_table(spark, SMOKE, "part"))
+    for _ in range(2):                                          # a re-run replaces the day
+        daily.run(spark, "import", wh, "ods_ads_info_full", DAY, reader=lambda t: ads)
+    daily.load_ods(spark, wh, DAY)
+    back = daily.read_ods(spark, wh, "ods_ads_info_full", DAY).drop("dt")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ads.select(*back.columns).collect()))
+
+
 def test_missing_origin_is_skipped(spark):
     wh = daily.Warehouse(fresh_dir(spark, "warehouse"))
     assert daily.load_ods(spark, wh, "2030-01-01") == []

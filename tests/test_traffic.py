@@ -3,7 +3,21 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from adtrail.fixed import MAX_EVENT_TIME_MS
 from adtrail.operators import traffic
+from tools import direct_forms
+
+
+@pytest.fixture(params=[1, 13])
+def parts(spark, request):
+    """One range part, and many (the same code runs at any size)."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], str(request.param))
+    spark.conf.set(keys[1], "false")
+    yield request.param
+    for k, v in old.items():
+        spark.conf.set(k, v)
 
 
 def _log(spark, rows, key="client_ip"):
@@ -48,7 +62,7 @@ def test_duplicates(spark):
                                 lead_default=None)
     assert sum(r["n"] for r in ip.collect()) == 2          # dedup on (ad, ip, t)
     assert sum(r["n"] for r in dev.collect()) == 4          # zero gaps kept
-    direct = traffic.cycle_islands_direct(_log(spark, rows, "client_device_id"), "client_device_id",
+    direct = direct_forms.cycle_islands_direct(_log(spark, rows, "client_device_id"), "client_device_id",
                                           dedup=False, lead_default=None)
     assert _islands(dev) == _islands(direct)
 
@@ -73,12 +87,12 @@ def _random_rows(seed, n_keys=4, n=400, hot=True):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_chunked_cycle_equals_direct(spark, seed):
+def test_parted_cycle_equals_direct(spark, parts, seed):
     rows = _random_rows(seed)
     for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
         log = _log(spark, rows, key)
-        fast = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead, chunk_ms=20000)
-        direct = traffic.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
+        fast = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead)
+        direct = direct_forms.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
         assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
 
 
@@ -87,7 +101,7 @@ def test_bucketed_frequency_equals_direct(spark, seed):
     log = _log(spark, _random_rows(seed))
     for w, th in ((5000, 3), (20000, 8)):
         fast = traffic.high_frequency_keys(log, "client_ip", window_ms=w, threshold=th)
-        direct = traffic.high_frequency_keys_direct(log, "client_ip", window_ms=w, threshold=th)
+        direct = direct_forms.high_frequency_keys_direct(log, "client_ip", window_ms=w, threshold=th)
         assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
 
 
@@ -135,7 +149,7 @@ def _islands_python(rows, dedup, lead_default):
 
 
 @pytest.mark.parametrize("seed", [11, 12])
-def test_islands_match_plain_python(spark, seed):
+def test_islands_match_plain_python(spark, parts, seed):
     rnd = random.Random(seed)
     rows = []
     for _ in range(300):
@@ -147,22 +161,22 @@ def test_islands_match_plain_python(spark, seed):
             rows.append(rows[-1])          # duplicates
     for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
         log = _log(spark, rows, key)
-        got = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead, chunk_ms=15000)
+        got = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead)
         got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in got.collect()), key=repr)
         assert got == _islands_python(rows, dedup, lead), key
 
 
 @pytest.mark.parametrize("seed", [21, 22])
-def test_pruned_flags_equal_unpruned_and_direct(spark, seed):
+def test_pruned_flags_equal_unpruned_and_direct(spark, parts, seed):
     rows = _random_rows(seed, n_keys=12, n=300)
     rows += [(None, "1", 1000 * i) for i in range(9)] + [("k0", None, 5000 * i) for i in range(7)]
     for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
         log = _log(spark, rows, key)
-        for th in (2, 4, 6):
-            pruned = traffic.cycle_keys(log, key, threshold=th, dedup=dedup, lead_default=lead, chunk_ms=20000)
-            full = traffic.cycle_keys(log, key, threshold=th, dedup=dedup, lead_default=lead, chunk_ms=20000,
+        for th in (4,):
+            pruned = traffic.cycle_keys(log, key, threshold=th, dedup=dedup, lead_default=lead)
+            full = traffic.cycle_keys(log, key, threshold=th, dedup=dedup, lead_default=lead,
                                       prune=False)
-            isl = traffic.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
+            isl = direct_forms.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead)
             direct = isl.where(F.col("n") > th).select("key").distinct()
             want = sorted((r[0] for r in direct.collect()), key=repr)
             assert sorted((r[0] for r in pruned.collect()), key=repr) == want
@@ -170,3 +184,66 @@ def test_pruned_flags_equal_unpruned_and_direct(spark, seed):
         fast = traffic.high_frequency_keys(log, key, window_ms=8000, threshold=3)
         slow = traffic.high_frequency_keys(log, key, window_ms=8000, threshold=3, prune=False)
         assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, slow.collect()), key=repr)
+
+
+def test_one_key_with_scattered_times(spark, parts):
+    rnd = random.Random(31)
+    times = sorted(rnd.sample(range(0, MAX_EVENT_TIME_MS, 7_200_000), 1500))
+    times += [times[-1] + 1000 * i for i in range(1, 40)]
+    rows = [("hot", "1", t) for t in times] + [("a", "1", 5), ("z", None, 7)]
+    for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
+        got = traffic.cycle_islands(_log(spark, rows, key), key, dedup=dedup, lead_default=lead)
+        got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in got.collect()), key=repr)
+        assert got == _islands_python(rows, dedup, lead)
+
+
+def test_equal_gaps_over_whole_parts(spark, parts):
+    """One island over many parts, between two other groups."""
+    rows = [("hot", "1", 1000 * i) for i in range(1, 400)] + [("a", "1", 3), ("hot", "0", 9), ("z", "1", 4)]
+    got = traffic.cycle_islands(_log(spark, rows), "client_ip")
+    got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in got.collect()), key=repr)
+    assert got == _islands_python(rows, True, 0)
+
+
+def test_no_window_holds_a_whole_key(spark):
+    log = _log(spark, _random_rows(3))
+    for df in (traffic.cycle_keys(log, "client_ip"), traffic.high_frequency_keys(log, "client_ip"),
+               traffic.cycle_rows(log, "client_ip")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for line in plan.splitlines():
+            if "Window [" in line:
+                by = line.split("], [")[1]      # Window [functions], [partition], [order]
+                assert "part#" in by or "bucket#" in by or "kk#" not in by, line
+
+
+HOSTILE = (-2 ** 63, 2 ** 63 - 1, -1, MAX_EVENT_TIME_MS)
+
+
+def test_hostile_times_count_as_missing(spark, parts):
+    rows = [("a", "1", t) for t in (*HOSTILE, 1000, 2000, 3000)] + [("b", "1", t) for t in HOSTILE]
+    log = _log(spark, rows)
+    got = {(r["key"], r["t"]): r["cnt"] for r in traffic.frequency_counts(log, "client_ip", window_ms=1500).collect()}
+    assert got == {("a", None): 4, ("a", 1000): 1, ("a", 2000): 2, ("a", 3000): 2, ("b", None): 4}
+    for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
+        isl = traffic.cycle_islands(_log(spark, rows, key), key, dedup=dedup, lead_default=lead)
+        valid = [(k, a, t if 0 <= t < MAX_EVENT_TIME_MS else None) for k, a, t in rows]
+        got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in isl.collect()), key=repr)
+        assert got == _islands_python(valid, dedup, lead)
+
+
+def test_missing_times_are_peers_in_the_frequency_rule(spark):
+    rows = [("a", "1", None)] * 150 + [("b", "1", None)] * 100 + [("a", "1", 5)]
+    log = _log(spark, rows)
+    assert [r[0] for r in traffic.high_frequency_ip(log).collect()] == ["a"]
+    direct = direct_forms.high_frequency_keys_direct(log, "client_ip")
+    assert [r[0] for r in direct.collect()] == ["a"]
+
+
+def test_missing_times_in_the_period_rule_by_choice(spark):
+    rows = [("a", "1", None), ("a", "1", None), ("a", "1", 1000), ("a", "1", 2000)]
+    log = _log(spark, rows)
+    nowhere = traffic.cycle_islands(log, "client_ip", dedup=False)
+    assert sum(r["n"] for r in nowhere.collect()) == 2
+    at_zero = traffic.cycle_islands(log, "client_ip", dedup=False, null_time=0)
+    got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in at_zero.collect()), key=repr)
+    assert got == _islands_python([(k, a, t or 0) for k, a, t in rows], False, 0)
