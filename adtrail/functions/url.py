@@ -7,8 +7,6 @@ A missing query key gives NULL, ``k=`` gives ``''``.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,13 +32,18 @@ def url_part(url, part: str) -> Column:
     return F.try_parse_url(_col(url), F.lit(part))
 
 
-def query_value(query, key: str) -> Column:
-    """Value of ``key`` in an already extracted query string, with the same
-    rule as ``parse_url(u, 'QUERY', key)``: first ``(&|^)key=([^&]*)``;
-    NULL when the key is absent (or the query is NULL)."""
-    q = _col(query)
-    pattern = f"(&|^){re.escape(key)}=([^&]*)"
-    return F.when(q.rlike(pattern), F.regexp_extract(q, pattern, 2))
+def query_pairs(query) -> Column:
+    """An extracted query string as its ``key=value`` pairs (split once, for
+    every key that is read from it)."""
+    return F.split(_col(query), "&")
+
+
+def pair_value(pairs, key: str) -> Column:
+    """Value of ``key`` in :func:`query_pairs`, with the same rule as
+    ``parse_url(u, 'QUERY', key)``: first ``(&|^)key=([^&]*)``; NULL when the
+    key is absent (or the query is NULL)."""
+    first = F.get(F.filter(_col(pairs), lambda p: p.startswith(f"{key}=")), 0)
+    return F.substring(first, len(key) + 2, 2 ** 31 - 1)
 
 
 def split_element(path, index: int) -> Column:

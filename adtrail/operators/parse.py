@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.fixed import PATH_EVENT_TYPE_INDEX, PATH_PLATFORM_INDEX
-from adtrail.functions.url import absolute_url, decode, query_value, split_element, to_bigint, url_part, valid_event_time
+from adtrail.functions.url import absolute_url, decode, pair_value, query_pairs, split_element, to_bigint, url_part, valid_event_time
 from adtrail.staging import Staging
 
 
@@ -21,17 +21,17 @@ def parse_log(log: DataFrame, uri_col: str = "request_uri", keep: tuple[str, ...
     passthrough = [F.col(c) for c in keep if c in log.columns]
     # The URL is parsed twice per row (query, path) instead of once per field;
     # the key values come from the query with parse_url's own key rule.
-    parts = log.select(url_part(url, "QUERY").alias("_q"), url_part(url, "PATH").alias("_p"), *passthrough)
+    parts = log.select(query_pairs(url_part(url, "QUERY")).alias("_q"), url_part(url, "PATH").alias("_p"), *passthrough)
     q, p = F.col("_q"), F.col("_p")
     cols = [
-        valid_event_time(to_bigint(query_value(q, "t"))).alias("event_time"),
+        valid_event_time(to_bigint(pair_value(q, "t"))).alias("event_time"),
         split_element(p, PATH_EVENT_TYPE_INDEX).alias("event_type"),
-        query_value(q, "id").alias("ad_id"),
-        query_value(q, "ip").alias("client_ip"),
+        pair_value(q, "id").alias("ad_id"),
+        pair_value(q, "ip").alias("client_ip"),
         split_element(p, PATH_PLATFORM_INDEX).alias("platform_name_en"),
-        decode(query_value(q, "ua")).alias("client_ua"),
-        query_value(q, "os_type").alias("client_os_type"),
-        query_value(q, "device_id").alias("client_device_id"),
+        decode(pair_value(q, "ua")).alias("client_ua"),
+        pair_value(q, "os_type").alias("client_os_type"),
+        pair_value(q, "device_id").alias("client_device_id"),
     ]
     return parts.select(*cols, *passthrough)
 

@@ -1,10 +1,11 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Prints one JSON line.  ``value`` is the summed time of the headline
-(Spark-first) queries; ``queries`` holds each of them plus the naive,
-reference-shaped form of the operators that have one (suffix ``_naive``), so
-the two can be compared on the same data and machine.  Every query is fully
-executed with the ``noop`` sink (nothing is collected to the driver).
+Prints one JSON line.  ``value`` is the summed time of the headline queries.
+``queries`` holds each of them, and pairs to compare on the same data: the rule
+plans (``*_rule``) and the direct window forms (``*_direct``), both on one
+staged log made before the clock starts, and naive forms of two joins
+(``*_naive``).  Every query is fully executed with the ``noop`` sink (nothing
+is collected to the driver).
 """
 
 from __future__ import annotations
@@ -20,78 +21,46 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from adtrail.operators import traffic  # noqa: E402
 from adtrail.operators.crawler import crawler_match_naive, default_patterns  # noqa: E402
+from adtrail.operators.flags import rule_set  # noqa: E402
 from adtrail.operators.geo import lookup_ip_naive  # noqa: E402
 from adtrail.plans import registry as R  # noqa: E402
 from adtrail.session import get_spark  # noqa: E402
+from adtrail.staging import release_session  # noqa: E402
+from tools import direct_forms  # noqa: E402
 
 
-def naive_queries():
-    def hf_ip(spark, sf):
-        return traffic.high_frequency_keys_direct(R.coarse_log(spark, sf), "client_ip",
-                                                  window_ms=R.FREQ_WINDOW_MS, threshold=R.FREQ_THRESHOLD)
-
-    def cycle(key, dedup, lead_default, threshold):
-        def q(spark, sf):
-            isl = traffic.cycle_islands_direct(R.coarse_log(spark, sf, "day"), key, dedup=dedup,
-                                               lead_default=lead_default)
-            return isl.where(F.col("n") > threshold).select(F.col("key").alias(key)).distinct()
-        return q
-
-    def geo(spark, sf):
-        return lookup_ip_naive(R.coarse_log(spark, sf), R.ranges_as_library(spark, sf))
-
-    def crawler(spark, sf):
-        return crawler_match_naive(R.coarse_log(spark, sf), default_patterns(spark))
-
-    def fact_bounded(spark, sf):
-        from dataclasses import replace
-        from adtrail.plans.fact import build_event_fact
-        from adtrail.operators.crawler import default_patterns as pats
-        from adtrail.operators.ua import default_rules
-        return build_event_fact(R.coarse_log(spark, sf), R.ads_dim(spark, sf), R.platform_dim(spark, sf),
-                                R.ranges_as_library(spark, sf), default_rules(spark), pats(spark),
-                                replace(R.PARAMS, strategy="bounded"))
-
-    def bounded(rule, clock):
-        def q(spark, sf):
-            from dataclasses import replace
-            from adtrail.operators.flags import rule_sets
-            return rule_sets(R.coarse_log(spark, sf, clock), replace(R.PARAMS, strategy="bounded"))[rule]
-        return q
-
+def paired_queries(spark, sf):
+    """The rules and their direct forms on one staged log; naive joins."""
+    ms, day = R.staged_log(spark, sf), R.staged_log(spark, sf, "day")
     return {
-        # the skew-bounded plans forced (what runs above the row bound)
-        "fact_enriched_bounded": fact_bounded,
-        "high_frequency_ip_bounded": bounded("high_frequency_ip", "ms"),
-        "cycle_ip_bounded": bounded("cycle_ip", "day"),
-        "cycle_device_bounded": bounded("cycle_device", "day"),
-        "high_frequency_ip_naive": hf_ip,
-        "cycle_ip_naive": cycle("client_ip", True, 0, R.CYCLE_IP_MIN),
-        "cycle_device_naive": cycle("client_device_id", False, None, R.CYCLE_DEVICE_MIN),
-        "ip_geo_naive": geo,
-        "crawler_match_naive": crawler,
+        "high_frequency_ip_rule": lambda s, _: rule_set(ms, "high_frequency_ip", R.PARAMS),
+        "high_frequency_ip_direct": lambda s, _: direct_forms.high_frequency_keys_direct(
+            ms, "client_ip", window_ms=R.FREQ_WINDOW_MS, threshold=R.FREQ_THRESHOLD),
+        "cycle_ip_rule": lambda s, _: rule_set(day, "cycle_ip", R.PARAMS),
+        "cycle_ip_direct": lambda s, _: direct_forms.cycle_keys_direct(day, "client_ip", R.CYCLE_IP_MIN),
+        "cycle_device_rule": lambda s, _: rule_set(day, "cycle_device", R.PARAMS),
+        "cycle_device_direct": lambda s, _: direct_forms.cycle_keys_direct(
+            day, "client_device_id", R.CYCLE_DEVICE_MIN, dedup=False, lead_default=None),
+        "ip_geo_naive": lambda s, d: lookup_ip_naive(R.coarse_log(s, d), R.ranges_as_library(s, d)),
+        "crawler_match_naive": lambda s, d: crawler_match_naive(R.staged_log(s, d), default_patterns(s)),
     }
 
 
 def skew_profile(spark, sf):
-    """Largest single sort group when one IP carries a third of all events
-    (``event_time % 3 = 0`` is re-keyed to one address): the direct window
-    forms sort a whole (key, ad) group in one task; the bounded forms sort at
-    most one bucket (+ its context copy) or one chunk of distinct timestamps."""
+    """Largest sort group of one task when one IP carries a third of all events
+    (``event_time % 3 = 0`` is re-keyed to one address): the direct forms sort a
+    whole (key, ad) group; the frequency rule one bucket (and its context copy),
+    the period rule at most one range part."""
     log = R.coarse_log(spark, sf).withColumn(
         "client_ip", F.when(F.col("event_time") % 3 == 0, F.lit("10.0.0.1")).otherwise(F.col("client_ip")))
     direct = log.groupBy("client_ip", "ad_id").count().agg(F.max("count")).first()[0]
-    counts = traffic.timestamp_counts(log, "client_ip")
-    w = 300_000
-    b = F.floor(F.col("t") / w)
+    counts = traffic.timestamp_counts(log, "client_ip").where(F.col("t").isNotNull())
+    b = F.floor(F.col("t") / 300_000)
     freq = (counts.select("key", "ad", F.explode(F.array(b, b + 1)).alias("b"))
             .groupBy("key", "ad", "b").count().agg(F.max("count")).first()[0])
-    chunk = (counts.groupBy("key", "ad", F.floor(F.col("t") / traffic.DEFAULT_CHUNK_MS))
-             .count().agg(F.max("count")).first()[0])
-    total = log.count()
-    return {"rows": total, "hot_key_rows": log.where(F.col("client_ip") == "10.0.0.1").count(),
-            "direct_window_max_group": direct, "bounded_frequency_max_group": freq,
-            "bounded_cycle_max_group": chunk}
+    part = (traffic.cycle_rows(log, "client_ip").groupBy("part").count().agg(F.max("count")).first()[0])
+    return {"rows": log.count(), "hot_key_rows": log.where(F.col("client_ip") == "10.0.0.1").count(),
+            "direct_window_max_group": direct, "frequency_max_group": freq, "period_max_part": part}
 
 
 HEADLINE = ["fact_enriched", "parse_log", "high_frequency_ip", "high_frequency_device", "cycle_ip",
@@ -126,7 +95,8 @@ def main():
     times = {}
     for k in HEADLINE:
         times[k] = round(run(spark, R.QUERIES[k], sf, REPEAT), 3)
-    for k, fn in naive_queries().items():
+        release_session()
+    for k, fn in paired_queries(spark, sf).items():
         times[k] = round(run(spark, fn, sf, REPEAT), 3)
     total = round(sum(times[k] for k in HEADLINE), 3)
     sf_label = os.path.basename(sf.rstrip("/")).replace("sf", "")

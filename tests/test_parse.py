@@ -39,13 +39,13 @@ def test_bad_escape_decodes_to_null(spark):
 
 
 def test_single_parse_equals_parse_url_per_key(spark):
-    from adtrail.functions.url import absolute_url, query_param, query_value, url_part
+    from adtrail.functions.url import absolute_url, pair_value, query_pairs, query_param, url_part
 
     uris = ["/a/b/c?t=1&t=2", "/a?xt=1&t=2", "/a?t=&id=3#frag&t=9", "/a?id=a%26b&t=5", "/a", "/a?",
             "/a b?t=1", "/a?ua=x+y&os_type=&device_id", "/a?T=1&t=2", "/p/q/r/s?ip=1.2.3.4&ip=5.6.7.8"]
     df = spark.createDataFrame([(u,) for u in uris], "u string")
     url = absolute_url(F.col("u"))
     for key in ("t", "id", "ip", "ua", "os_type", "device_id"):
-        got = df.select(query_value(url_part(url, "QUERY"), key).alias("a"),
+        got = df.select(pair_value(query_pairs(url_part(url, "QUERY")), key).alias("a"),
                         query_param(url, key).alias("b")).collect()
         assert all(r["a"] == r["b"] for r in got), key

@@ -15,7 +15,7 @@ import re
 import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
-import __spark_entry__ as E  # noqa: E402
+from adtrail.plans import registry  # noqa: E402
 from adtrail.session import get_spark  # noqa: E402
 
 
@@ -50,7 +50,7 @@ def main():
     print("| query | shuffle | broadcast | BHJ | SMJ | SHJ | BNLJ | window | codegen stages |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     details = []
-    for k, fn in E.queries().items():
+    for k, fn in registry.QUERIES.items():
         df = fn(spark, sf)
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
         print(f"| {k} | {s['shuffle']} | {s['broadcast']} | {s['BHJ']} | {s['SMJ']} | {s['SHJ']} | {s['BNLJ']} | "
