@@ -8,7 +8,7 @@ from adtrail.operators import traffic
 from tools import direct_forms
 
 
-@pytest.fixture(params=[1, 13])
+@pytest.fixture(params=[1, 7])
 def parts(spark, request):
     """One range part, and many (the same code runs at any size)."""
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
