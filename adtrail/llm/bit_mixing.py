@@ -41,7 +41,7 @@ from adtrail.staging import Staging
 VOCABULARY = 1 << 18
 TABLE_BITS = (19, 20, 20)
 BLOCK = 1 << 14               # table slots of one gathered row
-STEP = 64                     # bits between weight updates
+STEP = 128                    # bits between weight updates
 SEGMENT = 1 << 14             # bits after which weights start afresh
 GATES = 18
 RATE = 0.02
@@ -49,7 +49,7 @@ START_WEIGHT = 0.4
 END = np.uint64(0x5E9D)       # the end token's name
 ESCAPE = np.uint64(0xE5C)
 _CHUNK = 1 << 19
-_PENDING = 1 << 23            # bits counted at a time
+_PENDING = 1 << 22            # bits counted at a time
 _PARTIAL = 1_500_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -127,10 +127,10 @@ class Code:
         return self._index
 
 
-def make_code(tokens: list[tuple[int, int]], total: int, ends: int, byte_counts: np.ndarray) -> Code:
-    """``tokens``: (name, count) of the most frequent words, in a fixed order."""
-    names = np.array([ESCAPE, END, *[np.uint64(t & 0xFFFFFFFFFFFFFFFF) for t, _ in tokens]], dtype=np.uint64)
-    known = np.array([c for _, c in tokens], dtype=np.int64)
+def make_code(tokens: np.ndarray, known: np.ndarray, total: int, ends: int, byte_counts: np.ndarray) -> Code:
+    """``tokens``: the signed names of the most frequent words, in a fixed order; ``known``: their counts."""
+    names = np.concatenate([np.array([ESCAPE, END], np.uint64), tokens.astype(np.int64).view(np.uint64)])
+    known = known.astype(np.int64)
     rest = max(1, total - ends - int(known.sum()))
     counts = np.concatenate([[0, ends], known]).astype(np.int64)
     weights = np.concatenate([[rest, max(1, ends)], known])
@@ -297,27 +297,28 @@ def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
 def token_counts(training: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``kind, token, n``: words (kind 0), bytes of words (1; 256: words), ends (2)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
         letters, ends = np.zeros(257, np.int64), 0
 
         def out(kind, token, n):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), pa.array(token.view(np.int64)), pa.array(n)], ["kind", "token", "n"])
 
+        def merged():
+            names, where = np.unique(np.concatenate([w[0] for w in waiting]), return_inverse=True)
+            return names, np.bincount(where, np.concatenate([w[1] for w in waiting]), len(names)).astype(np.int64)
+
         for batch in batches:
             for t in W.texts(batch.column(1)):
                 data, starts, ends_at, h, _ = token_names(t)
                 letters[:256] += np.bincount(data[~W.SPACE[data]], minlength=256)
                 letters[256] += len(starts)
                 ends += t.rows
-                new, n = np.unique(h, return_counts=True)
-                both = np.concatenate([names, new])
-                names, where = np.unique(both, return_inverse=True)
-                counts = np.bincount(where, np.concatenate([counts, n]), len(names)).astype(np.int64)
-                if len(names) > _PARTIAL:
-                    yield out(0, names, counts)
-                    names, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if len(names):
-            yield out(0, names, counts)
+                waiting.append(np.unique(h, return_counts=True))
+                if sum(len(w[0]) for w in waiting) > _PARTIAL:
+                    yield out(0, *merged())
+                    waiting = []
+        if waiting:
+            yield out(0, *merged())
         if ends:
             yield out(1, np.arange(257, dtype=np.uint64), letters)
             yield out(2, np.zeros(1, np.uint64), np.array([ends]))
@@ -331,12 +332,14 @@ def gather_tables(training: DataFrame, code, text: str = "text", key: str = "doc
     sizes = [1 << b for b in TABLE_BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(2 * s, np.int64) for s in sizes]
+        held = [np.zeros(2 * s, np.uint32) for s in sizes]
         used, waiting, bits = False, [], 0
 
         def count():
             for i in range(3):
-                held[i] += np.bincount(np.concatenate([w[i] for w in waiting]), minlength=2 * sizes[i])
+                held[i] += np.bincount(np.concatenate([w[i] for w in waiting]), minlength=2 * sizes[i]).astype(np.uint32)
+                for w in waiting:
+                    w[i] = None
 
         for batch in batches:
             for t in W.texts(batch.column(1), _CHUNK):
@@ -349,10 +352,13 @@ def gather_tables(training: DataFrame, code, text: str = "text", key: str = "doc
                     waiting, bits = [], 0
         if waiting:
             count()
-        if used:
-            every = np.concatenate(held).astype("<u4").reshape(-1, 2 * BLOCK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(every), dtype=np.int32)), pa.array([r.tobytes() for r in every], pa.binary())], ["part", "counts"])
+        for i in range(3 if used else 0):
+            rows = held[i].astype("<u4").reshape(-1, 2 * BLOCK)
+            held[i], before = None, sum(sizes[:i]) // BLOCK
+            for lo in range(0, len(rows), 16):
+                part = rows[lo:lo + 16]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(part), dtype=np.int32) + before + lo), pa.array([r.tobytes() for r in part], pa.binary())], ["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -395,11 +401,11 @@ def score(docs: DataFrame, training_rule, staging: Staging, text: str = "text",
         letters[r["token"]] = r["n"]
     total += ends
     distinct += 1 if ends else 0
-    top = words.orderBy(F.desc("n"), "token").limit(VOCABULARY).collect()    # a fixed bound
-    code = spark.sparkContext.broadcast(make_code([(r["token"], r["n"]) for r in top], total, ends, letters))
+    top = words.orderBy(F.desc("n"), "token").limit(VOCABULARY).toArrow()    # a fixed bound
+    tokens, known = top.column("token").to_numpy(), top.column("n").to_numpy()
+    code = spark.sparkContext.broadcast(make_code(tokens, known, total, ends, letters))
     tables = spark.sparkContext.broadcast(_collect_tables(gather_tables(training, code, text, key)))
-    known = [int(r["token"]) for r in top[-1:]]
-    least = int(top[-1]["n"]) if top else 0
+    least = int(known.min(initial=2 ** 62))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = code.value
@@ -428,7 +434,7 @@ def score(docs: DataFrame, training_rule, staging: Staging, text: str = "text",
     # Tokens without a code: their exact counts are joined.  Tokens with one
     # need not take part, so only counts up to the least coded one are read.
     rare = scored.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count(F.lit(1)).alias("times"))
-    rare = rare.join(words.filter(F.col("n") <= least) if known else words, "token", "left")
+    rare = rare.join(words.filter(F.col("n") <= least), "token", "left")
     c = F.coalesce("n", F.lit(0))
     rest = rare.groupBy("row").agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more"),
                                    F.sum(F.col("times") * F.log10(c + 0.5)).alias("more_base"))

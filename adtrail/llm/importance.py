@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from adtrail.llm import words as W
 from adtrail.staging import Staging
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 STRENGTH = 20.0
 SMOOTHING = 0.5
-KEEP_SHARE = 0.7          # k, as a share of the texts with words
+KEEP_SHARE = 0.85         # k, as a share of the texts with words
 SEED = 1
 BINS = 4096
 

@@ -119,7 +119,7 @@ def test_huffman_is_a_complete_prefix_code():
 
 def test_bits_spell_the_text():
     names = W.hashes(np.frombuffer(b"ab", np.uint8), np.array([0]), np.array([2]))
-    code = bit_mixing.make_code([(int(names.view(np.int64)[0]), 10)], 20, 3, np.arange(1, 258))
+    code = bit_mixing.make_code(names.view(np.int64), np.array([10]), 20, 3, np.arange(1, 258))
     t = next(W.texts(pa.array(["ab Zz ab", "", "q"])))
     b = bit_mixing.bits_of(t, code)
     words = {format(c, f"0{n}b"): i for i, (c, n) in enumerate(zip(*[x.tolist() for x in code.word]))}
@@ -148,7 +148,7 @@ def test_bits_spell_the_text():
 
 def test_probabilities_sum_to_one_over_all_texts_of_a_tiny_code():
     # Without counts every bit is even; two equal long texts then cost the same.
-    code = bit_mixing.make_code([], 1, 1, np.ones(257, np.int64))
+    code = bit_mixing.make_code(np.zeros(0, np.int64), np.zeros(0, np.int64), 1, 1, np.ones(257, np.int64))
     t = next(W.texts(pa.array(["abc", "abd"])))
     b = bit_mixing.bits_of(t, code)
     tables = bit_mixing.make_tables([np.zeros((1 << n, 2)) for n in bit_mixing.TABLE_BITS])
