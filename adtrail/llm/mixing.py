@@ -33,7 +33,7 @@ from adtrail.staging import Staging
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 SEED = 20
-RANGE_ROWS = 4096            # rows of one hash range of a length
+RANGE_ROWS = 512            # rows of one hash range of a length
 _SPACES = "[\\x20\\x09-\\x0D]+"
 
 
