@@ -147,5 +147,6 @@ def quality_sample(docs: DataFrame, labels: DataFrame, staging: Staging, **optio
     """:func:`resample` towards documents labelled good and not toxic."""
     good = labels.groupBy(F.col("doc_id").alias("__id")).agg(
         F.min(F.coalesce("quality", F.lit(0))).alias("__q"), F.max(F.coalesce("toxic", F.lit(0))).alias("__x")).filter("__q = 1 and __x = 0")
-    target = docs.join(good, docs["doc_id"] == good["__id"], "left_semi")
+    # Labels grow with the documents: always a shuffle join, at any size.
+    target = docs.join(good.hint("merge"), docs["doc_id"] == good["__id"], "left_semi")
     return resample(docs, target, staging, **options)
