@@ -264,7 +264,7 @@ def score_bits(b: Bits, tables: Tables, rate: float = RATE) -> np.ndarray:
 
     x = [padded(tables.odds[i][b.slots[i]], np.float32) for i in range(3)]
     gate = padded(tables.seen[2][b.slots[2]] * np.int8(3) + tables.seen[1][b.slots[1]] + b.spelt * np.int8(9), np.int8)
-    sign = padded(b.bit * np.float32(2) - np.float32(1), np.float32)    # 0: padding
+    against = padded(np.float32(1) - b.bit * np.float32(2), np.float32)   # 1 for a zero, -1 for a one, 0: padding
     order = np.argsort(-blocks, kind="stable")
     steps, first = blocks[order], start[:-1][order]
     weights = [np.full(len(order) * GATES, START_WEIGHT, np.float32) for _ in range(3)]
@@ -275,16 +275,17 @@ def score_bits(b: Bits, tables: Tables, rate: float = RATE) -> np.ndarray:
         while live and steps[live - 1] <= s:
             live -= 1
         now = first[:live] + s
-        xs, sg = [v[now] for v in x], sign[now]
+        xs, ag = [v[now] for v in x], against[now]
         which = lane[:live] + gate[now]
         dot = weights[0][which] * xs[0] + weights[1][which] * xs[1] + weights[2][which] * xs[2]
-        e = np.exp(np.minimum(-sg * dot, np.float32(80)))
+        e = np.exp(np.minimum(ag * dot, np.float32(80)))
         one = e + np.float32(1)
-        loss[:live] += (np.log(one) * np.abs(sg)).sum(axis=1, dtype=np.float64)
-        err = sg * (e / one) * np.float32(rate)                    # rate * (bit - p)
+        loss[:live] += np.log(one).sum(axis=1, dtype=np.float64)
+        err = ag * (e / one) * np.float32(-rate)                   # rate * (bit - p)
         flat = which.ravel()
         for i in range(3):
             weights[i][:live * GATES] += np.bincount(flat, (err * xs[i]).ravel(), live * GATES).astype(np.float32)
+    loss -= (steps * STEP - lane_bits[order]) * math.log(2)        # padding is an even bet
     out = np.zeros(rows)
     np.add.at(out, lane_row[order], -loss / math.log(10))
     return out
