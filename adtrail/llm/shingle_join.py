@@ -7,11 +7,11 @@ link when ``den * |A & B| >= num * |A | B|``.
    rows with one name are one node from here on, so copies are never paired.
 2. Size bands and parts.  Linked sets differ in at most ``k`` shingles, where
    ``k = floor((|A| + |B|) * (den - num) / (den + num))``.  Sizes are cut into
-   bands; in a band the hash range is cut into ``k + 1 + SPARE`` parts, so two
-   linked sets agree on more than ``SPARE`` whole parts.  Sets that agree on a
+   bands; in a band the hash range is cut into ``k + 1 + spare`` parts, so two
+   linked sets agree on more than ``spare`` whole parts.  Sets that agree on a
    part meet under its key.  Empty parts are left out, except by the rare sets
-   with more than ``SPARE`` of them.  A set also enters the band below if a
-   linked partner can lie there.  Equal keys are merged inside a task before
+   with more than ``spare`` of them (``spare_parts`` keeps them rare at any
+   threshold).  A set also enters the bands below if a linked partner can lie there.  Equal keys are merged inside a task before
    the shuffle, so a key has at most a row per task.
 3. Candidate clusters.  The sets under one key form a star (never all pairs);
    connected components of the stars are the clusters.  Every link lies inside one.
@@ -34,7 +34,9 @@ the smallest non-null id, if any.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,7 @@ from adtrail.staging import Staging
 
 SHINGLE = 3
 NUM, DEN = 90, 100
-SPARE = 2                     # parts that may agree by being empty
+SPARE = 2                     # parts that may agree by being empty, at least
 BAND_GROWTH = 1.5
 TILE_SHINGLES = 2_000_000     # shingles of one tile side
 _KEYS_HELD = 1_000_000
@@ -91,6 +93,23 @@ def max_difference(total: int, num: int, den: int) -> int:
     return total * (den - num) // (den + num)
 
 
+@lru_cache(maxsize=None)
+def spare_parts(n: int, k: int) -> int:
+    """How many parts may agree by being empty, for sets of ``n`` shingles or
+    more that differ in at most ``k``: the fewest that such a set's empty parts
+    exceed by four standard deviations only, or the best there are."""
+    best, s = (-math.inf, SPARE), SPARE
+    while s <= SPARE + n:
+        p = k + 1 + s
+        empty = math.exp(-n / p)
+        z = (s - p * empty) / math.sqrt(max(p * (empty - empty * empty * (1 + n / p)), 1e-9))
+        if z >= 4:
+            return s
+        best = max(best, (z, s))
+        s += max(1, s >> 4)
+    return best[1]
+
+
 def part_keys(x: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     """The part keys under which the set ``x`` must be entered."""
     n = len(x)
@@ -104,23 +123,24 @@ def part_keys(x: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
         k = max_difference(most + most * den // num, num, den)
         if not k:
             continue                     # only equal sets link: they have one name
-        p = k + 1 + SPARE
+        spare = spare_parts(int(EDGES[band]), k)
+        p = k + 1 + spare
         part = ((x >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)   # ascending, as x is
         at = np.searchsorted(part, np.arange(p + 1, dtype=np.uint64))
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(x), dtype=np.uint64)])
         sums, count = total[at[1:]] - total[at[:-1]], np.diff(at)
-        keep = np.flatnonzero(count) if np.count_nonzero(count == 0) <= SPARE else np.arange(p)
+        keep = np.flatnonzero(count) if np.count_nonzero(count == 0) <= spare else np.arange(p)
         tag = np.full(len(keep), band, np.uint64)
         out.append(W.combine(tag, keep.astype(np.uint64), count[keep].astype(np.uint64), sums[keep]).view(np.int64))
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def set_names(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def set_names(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, name`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in W.texts(batch.column(1)):
-                sets = list(shingle_sets(t))
+                sets = list(shingle_sets(t, size))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([set_name(x) for x in sets], pa.int64())], ["doc_id", "n_shingles", "name"])
@@ -132,7 +152,8 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("text"))
 
 
-def candidate_stars(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text", key: str = "doc_id") -> DataFrame:
+def candidate_stars(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text", key: str = "doc_id",
+                    size: int = SHINGLE) -> DataFrame:
     """Edges ``a, b`` between names that agree on a part, one star per part key."""
     def flush(keys: list[np.ndarray], names: list[int]):
         k = np.concatenate(keys)
@@ -153,7 +174,7 @@ def candidate_stars(docs: DataFrame, num: int = NUM, den: int = DEN, text: str =
         keys, names, held = [], [], 0
         for batch in batches:
             for t in W.texts(batch.column(1)):
-                for x in shingle_sets(t):
+                for x in shingle_sets(t, size):
                     k = part_keys(x, num, den)
                     if len(k):
                         keys.append(k)
@@ -301,12 +322,12 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     return ordered.select("cluster", "lo", "hi", "block", "name", "hashes").mapInArrow(run, "a bigint, b bigint")
 
 
-def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
     """The sets of one row per name in ``members`` (doc_id, name, cluster)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in W.texts(batch.column(2)):
-                sets = list(shingle_sets(t))
+                sets = list(shingle_sets(t, size))
                 names = batch.column(0).slice(t.first, t.rows).to_pylist()
                 # A repeated id may bring another text here: only the set named counts.
                 ok = pa.array([set_name(x) == y for x, y in zip(sets, names)], pa.bool_())
@@ -323,13 +344,13 @@ def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: st
 
 
 def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, text: str = "text",
-                    key: str = "doc_id", tile_shingles: int = TILE_SHINGLES) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row."""
-    named = staging.table(set_names(docs, text, key), "set_names")
-    clusters = components(candidate_stars(docs, num, den, text, key), staging)
+                    key: str = "doc_id", tile_shingles: int = TILE_SHINGLES, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row, by shingles of ``size`` words."""
+    named = staging.table(set_names(docs, text, key, size), "set_names")
+    clusters = components(candidate_stars(docs, num, den, text, key, size), staging)
     firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
     members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", F.col("root").alias("cluster")), "members")
-    sets = staging.table(member_sets(docs, members, text, key), "member_sets")
+    sets = staging.table(member_sets(docs, members, text, key, size), "member_sets")
     linked = components(link_tiles(_tiles(sets, tile_shingles), num, den), staging)
     # Names without a link are components of their own.
     rooted = firsts.join(linked, firsts["name"] == linked["node"], "left").select(
@@ -340,11 +361,11 @@ def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN) -> DataFrame:
+def one_of_each(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, size: int = SHINGLE) -> DataFrame:
     """The documents without later near copies: of each component the rows that
     stand at its smallest id stay (one row, if that row is repeated), and every
     document without words."""
-    found = link_components(docs, staging, num, den)
+    found = link_components(docs, staging, num, den, size=size)
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
     kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["__id"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])

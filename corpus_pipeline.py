@@ -12,6 +12,7 @@ from adtrail.llm import language_id, mixing, quality_rules, shingle_join, token_
 from adtrail.llm.queries import table, tokenizer_path
 from adtrail.staging import session_scope
 
+NEAR = {"size": 5, "num": 80, "den": 100}       # shingles of five words, Jaccard 0.8 or more
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -27,7 +28,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays."""
-    return shingle_join.one_of_each(docs, session_scope(spark)).select(*COLUMNS)
+    return shingle_join.one_of_each(docs, session_scope(spark), **NEAR).select(*COLUMNS)
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,3 +131,24 @@ def test_hashes_tell_spans_apart():
     data = np.frombuffer(b"abcdefgh abcdefghi abcdefgh\0 abcdefghabcdefgh", np.uint8)
     s, e, _ = W.spans(W.Texts(0, data, np.array([0, len(data)])))
     assert len(set(W.hashes(data, s, e).tolist())) == 4
+
+
+def test_part_keys_meet_for_every_linked_pair_at_eight_tenths():
+    rng = np.random.default_rng(6)
+    for n in [*range(4, 60), 130, 500, 2000]:
+        for _ in range(6):
+            a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            drop = int(rng.integers(0, S.max_difference(2 * n, 80, 100) + 1))
+            add = int(rng.integers(0, drop + 1))
+            b = np.unique(np.concatenate([rng.permutation(a)[drop - add:], rng.integers(0, 2 ** 63, add).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
+                assert len(np.intersect1d(S.part_keys(a, 80, 100), S.part_keys(b, 80, 100))), (n, drop, add)
+
+
+def test_unlike_sets_do_not_meet_by_empty_parts():
+    rng = np.random.default_rng(7)
+    for n in (60, 200, 1000):
+        keys = [S.part_keys(np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64)), 80, 100) for _ in range(60)]
+        every = np.concatenate([np.unique(k) for k in keys])
+        assert len(every) - len(np.unique(every)) <= 20, n
