@@ -19,9 +19,11 @@ link when ``den * |A & B| >= num * |A | B|``.
    ``TILE_SHINGLES`` in blocks that meet pairwise.  Inside a tile, sets are taken
    in order of how common their shingles are there (the original of a group of
    near copies first) and compared with those of fitting size that are not yet
-   connected to them: first by bitmap signatures, whose differing bits bound the
+   connected to them (with ``link_counts``: with all, so every link is met
+   exactly once and counted): first by bitmap signatures, whose differing bits bound the
    overlap from above, then by intersecting the sorted arrays.
-5. The links' connected components give every row the smallest id it reaches.
+5. A row's links are the other rows it links with: those of its own name, and
+   the copies of every linked name.  The links' connected components give every row the smallest id it reaches.
 
 No pair, partner or candidate is dropped anywhere.  The probability that two
 different shingles or sets share a 64-bit hash is about ``n**2 / 2**65``.
@@ -216,15 +218,15 @@ def components(edges: DataFrame, staging: Staging) -> DataFrame:
 
 
 def _tiles(member_sets: DataFrame, tile_shingles: int) -> DataFrame:
-    """``member_sets`` (cluster, name, n, hashes) with ``tile, side``: a row per
+    """``member_sets`` (cluster, name, n, hashes, copies) with ``tile, side``: a row per
     tile that the set takes part in."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / tile_shingles)).cast("int")
     sizes = member_sets.select("cluster", "n").groupBy("cluster").agg(F.sum("n").alias("total")).select("cluster", blocks.alias("blocks"))
     placed = member_sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tiled = placed.select("cluster", "name", "n", "hashes", "block", other)
+    tiled = placed.select("cluster", "name", "n", "hashes", "copies", "block", other)
     return tiled.select(F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "cluster",
-                        F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "name", "hashes")
+                        F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "name", "hashes", "copies")
 
 
 def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
@@ -238,11 +240,14 @@ def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def link_tile(sets: list[np.ndarray], side: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """The local root of every set.  Sets of different sides are compared, or,
-    if all have one side, all.  Pairs already connected are not compared."""
+def link_tile(sets: list[np.ndarray], side: np.ndarray, num: int = NUM, den: int = DEN,
+              copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The local root of every set, and its linked sets' ``copies`` in all.  Sets
+    of different sides are compared, or, if all have one side, all.  Without
+    ``copies``, pairs already connected are not compared and the sums are 0."""
     n = np.array([len(x) for x in sets], dtype=np.int64)
     root = np.arange(len(sets))
+    links = np.zeros(len(sets), np.int64)
     parent_members = {i: [i] for i in range(len(sets))}
     every = np.concatenate(sets)
     _, where, times = np.unique(every, return_inverse=True, return_counts=True)
@@ -256,7 +261,9 @@ def link_tile(sets: list[np.ndarray], side: np.ndarray, num: int = NUM, den: int
     band = np.searchsorted(EDGES, n, side="right") - 1
     for i in order.tolist():
         done[i] = True
-        open_ = ~done & (n * den >= n[i] * num) & (n * num <= n[i] * den) & (root != root[i])
+        open_ = ~done & (n * den >= n[i] * num) & (n * num <= n[i] * den)
+        if copies is None:
+            open_ &= root != root[i]
         if not one_side:
             open_ &= side != side[i]
         at = np.flatnonzero(open_)
@@ -275,13 +282,18 @@ def link_tile(sets: list[np.ndarray], side: np.ndarray, num: int = NUM, den: int
             part = at[lo:lo + 4096]
             differ = np.bitwise_count(signs[rows[part]] ^ signs[rows[i]]).sum(axis=1, dtype=np.int64)
             part = part[differ <= most[lo:lo + 4096]]
-            part = part[root[part] != root[i]]
+            if copies is None:
+                part = part[root[part] != root[i]]
             if not len(part):
                 continue
             stack = np.concatenate([sets[j] for j in part])
             hit = sets[i][np.minimum(np.searchsorted(sets[i], stack), n[i] - 1)] == stack
             both = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(n[part])[:-1]]))
-            for j in part[den * both >= num * (n[part] + n[i] - both)].tolist():
+            linked = part[den * both >= num * (n[part] + n[i] - both)]
+            if copies is not None:
+                links[linked] += copies[i]
+                links[i] += copies[linked].sum()
+            for j in linked[root[linked] != root[i]].tolist():
                 a, b = root[i], root[j]
                 if a != b:
                     if len(parent_members[a]) < len(parent_members[b]):
@@ -289,76 +301,90 @@ def link_tile(sets: list[np.ndarray], side: np.ndarray, num: int = NUM, den: int
                     moved = parent_members.pop(b)
                     root[moved] = a
                     parent_members[a] += moved
-    return root
+    return root, links
 
 
-def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Edges ``a, b`` that connect the linked sets of every tile."""
+def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = False) -> DataFrame:
+    """Edges ``a, b`` that connect the linked sets of every tile.  With ``count``
+    a row for every set with a link, ``links`` of the tile; a root's ``b`` is itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, sides, sets = [], [], []
+        names, sides, sets, copies = [], [], [], []
         now = None
 
+        def meet() -> bool:                          # a block that meets an empty one has met itself elsewhere
+            return len(sets) > 1 and (now[1] == now[2] or len(set(sides)) > 1)
+
         def edges():
-            root = link_tile(sets, np.array(sides), num, den)
+            root, links = link_tile(sets, np.array(sides), num, den, np.array(copies, dtype=np.int64) if count else None)
             name = np.array(names, dtype=np.int64)
-            off = np.flatnonzero(root != np.arange(len(root)))
-            return pa.RecordBatch.from_arrays([pa.array(name[off]), pa.array(name[root[off]])], ["a", "b"])
+            off = np.flatnonzero((root != np.arange(len(root))) | (links > 0))
+            return pa.RecordBatch.from_arrays([pa.array(name[off]), pa.array(name[root[off]]), pa.array(links[off])], ["a", "b", "links"])
 
         for batch in batches:
-            cols = [batch.column(i) for i in range(6)]
+            cols = [batch.column(i) for i in range(7)]
             for row in range(batch.num_rows):
                 at = tuple(cols[i][row].as_py() for i in range(3))      # cluster, lo, hi
                 if at != now:
-                    if len(sets) > 1:
+                    if meet():
                         yield edges()
-                    names, sides, sets, now = [], [], [], at
+                    names, sides, sets, copies, now = [], [], [], [], at
                 names.append(cols[4][row].as_py())
                 sides.append(cols[3][row].as_py())
                 sets.append(np.frombuffer(cols[5][row].as_buffer(), dtype=np.uint64))
-        if len(sets) > 1:
+                copies.append(cols[6][row].as_py())
+        if meet():
             yield edges()
 
     ordered = tiles.repartition("tile").sortWithinPartitions("cluster", "lo", "hi", "name")
-    return ordered.select("cluster", "lo", "hi", "block", "name", "hashes").mapInArrow(run, "a bigint, b bigint")
+    return ordered.select("cluster", "lo", "hi", "block", "name", "hashes", "copies").mapInArrow(run, "a bigint, b bigint, links bigint")
 
 
 def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """The sets of one row per name in ``members`` (doc_id, name, cluster)."""
+    """The sets of one row per name in ``members`` (doc_id, name, cluster, copies)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in W.texts(batch.column(2)):
                 sets = list(shingle_sets(t, size))
+                copies = batch.column(3).slice(t.first, t.rows)
                 names = batch.column(0).slice(t.first, t.rows).to_pylist()
                 # A repeated id may bring another text here: only the set named counts.
                 ok = pa.array([set_name(x) == y for x, y in zip(sets, names)], pa.bool_())
                 out = pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), batch.column(1).slice(t.first, t.rows),
-                    pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
-                    ["name", "cluster", "n", "hashes"])
+                    pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), copies],
+                    ["name", "cluster", "n", "hashes", "copies"])
                 yield out.filter(ok)
 
     # Members grow with the documents: always a shuffle join, at any size.
     rows, members = _rows(docs, key, text).withColumnRenamed("doc_id", "__id"), members.hint("merge")
-    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text")
-    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary").dropDuplicates(["name"])
+    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text", "copies")
+    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary, copies bigint").dropDuplicates(["name"])
 
 
 def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, text: str = "text",
-                    key: str = "doc_id", tile_shingles: int = TILE_SHINGLES, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row, by shingles of ``size`` words."""
+                    key: str = "doc_id", tile_shingles: int = TILE_SHINGLES, size: int = SHINGLE, link_counts: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row, by shingles of ``size`` words; with
+    ``link_counts`` also ``n_links``, the number of other rows that it links with."""
     named = staging.table(set_names(docs, text, key, size), "set_names")
     clusters = components(candidate_stars(docs, num, den, text, key, size), staging)
-    firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", F.col("root").alias("cluster")), "members")
+    firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", "copies", F.col("root").alias("cluster")), "members")
     sets = staging.table(member_sets(docs, members, text, key, size), "member_sets")
-    linked = components(link_tiles(_tiles(sets, tile_shingles), num, den), staging)
+    links = link_tiles(_tiles(sets, tile_shingles), num, den, link_counts)
+    if link_counts:
+        links = staging.table(links, "links")
+    linked = components(links.select("a", "b"), staging)
     # Names without a link are components of their own.
     rooted = firsts.join(linked, firsts["name"] == linked["node"], "left").select(
-        "name", "doc_id", F.coalesce("root", "name").alias("root"))
+        "name", "doc_id", "copies", F.coalesce("root", "name").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = rooted.select("name", "root").join(least, "root").select("name", "component_id")
-    out = named.join(labels, "name", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    labels = rooted.select("name", "root", "copies").join(least, "root").select("name", "component_id", "copies")
+    shown = [F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
+    if link_counts:
+        sums = links.groupBy(F.col("a").alias("name")).agg(F.sum("links").alias("links"))
+        labels = labels.join(sums, "name", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+        shown.append(F.when(F.col("n_shingles") > 0, F.col("copies") - 1 + F.col("links")).otherwise(F.lit(0)).cast("bigint").alias("n_links"))
+    return named.join(labels, "name", "left").select("doc_id", "n_shingles", *shown)
 
 
 def one_of_each(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, size: int = SHINGLE) -> DataFrame:

@@ -152,3 +152,22 @@ def test_unlike_sets_do_not_meet_by_empty_parts():
         keys = [S.part_keys(np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64)), 80, 100) for _ in range(60)]
         every = np.concatenate([np.unique(k) for k in keys])
         assert len(every) - len(np.unique(every)) <= 20, n
+
+
+def test_links_are_counted_against_brute_force(spark, staging):
+    rows = near_copies(8, groups=3)
+    base = [f"b{i}" for i in range(150)]                    # all of these link with each other, two are copies
+    rows += [(10_000 + c, " ".join(base[:10 * c] + ["x"] + base[10 * c + 1:])) for c in (0, 1, 2, 3, 4, 4, 5)]
+    sets = [shingles(t) for _, t in rows]
+
+    def linked(a, b):
+        both = len(a & b)
+        return bool(a) and 100 * both >= 90 * (len(a) + len(b) - both)
+
+    want = sorted((d, sum(i != j and linked(a, b) for j, b in enumerate(sets))) for i, ((d, _), a) in enumerate(zip(rows, sets)))
+    docs = documents(spark, [(i, t, None, None) for i, t in rows])
+    for tile in (S.TILE_SHINGLES, 300):
+        found = S.link_components(docs, staging, tile_shingles=tile, link_counts=True)
+        assert result(found) == brute(rows)
+        assert sorted((r["doc_id"], r["n_links"]) for r in found.collect()) == want
+    assert max(n for _, n in want) == 6
