@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail.llm import (
-    bit_mixing, id_codec, importance, language_id, licenses, mixing, pivot_search, quality_rules, shingle_join,
+    bit_mixing, conversation_trie, id_codec, importance, language_id, licenses, mixing, pivot_search, quality_rules, shingle_join,
     token_automaton)
 from adtrail.staging import session_scope
 
@@ -72,6 +72,11 @@ def op10_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_search.top_k(table(spark, sf_dir, "embeddings"), session_scope(spark))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"), session_scope(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_importance_resampling, op2_id_files, op3_token_automaton, op4_language_id, op5_shingle_join, op6_source_mix,
-    op7_license_scan, op8_quality_rules, op9_bit_mixing, op10_pivot_search)}
+    op7_license_scan, op8_quality_rules, op9_bit_mixing, op10_pivot_search,
+    op13_conversation_trie)}

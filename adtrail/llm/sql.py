@@ -91,4 +91,39 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC,
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE = {"op5_shingle_join": OP5, "op8_quality_rules": _op8(), "op10_pivot_search": OP10}
+
+# CRC-32 of an ASCII string, bit by bit.
+def _crc32(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::UBIGINT)), "
+            "lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295)")
+
+
+OP13 = rf"""
+WITH own AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+  SELECT c, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role, text) AS l, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM own GROUP BY c),
+built AS (
+  SELECT a.c, list_concat(CASE WHEN b.l IS NULL THEN [] ELSE b.l[1:a.h] END, a.l[a.h + 1:]) AS l
+  FROM lists a LEFT JOIN lists b ON b.c = a.c - a.c % 5),
+prefixes AS (
+  SELECT c, d, sha256(CAST(l[1:d] AS VARCHAR) || '/' || CAST(d AS VARCHAR)) AS name, CASE WHEN d > 0 THEN sha256(CAST(l[1:d-1] AS VARCHAR) || '/' || CAST(d - 1 AS VARCHAR)) END AS parent,
+         CASE WHEN d > 0 THEN strlen(l[d].t) ELSE 0 END AS bytes, len(l) = d AS ends
+  FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT name, any_value(parent) AS parent, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '') AS ends
+  FROM prefixes GROUP BY name),
+children AS (SELECT parent AS name, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (SELECT DISTINCT a.name, b.name AS under FROM prefixes a JOIN prefixes b ON a.c = b.c AND b.d >= a.d),
+subtree AS (
+  SELECT below.name, count(*) FILTER (children.n IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.bytes) AS saved
+  FROM below JOIN nodes u ON u.name = below.under LEFT JOIN children ON children.name = below.under GROUP BY below.name)
+SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+       subtree.n_leaves, CAST(subtree.saved AS BIGINT) AS saved_tokens, sha256(nodes.ends) AS ends_sha256
+FROM nodes JOIN subtree USING (name) LEFT JOIN children USING (name) LEFT JOIN nodes up ON up.name = nodes.parent
+"""
+
+
+ORACLE = {"op5_shingle_join": OP5, "op8_quality_rules": _op8(), "op10_pivot_search": OP10,
+          "op13_conversation_trie": OP13}
