@@ -36,7 +36,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.operators.ordered import positions
@@ -56,15 +56,15 @@ def turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn"
     return one.where(F.col("conv_id").isNotNull())
 
 
-def _digest(*parts: Column) -> Column:
-    return F.unhex(F.md5(F.concat(*parts)))
+def _digest(*parts: str) -> str:
+    """A 128-bit digest of binary SQL expressions."""
+    return f"unhex(md5(concat({', '.join(parts)})))"
 
 
 def named_turns(rows: DataFrame, staging: Staging) -> DataFrame:
     """``conv_id, pos, tid, bytes``: the turns in order, without their texts."""
-    role, text = F.encode("role", "utf-8"), F.encode("text", "utf-8")
-    rows = rows.withColumn("tid", _digest(F.encode(F.concat(F.octet_length("role").cast("string"), F.lit(":")), "utf-8"), role, text))
-    rows = rows.withColumn("bytes", F.octet_length("text").cast("bigint"))
+    tid = _digest("encode(concat(octet_length(role), ':'), 'utf-8')", "encode(role, 'utf-8')", "encode(text, 'utf-8')")
+    rows = rows.select("*", F.expr(tid).alias("tid"), F.octet_length("text").cast("bigint").alias("bytes"))
     return positions(rows, ["conv_id"], ["turn", "role", "text"], staging, keep=["tid", "bytes"])
 
 
@@ -96,15 +96,15 @@ T, L = [f"t{i}" for i in range(BLOCK)], [f"l{i}" for i in range(BLOCK)]
 SUMS = ["s0", "s1", "s2", "s3"]
 
 
-def _pieces(block: Column, tids: list[Column]) -> list[Column]:
+def _pieces(block: str, tids: list[str]) -> list[str]:
     """Four 32-bit numbers that name a whole block of turns and its place."""
-    d = F.md5(F.concat(F.encode(block.cast("string"), "utf-8"), *tids))
-    return [F.conv(F.substring(d, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)]
+    d = f"md5(concat(encode(string({block}), 'utf-8'), {', '.join(tids)}))"
+    return [f"bigint(conv(substring({d}, {8 * i + 1}, 8), 16, 10))" for i in range(4)]
 
 
-def _node(block: Column, sums: list[Column]) -> Column:
+def _node(block: str, sums: list[str]) -> str:
     """The name of the node where the blocks before ``block`` end."""
-    return _digest(F.encode(F.concat_ws(",", block.cast("string"), *[s.cast("string") for s in sums]), "utf-8"))
+    return _digest(f"encode(concat_ws(',', string({block}), {', '.join(f'string({x})' for x in sums)}), 'utf-8')")
 
 
 def blocks(built: DataFrame, conversations: DataFrame, staging: Staging) -> DataFrame:
@@ -117,10 +117,8 @@ def blocks(built: DataFrame, conversations: DataFrame, staging: Staging) -> Data
     # Every conversation's last block; one without turns gets an empty first block.
     ends = conversations.select("conv_id", F.floor((F.greatest("n_turns", F.lit(1)) - 1) / BLOCK).alias("block"), F.lit(True).alias("last"))
     rows = rows.join(ends, ["conv_id", "block"], "full").na.fill(0, ["n", "size"]).na.fill(False, ["last"])
-    full = F.col("n") == BLOCK
-    for s, p in zip(SUMS, _pieces(F.col("block"), [F.col(t) for t in T])):
-        rows = rows.withColumn(f"own_{s}", F.when(full, p).otherwise(F.lit(0)))
-    rows = staging.table(rows.withColumn("run", F.floor(F.col("block") / RUN)), "blocks")
+    own = [F.expr(f"if(n = {BLOCK}, {p}, 0)").alias(f"own_{s}") for s, p in zip(SUMS, _pieces("block", T))]
+    rows = staging.table(rows.select("*", *own, F.floor(F.col("block") / RUN).alias("run")), "blocks")
     # Sums before a block: those of the earlier runs, and those of its run.
     summed = {"own_" + s: s for s in SUMS} | {"size": "before"}
     runs = rows.where(F.col("run") > 0).select("conv_id").distinct()      # conversations with more than RUN blocks
@@ -130,41 +128,34 @@ def blocks(built: DataFrame, conversations: DataFrame, staging: Staging) -> Data
     w = Window.partitionBy("conv_id", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     out = rows.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(s) for c, s in summed.items()]).join(earlier, ["conv_id", "run"], "left")
     out = out.select("conv_id", "block", "n", "last", *T, *L, *[(F.col(s) + F.coalesce(f"_{s}", F.lit(0))).alias(s) for s in summed.values()])
-    return staging.table(out.withColumn("node", _node(F.col("block"), [F.col(s) for s in SUMS])), "placed")
+    return staging.table(out.withColumn("node", F.expr(_node("block", SUMS))), "placed")
 
 
-def _name(level: Column | int) -> Column:
+def _name(level: str) -> str:
     """The name of the node ``level`` turns into a block (columns of ``blocks``)."""
-    level = F.lit(level) if isinstance(level, int) else level
-    whole = [F.col(s) + p for s, p in zip(SUMS, _pieces(F.col("block"), [F.col(t) for t in T]))]
-    out = F.when(level == BLOCK, _node(F.col("block") + 1, whole)).when(level == 0, F.col("node"))
-    for k in range(1, BLOCK):
-        out = out.when(level == k, _digest(F.col("node"), *[F.col(t) for t in T[:k]]))
-    return out
+    inside = " ".join(f"WHEN {k} THEN {_digest('node', *T[:k])}" for k in range(1, BLOCK))
+    whole = _node("block + 1", [f"({s} + {p})" for s, p in zip(SUMS, _pieces("block", T))])
+    return f"CASE {level} WHEN 0 THEN node {inside} ELSE {whole} END"
 
 
 def rolled(rows: DataFrame, extra: str = "") -> DataFrame:
     """Every node once: ``name, parent, depth, conv_id`` (smallest member), ``n_convs,
     bytes`` (of its last text), ``before`` (bytes of the turns before it) and the
-    aggregates ``extra`` over its members."""
-    made = rows.sparkSession.sql(f"""
-        SELECT block, node, {', '.join(T)}, CAST({BLOCK} - log2(grouping_id() + 1) AS INT) AS level, min(conv_id) AS conv_id, count(*) AS n_convs,
-               {', '.join(f'max({c}) AS {c}' for c in [*L, *SUMS, 'before'])} {extra}
-        FROM {{rows}} GROUP BY block, node, ROLLUP ({', '.join(T)})""", rows=rows)
+    aggregates ``extra`` (``, 'name', aggregate ...``) over its members."""
+    by = ", ".join(T)
+    tops = ", ".join(f"max({c}) AS {c}" for c in [*L, *SUMS, "before"])
+    case = lambda then: f"CASE level WHEN 0 THEN 0 {' '.join(f'WHEN {k} THEN {then(k)}' for k in range(1, BLOCK + 1))} END"
     # A turn that is not there gives a null column, no node; a block's level 0 is
     # the node that ended the block before, but for the first block, where it is the root.
-    level = F.col("level")
-    there = (level == 0) & (F.col("block") == 0)
-    last, sofar = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-    for k in range(BLOCK, 0, -1):
-        there = there | ((level == k) & F.col(T[k - 1]).isNotNull())
-    for k in range(1, BLOCK + 1):
-        last = F.when(level == k, F.col(L[k - 1])).otherwise(last)
-        sofar = F.when(level == k, sum((F.col(x) for x in L[:k - 1]), F.lit(0).cast("bigint"))).otherwise(sofar)
-    keep = [c for c in made.columns if c not in {"block", "node", "level", "conv_id", "n_convs", "before", *T, *L, *SUMS}]
-    return made.where(there).select(
-        _name(level).alias("name"), F.when(level > 0, _name(level - 1)).alias("parent"), (F.col("block") * BLOCK + level).alias("depth"),
-        "conv_id", "n_convs", last.alias("bytes"), (F.col("before") + sofar).alias("before"), *keep)
+    there = "CASE level WHEN 0 THEN block = 0 " + " ".join(f"WHEN {k} THEN {T[k - 1]} IS NOT NULL" for k in range(1, BLOCK + 1)) + " END"
+    return rows.sparkSession.sql(f"""
+        WITH made AS (
+          SELECT block, node, {by}, CAST({BLOCK} - log2(grouping_id() + 1) AS INT) AS level, min(conv_id) AS conv_id, count(*) AS n_convs, {tops},
+                 named_struct('none', 0 {extra}) AS extra
+          FROM {{rows}} GROUP BY block, node, ROLLUP ({by}))
+        SELECT {_name("level")} AS name, CASE WHEN level > 0 THEN {_name("level - 1")} END AS parent, block * {BLOCK} + level AS depth, conv_id, n_convs,
+               {case(lambda k: L[k - 1])} AS bytes, before + {case(lambda k: " + ".join(["0", *L[:k - 1]]))} AS before, extra.*
+        FROM made WHERE {there}""", rows=rows)
 
 
 def end_hashes(ends: DataFrame) -> DataFrame:
@@ -204,9 +195,9 @@ def trie(built: DataFrame, conversations: DataFrame, staging: Staging) -> DataFr
     total = built.groupBy("conv_id").agg(F.sum("bytes").alias("total"))
     per = conversations.select("conv_id").join(owned, "conv_id", "left").join(total, "conv_id", "left").na.fill(0, ["owned", "leaves", "total"])
     weighed = rows.join(per, "conv_id")
-    summed = rolled(weighed, """, sum(owned) AS all_owned, sum(total) AS all_total, sum(leaves) AS n_leaves,
-        min(struct(conv_id, owned, total)) AS owner""")
-    ends = rows.where("last").select(_name(F.col("n")).alias("name"), "conv_id")
+    summed = rolled(weighed, """, 'all_owned', sum(owned), 'all_total', sum(total), 'n_leaves', sum(leaves),
+        'owner', min(struct(conv_id, owned, total))""")
+    ends = rows.where("last").select(F.expr(_name("n")).alias("name"), "conv_id")
     # The parent's smallest member: the own one, but where a member's own nodes begin.
     up = nodes.select(F.col("name").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     out = summed.join(children, "name", "left").join(end_hashes(ends), "name", "left").join(up, "parent", "left")

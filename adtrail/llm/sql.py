@@ -125,5 +125,62 @@ FROM nodes JOIN subtree USING (name) LEFT JOIN children USING (name) LEFT JOIN n
 """
 
 
+def _op11() -> str:
+    """Cheapest edits by backward relaxation: per row (last first) and state the least
+    (cost, audit) with its text, inserts up to two in a row (more never pay)."""
+    add = lambda x, cost, letter, text: (
+        f"{{'k': lpad(CAST(CAST({x}.k[1:9] AS INTEGER) + {cost} AS VARCHAR), 9, '0') || '{letter}' || {x}.k[10:], 't': {text} || {x}.t}}")
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    end = {"e": (0, "", "''"), "s": (10, "II", f"{user} || {assistant}"), "u": (5, "I", assistant), "a": (0, "", "''")}
+    first = ", ".join(f"{{'k': '{c:09d}{k}', 't': {t}}} AS {q}" for q, (c, k, t) in end.items())
+    # Without inserts: delete, keep (per legal initial), rerole.
+    legal = {"e": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    plain = []
+    for q, to in legal.items():
+        ways = [add(f"b.{q}", 2, "D", "''")]
+        keep = " ".join(f"WHEN r.role[1:1] = '{i}' THEN {add(f'b.{n}', 'r.more', 'K', 'chr(10) || r.role || chr(58) || r.text')}" for i, n in to.items())
+        want = "a" if q == "u" else "u"
+        full = assistant if want == "a" else user
+        ways.append(f"CASE WHEN r.fault IN ('blank', 'duplicate') THEN NULL {keep} END")
+        ways.append(f"CASE WHEN r.fault NOT IN ('blank', 'duplicate') THEN {add(f'b.{want}', '1 + r.more', 'R', f'{full} || r.text')} END")
+        plain.append(f"list_min([{', '.join(ways)}]) AS {q}")
+    ui, ai = add("w.u", 5, "I", user), add("w.a", 5, "I", assistant)
+    two = add("w.a", 10, "II", f"{user} || {assistant}")
+    close = f"list_min([w.e, {ui}, {two}]) AS e, list_min([w.s, {ui}, {two}]) AS s, list_min([w.u, {ai}]) AS u, list_min([w.a, {ui}]) AS a"
+    crc = _crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")
+    white = r"'^[\x20\x09-\x0D]*|[\x20\x09-\x0D]*$'"
+    return rf"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS f FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM marked WHERE f <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+faults AS (
+  SELECT *, regexp_replace(text, {white}, '', 'g') AS body, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+named AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM faults),
+r AS (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM named),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before[1:1] || role[1:1] NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM r GROUP BY conv_id),
+b AS (
+  SELECT conv_id, n AS i, {first} FROM counts
+  UNION ALL
+  SELECT w.conv_id, w.i - 1, {close}
+  FROM (SELECT b.conv_id, b.i, {", ".join(plain)} FROM b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i) w),
+done AS (SELECT * FROM b WHERE i = 0)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(CAST(done.e.k[1:9] AS INTEGER), 0) AS BIGINT) AS cost, coalesce(done.e.k[10:], '') AS audit,
+  sha256(coalesce(done.e.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
 ORACLE = {"op5_shingle_join": OP5, "op8_quality_rules": _op8(), "op10_pivot_search": OP10,
-          "op13_conversation_trie": OP13}
+          "op11_conversation_repair": _op11(), "op13_conversation_trie": OP13}
