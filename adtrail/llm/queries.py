@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtrail.llm import (
-    bit_mixing, conversation_repair, conversation_trie, id_codec, importance, language_id, licenses, mixing, pivot_search, quality_rules, shingle_join,
+    bit_mixing, conversation_repair, conversation_trie, disclosure, id_codec, importance, language_id, licenses, mixing, pivot_search, quality_rules, shingle_join,
     token_automaton)
 from adtrail.staging import session_scope
 
@@ -76,6 +76,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"), session_scope(spark))
 
 
+def op12_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.personal_data(table(spark, sf_dir, "documents"), session_scope(spark))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"), session_scope(spark))
 
@@ -83,4 +87,4 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_importance_resampling, op2_id_files, op3_token_automaton, op4_language_id, op5_shingle_join, op6_source_mix,
     op7_license_scan, op8_quality_rules, op9_bit_mixing, op10_pivot_search,
-    op11_conversation_repair, op13_conversation_trie)}
+    op11_conversation_repair, op12_disclosure, op13_conversation_trie)}
