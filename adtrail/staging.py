@@ -36,16 +36,23 @@ class Staging:
         (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(p)
         return self.spark.read.schema(df.schema).parquet(p)
 
+    def drop(self, *paths: str) -> None:
+        """Delete some of this scope's tables ahead of its end (``paths[-1]`` is
+        the path of the table written last)."""
+        if not paths:
+            return
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            self.paths.remove(p)
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+
     def release(self) -> int:
         """Delete this scope's tables; DataFrames that read them are invalid afterwards."""
-        paths, self.paths = self.paths, []
-        if paths:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            for p in paths:
-                hp = jvm.org.apache.hadoop.fs.Path(p)
-                hp.getFileSystem(conf).delete(hp, True)
-        return len(paths)
+        n = len(self.paths)
+        self.drop(*self.paths)
+        return n
 
     def __enter__(self) -> "Staging":
         return self

@@ -76,3 +76,14 @@ def test_export_writes_incoming_before_the_target_changes(spark):
     with pytest.raises(OSError):
         jdbc.export_replace(rows, "ads", fail, lambda sql: log.append("changed"))
     assert "changed" not in log
+
+
+def test_a_table_can_go_before_its_scope(spark):
+    from adtrail.staging import Staging
+
+    with Staging(spark) as scope:
+        scope.table(spark.range(3), "one")
+        first = scope.paths[-1]
+        kept = scope.table(spark.range(5), "two")
+        scope.drop(first)
+        assert first not in scope.paths and kept.count() == 5 and scope.release() == 1
