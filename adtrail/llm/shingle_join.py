@@ -198,9 +198,10 @@ def candidate_stars(docs: DataFrame, num: int = NUM, den: int = DEN, text: str =
 def components(edges: DataFrame, staging: Staging) -> DataFrame:
     """``node, root``: the smallest node that each node of the edges ``a, b``
     reaches (the roots' own rows included).  Alternating large and small stars,
-    each round a staged table; only minima per node are gathered."""
+    each round a staged table that replaces the round's before; only minima per
+    node are gathered."""
     e = staging.table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
-    seen = None
+    seen, old = None, staging.paths[-1]
     while True:
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if tuple(state) == seen:
@@ -212,7 +213,10 @@ def components(edges: DataFrame, staging: Staging) -> DataFrame:
         large = staging.table(large, "large_star")
         low = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         small = large.join(low, F.col("a") == F.col("n")).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        star = staging.paths[-1]
         e = staging.table(small.filter("a != b").distinct(), "edges")
+        staging.drop(old, star)
+        old = staging.paths[-1]
     roots = e.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
@@ -328,6 +332,8 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = F
                     if meet():
                         yield edges()
                     names, sides, sets, copies, now = [], [], [], [], at
+                elif cols[4][row].as_py() == names[-1]:
+                    continue                         # a repeated row
                 names.append(cols[4][row].as_py())
                 sides.append(cols[3][row].as_py())
                 sets.append(np.frombuffer(cols[5][row].as_buffer(), dtype=np.uint64))
@@ -340,15 +346,25 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = F
 
 
 def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """The sets of one row per name in ``members`` (doc_id, name, cluster, copies)."""
+    """The sets of one row per name in ``members`` (doc_id, name, cluster, copies); of a row
+    that is repeated so often that a task's share of it was split, one per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, done = None, set()                     # names already given of the id at hand
         for batch in batches:
             for t in W.texts(batch.column(2)):
                 sets = list(shingle_sets(t, size))
                 copies = batch.column(3).slice(t.first, t.rows)
                 names = batch.column(0).slice(t.first, t.rows).to_pylist()
-                # A repeated id may bring another text here: only the set named counts.
-                ok = pa.array([set_name(x) == y for x, y in zip(sets, names)], pa.bool_())
+                ids = batch.column(4).slice(t.first, t.rows).to_pylist()
+                ok = []
+                for x, name, i in zip(sets, names, ids):
+                    if i != last:
+                        last, done = i, set()
+                    # A repeated id may bring another text here: only the set named counts.
+                    ok.append(name not in done and set_name(x) == name)
+                    if ok[-1]:
+                        done.add(name)
+                ok = pa.array(ok, pa.bool_())
                 out = pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), batch.column(1).slice(t.first, t.rows),
                     pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), copies],
@@ -357,8 +373,9 @@ def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: st
 
     # Members grow with the documents: always a shuffle join, at any size.
     rows, members = _rows(docs, key, text).withColumnRenamed("doc_id", "__id"), members.hint("merge")
-    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text", "copies")
-    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary, copies bigint").dropDuplicates(["name"])
+    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text", "copies", "__id")
+    # The join leaves rows of one id side by side, so repeats are seen without a shuffle of the sets.
+    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary, copies bigint")
 
 
 def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, text: str = "text",
@@ -368,11 +385,13 @@ def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int
     named = staging.table(set_names(docs, text, key, size), "set_names")
     clusters = components(candidate_stars(docs, num, den, text, key, size), staging)
     firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    cluster_path = staging.paths[-1]
     members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", "copies", F.col("root").alias("cluster")), "members")
+    staging.drop(cluster_path)
     sets = staging.table(member_sets(docs, members, text, key, size), "member_sets")
-    links = link_tiles(_tiles(sets, tile_shingles), num, den, link_counts)
-    if link_counts:
-        links = staging.table(links, "links")
+    used = staging.paths[-2:]
+    links = staging.table(link_tiles(_tiles(sets, tile_shingles), num, den, link_counts), "links")
+    staging.drop(*used)
     linked = components(links.select("a", "b"), staging)
     # Names without a link are components of their own.
     rooted = firsts.join(linked, firsts["name"] == linked["node"], "left").select(
@@ -391,7 +410,9 @@ def one_of_each(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DE
     """The documents without later near copies: of each component the rows that
     stand at its smallest id stay (one row, if that row is repeated), and every
     document without words."""
-    found = link_components(docs, staging, num, den, size=size)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    with Staging(docs.sparkSession) as inner:
+        found = link_components(docs, inner, num, den, size=size)
+        stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+        stay = staging.table(stay, "first_of_each")
     kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["__id"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
