@@ -61,6 +61,13 @@ class Staging:
         self.release()
 
 
+def drop_dead_shuffles(spark: SparkSession) -> None:
+    """Delete the shuffle files of finished jobs.  Spark's context cleaner removes them
+    once the driver's collector has seen that their plans are unreachable, which on a
+    large heap may be long after; a job that shuffled much and goes on asks for it."""
+    spark.sparkContext._jvm.System.gc()
+
+
 _SESSION: list[Staging] = []
 
 
