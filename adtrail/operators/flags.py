@@ -23,28 +23,45 @@ class RuleParams:
     cycle_null_time: int | None = None
 
 
+RULES = ("high_frequency_ip", "high_frequency_device", "cycle_ip", "cycle_device")
+KEYS = {"client_ip": ("high_frequency_ip", "cycle_ip"), "client_device_id": ("high_frequency_device", "cycle_device")}
+
+
 def rule_sets(log: DataFrame, p: RuleParams = RuleParams(), distinct: bool = True,
               scope: Staging | None = None) -> dict[str, DataFrame]:
     """The four key sets, computed from the coarse log (``distinct=False``
     leaves duplicates for a caller that de-duplicates their union)."""
     scope = scope or session_scope(log.sparkSession)
-    return {rule: rule_set(log, rule, p, distinct, scope) for rule in RULES}
+    found = {}
+    for key in KEYS:
+        found |= key_rules(log, key, p, distinct, scope)
+    return {rule: found[rule] for rule in RULES}
 
 
-RULES = ("high_frequency_ip", "high_frequency_device", "cycle_ip", "cycle_device")
+def key_rules(log: DataFrame, key: str, p: RuleParams = RuleParams(), distinct: bool = True,
+              scope: Staging | None = None) -> dict[str, DataFrame]:
+    """The two key sets of one key column, from one count per exact timestamp.
+
+    The count is staged (a row per timestamp of a group that a rule may flag):
+    the log is filtered and shuffled once per key column."""
+    scope = scope or session_scope(log.sparkSession)
+    least = min(p.frequency_threshold, p.cycle_ip_threshold if key == "client_ip" else p.cycle_device_threshold) + 1
+    counts = scope.table(traffic.timestamp_counts(log, key, min_events=least), "timestamp_counts")
+    return {rule: rule_set(log, rule, p, distinct, counts) for rule in KEYS[key]}
 
 
 def rule_set(log: DataFrame, rule: str, p: RuleParams = RuleParams(), distinct: bool = True,
-             scope: Staging | None = None) -> DataFrame:
-    """One of the four key sets."""
-    w, th, d = p.frequency_window_ms, p.frequency_threshold, distinct
+             counts: DataFrame | None = None) -> DataFrame:
+    """One of the four key sets; ``counts``: its key column's staged counts, if at hand."""
+    w, th, kw = p.frequency_window_ms, p.frequency_threshold, {"distinct": distinct, "counts": counts}
     if rule == "high_frequency_ip":
-        return traffic.high_frequency_ip(log, w, th, distinct=d)
+        return traffic.high_frequency_ip(log, w, th, **kw)
     if rule == "high_frequency_device":
-        return traffic.high_frequency_device(log, w, th, distinct=d)
+        return traffic.high_frequency_device(log, w, th, **kw)
+    kw["null_time"] = p.cycle_null_time
     if rule == "cycle_ip":
-        return traffic.cycle_ip(log, p.cycle_ip_threshold, distinct=d, null_time=p.cycle_null_time, scope=scope)
-    return traffic.cycle_device(log, p.cycle_device_threshold, distinct=d, null_time=p.cycle_null_time, scope=scope)
+        return traffic.cycle_ip(log, p.cycle_ip_threshold, **kw)
+    return traffic.cycle_device(log, p.cycle_device_threshold, **kw)
 
 
 def flag_reasons(sets: dict[str, DataFrame]) -> DataFrame:

@@ -4,23 +4,30 @@ Both rules are per (key, ad) sequences of event times.  A bot key is by
 definition a heavy group (assume it may hold a third of all rows), so neither
 rule ever sorts a whole key in one task:
 
+* **Light groups go before the shuffle.**  A group with at most ``n`` events
+  can neither exceed ``n`` in a window nor form an island larger than ``n``.
+  Events are counted per slot of a hash of (key, ad) in a fixed array of
+  ``SLOTS``; a log row whose slot holds at most ``n`` events belongs to such a
+  group.  The heavy slots are bits, at most ``SLOTS / 64`` words, broadcast.
+  The filter is one-sided, so it is exact at any load.
 * Every rule starts from **events per exact timestamp**, ``(key, ad, t) ->
   m``: a hash aggregate with map-side combine, shuffled on all three columns,
-  so one key's timestamps spread over all reducers.  Groups too light for the
-  rule are dropped *after* it, from the combined rows; raw log rows are never
-  joined or sorted.
+  so one key's timestamps spread over all reducers.  The rules of one key
+  column share it.
 * **High frequency** (trailing ``RANGE`` window, both ends inclusive): time
   is cut into buckets of the window width; bucket ``b`` is sorted together
   with a copy of bucket ``b-1`` and ``sum(m)`` over ``RANGE BETWEEN w
   PRECEDING AND CURRENT ROW`` is taken for the rows of ``b``.  Exact (a
   frame never reaches further back than ``b-1``) and every sort holds at most
   two windows of one key.
-* **Fixed period** (gaps and islands): the combined rows are range-partitioned
-  by (key, ad, t) and staged, so a heavy key lies in several consecutive parts
-  and every part is about equally large, whatever the times are.  ``lag``,
-  ``lead`` and the running tag sum are taken inside (part, key, ad).  What
-  crosses a part edge (the neighbouring time, the tags so far) is read from a
-  table with one row per part.  Island sizes are counted per part and summed.
+* **Fixed period** (gaps and islands) is a segmented scan.  A segment is the
+  part of a (key, ad) inside ``SEGMENT_MS`` of time, so it holds at most as many
+  distinct times.  ``lag``, ``lead`` and the running tag sum stay inside the
+  segment, which is summed up in one row: its first and last two times, the
+  tags between, and the events before the first, after the last and in the
+  largest island between two tags.  These summaries are associative; one
+  ordered fold over a key's segments (a row per time span, whatever the
+  number of events) settles the tags at the edges and joins the open islands.
 
 Semantics kept exactly (see README):
 
@@ -47,6 +54,11 @@ from adtrail.fixed import (CYCLE_DEVICE_THRESHOLD, CYCLE_IP_THRESHOLD, FREQUENCY
 from adtrail.functions.url import valid_event_time
 from adtrail.staging import Staging, session_scope
 
+# Slots of the counting filter: a fixed array, at most SLOTS / 64 broadcast rows.
+SLOTS = 1 << 24
+# Width of a segment of the fixed-period scan: bounds a segment's distinct times.
+SEGMENT_MS = 600_000
+
 # Group identity of a (key, ad) pair with NULLs made explicit, so that joins,
 # windows and ranges share plain equality keys.
 _ID = ["kk", "kn", "aa", "an"]
@@ -64,38 +76,55 @@ def _from_id(df: DataFrame) -> DataFrame:
                      F.when(~F.col("an"), F.col("aa")).alias("ad"), *rest)
 
 
+def heavy_slots(log: DataFrame, key: str, ad: str, min_events: int, slots: int = SLOTS) -> DataFrame:
+    """``(word, bits)``: the slots of the counting filter that hold at least
+    ``min_events`` events, 64 to a row."""
+    counted = log.groupBy(_slot(key, ad, slots).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return (counted.where(F.col("n") >= min_events)
+            .groupBy(F.shiftright("slot", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")))
+
+
+def _slot(key: str, ad: str, slots: int) -> Column:
+    return F.xxhash64(key, ad).bitwiseAND(slots - 1)
+
+
+def without_light_groups(log: DataFrame, key: str, ad: str, min_events: int | None, slots: int = SLOTS) -> DataFrame:
+    """The log rows that may belong to a (key, ad) with ``min_events`` events or more."""
+    if min_events is None:
+        return log
+    words = F.broadcast(heavy_slots(log, key, ad, min_events, slots))     # at most slots / 64 rows
+    slot = _slot(key, ad, slots)
+    kept = log.join(words, (F.shiftright(slot, 6) == F.col("word"))
+                    & (F.getbit("bits", slot.bitwiseAND(63)) == 1), "left_semi")
+    return kept
+
+
 def timestamp_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                     exclude_empty: bool = False) -> DataFrame:
+                     exclude_empty: bool = False, min_events: int | None = None) -> DataFrame:
     """``(key, ad, t, m)``: events per exact timestamp (map-side combined); the
-    events of a (key, ad) without a valid time are one row with NULL ``t``."""
-    src = log.select(F.col(key).alias("key"), F.col(ad).alias("ad"),
-                     valid_event_time(F.col(t).cast("bigint")).alias("t"))
+    events of a (key, ad) without a valid time are one row with NULL ``t``.
+    With ``min_events``, lighter groups may be missing."""
+    src = log.select(F.col(key).alias("key"), F.col(ad).alias("ad"), F.col(t).alias("t"))
+    src = without_light_groups(src, "key", "ad", min_events)
     if exclude_empty:
         src = src.where(F.col("key") != "")  # also drops NULL keys, like `key != ''`
-    return src.groupBy("key", "ad", "t").agg(F.count(F.lit(1)).alias("m"))
-
-
-def _heavy(c: DataFrame, min_group_rows: int | None) -> DataFrame:
-    """The combined rows of groups with at least that many events.  A rule with
-    threshold ``n`` passes ``n + 1``: a group with at most ``n`` events can
-    neither exceed ``n`` in a window nor form an island larger than ``n``, so
-    this is exact, and it keeps light groups (most, at scale) out of the sorts.
-    (An inner join with unique keys: a semi-join would be pushed below the
-    aggregate, to the raw rows.)"""
-    if min_group_rows is None:
-        return c
-    heavy = (c.groupBy(*_ID).agg(F.sum("m").alias("_n")).where(F.col("_n") >= min_group_rows)
-             .select(*_ID))
-    return c.join(heavy, _ID, "inner")
+    return (src.withColumn("t", valid_event_time(F.col("t").cast("bigint")))
+            .groupBy("key", "ad", "t").agg(F.count(F.lit(1)).alias("m")))
 
 
 # ------------------------------------------------------------------ frequency
 def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                      window_ms: int = FREQUENCY_WINDOW_MS, exclude_empty: bool = False,
-                     min_group_rows: int | None = None) -> DataFrame:
+                     min_events: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """``(key, ad, t, m, cnt)``: for each distinct timestamp, the events of the
-    same (key, ad) in ``[t - window_ms, t]`` (NULL ``t``: those without a time)."""
-    c = _heavy(_with_id(timestamp_counts(log, key, ad, t, exclude_empty)), min_group_rows)
+    same (key, ad) in ``[t - window_ms, t]`` (NULL ``t``: those without a time).
+    ``counts``: the log's :func:`timestamp_counts`, if they are at hand."""
+    if counts is None:
+        counts = timestamp_counts(log, key, ad, t, exclude_empty, min_events)
+    elif exclude_empty:
+        counts = counts.where(F.col("key") != "")
+    c = _with_id(counts)
     bucket = F.expr(f"t div {window_ms}")        # valid times are not negative
     # Each timestamp goes to its own bucket (cur) and, as context, to the next
     # one; one pass (explode), so the aggregated rows are read once.
@@ -118,20 +147,22 @@ def _keys(df: DataFrame, key: str, distinct: bool) -> DataFrame:
 
 def high_frequency_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                         window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
-                        exclude_empty: bool = False, distinct: bool = True, prune: bool = True) -> DataFrame:
+                        exclude_empty: bool = False, distinct: bool = True, prune: bool = True,
+                        counts: DataFrame | None = None) -> DataFrame:
     """Distinct keys that, for some ad, have more than ``threshold`` events in
     a trailing ``window_ms`` window (light groups dropped first, exactly)."""
-    fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty,
-                          min_group_rows=threshold + 1 if prune else None)
+    fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty, threshold + 1 if prune else None, counts)
     return _keys(fc.where(F.col("cnt") > threshold), key, distinct)
 
 
 # ------------------------------------------------------------------ fixed period
-def _ordered_parts(log: DataFrame, key: str, ad: str, t: str, dedup: bool, min_group_rows: int | None,
-                   null_time: int | None, scope: Staging) -> DataFrame:
-    """``(id, t, m, part)``: the combined rows in range parts of (id, t).  Staged,
-    as a second evaluation of the ranges could cut them elsewhere."""
-    c = _with_id(timestamp_counts(log, key, ad, t))
+_SEGMENT = [*_ID, "segment"]
+
+
+def _segments(log: DataFrame, key: str, ad: str, t: str, dedup: bool, min_events: int | None,
+              null_time: int | None, segment_ms: int, counts: DataFrame | None) -> DataFrame:
+    """``(id, segment, t, m)``: the combined rows, dealt by segment."""
+    c = _with_id(timestamp_counts(log, key, ad, t, min_events=min_events) if counts is None else counts)
     if null_time is None:
         c = c.where(F.col("t").isNotNull())
     else:
@@ -139,103 +170,126 @@ def _ordered_parts(log: DataFrame, key: str, ad: str, t: str, dedup: bool, min_g
              .groupBy(*_ID, "t").agg(F.sum("m").alias("m")))
     if dedup:
         c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
-    c = _heavy(c, min_group_rows)
-    return scope.table(c.repartitionByRange(*_ID, "t").withColumn("part", F.spark_partition_id()), "ordered_times")
-
-
-def _part_edges(parts: DataFrame) -> DataFrame:
-    """One row per part: its first and last (id, t) and its neighbours' (as many
-    rows as the range exchange has partitions, so one task may order them)."""
-    place = F.struct(*_ID, "t")
-    e = parts.groupBy("part").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    w = Window.orderBy("part")
-    return e.select("part", "first", "last", F.lag("last").over(w).alias("before"), F.lead("first").over(w).alias("after"))
-
-
-def _is(place: str) -> Column:
-    """Does the row belong to the group of this edge?"""
-    ok = F.lit(True)
-    for c in _ID:
-        ok = ok & (F.col(c) == F.col(f"{place}.{c}"))
-    return F.coalesce(ok, F.lit(False))
-
-
-def _cycle_rows(parts: DataFrame, lead_default: int | None) -> DataFrame:
-    rows = parts.join(F.broadcast(_part_edges(parts)), "part", "left")   # a row per part
-    w = Window.partitionBy("part", *_ID).orderBy("t")
-    prev = F.coalesce(F.lag("t").over(w), F.when(_is("before"), F.col("before.t")), F.lit(0).cast("bigint"))
-    nxt = F.coalesce(F.lead("t").over(w), F.when(_is("after"), F.col("after.t")))
-    e = nxt - F.col("t")
-    e_lead = e if lead_default is None else F.coalesce(e, F.lit(lead_default).cast("bigint"))
-
-    def flag(x: Column) -> Column:  # if(x != 0, 1, 0) with NULL -> 0
-        return F.when(x != 0, F.lit(1)).otherwise(F.lit(0))
-
-    single = flag(F.col("time_diff") - F.col("_e"))
-    multi = flag(F.col("time_diff")) + flag(F.col("_e"))
-    out = (rows.withColumn("time_diff", F.col("t") - prev).withColumn("_e", e_lead)
-           .withColumn("tag", F.when(F.col("m") == 1, single).otherwise(multi))
+    return c.withColumn("segment", F.expr(f"t div {segment_ms}")).repartition(*_SEGMENT)
+
+
+def _flag(x: Column) -> Column:
+    """if(x != 0, 1, 0); NULL gives 0."""
+    return F.when(x != 0, F.lit(1)).otherwise(F.lit(0))
+
+
+def _tags(m: Column, before: Column, after: Column) -> Column:
+    """The tags of the ``m`` rows at one time with these gaps around it."""
+    return F.when(m == 1, _flag(before - after)).otherwise(_flag(before) + _flag(after))
+
+
+def _or_last(gap: Column, lead_default: int | None) -> Column:
+    return gap if lead_default is None else F.coalesce(gap, F.lit(lead_default).cast("bigint"))
+
+
+def _cycle_rows(rows: DataFrame, lead_default: int | None) -> DataFrame:
+    # A row per segment: its edges and its neighbours' (the neighbours of a
+    # segment's rows, where they lie in another one).
+    w = Window.partitionBy(*_ID).orderBy("segment")
+    edges = rows.groupBy(*_SEGMENT).agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    edges = edges.select(*_SEGMENT, F.lag("last").over(w).alias("before"), F.lead("first").over(w).alias("after"))
+    rows = rows.join(edges, _SEGMENT)
+    w = Window.partitionBy(*_SEGMENT).orderBy("t")
+    prev = F.coalesce(F.lag("t").over(w), F.col("before"), F.lit(0).cast("bigint"))
+    gap = _or_last(F.coalesce(F.lead("t").over(w), F.col("after")) - F.col("t"), lead_default)
+    out = (rows.withColumn("time_diff", F.col("t") - prev).withColumn("_e", gap)
+           .withColumn("tag", _tags(F.col("m"), F.col("time_diff"), F.col("_e")))
            .withColumn("local_sum", F.sum("tag").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    return out.select(*_ID, "part", "t", "m", "time_diff", "tag", "local_sum")
+    return out.select(*_SEGMENT, "t", "m", "time_diff", "tag", "local_sum")
 
 
 def cycle_rows(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                dedup: bool = True, lead_default: int | None = 0, null_time: int | None = None,
-               scope: Staging | None = None) -> DataFrame:
-    """Per distinct timestamp: ``(key, ad, part, t, m, time_diff, tag, local_sum)``.
+               segment_ms: int = SEGMENT_MS) -> DataFrame:
+    """Per distinct timestamp: ``(key, ad, segment, t, m, time_diff, tag, local_sum)``.
 
     ``m`` is the number of events at ``t`` (1 with ``dedup``), ``time_diff``
     that of the first of them, ``tag`` the number of tags the ``m`` rows carry
-    and ``local_sum`` the running tag sum inside the part.
+    and ``local_sum`` the running tag sum inside the segment.
     """
-    scope = scope or session_scope(log.sparkSession)
-    return _from_id(_cycle_rows(_ordered_parts(log, key, ad, t, dedup, None, null_time, scope), lead_default))
-
-
-def _carried(parts: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Per part whose first group goes on from earlier parts: the tags that the
-    group has there.  A scan over the parts: a group that fills whole parts adds
-    up over them, and starts again where another group ends."""
-    edges = _part_edges(parts)
-    last = (pieces.join(F.broadcast(edges.select("part", "last")), "part").where(_is("last"))
-            .groupBy("part").agg(F.max("local_sum").alias("tags")))
-    same = lambda a, b: F.coalesce(F.struct(*[F.col(f"{a}.{c}") for c in _ID]) == F.struct(*[F.col(f"{b}.{c}") for c in _ID]), F.lit(False))
-    e = edges.join(F.broadcast(last), "part").select("part", "first", "tags", same("before", "first").alias("goes_on"),
-                                                     same("first", "last").alias("one_group"))
-    w = Window.orderBy("part")
-    e = e.withColumn("run", F.sum(F.when(F.col("goes_on") & F.col("one_group"), 0).otherwise(1)).over(w))
-    e = e.withColumn("upto", F.sum("tags").over(Window.partitionBy("run").orderBy("part")))
-    return (e.withColumn("carry", F.lag("upto").over(w)).where("goes_on").select("part", "first", "carry"))
+    rows = _segments(log, key, ad, t, dedup, None, null_time, segment_ms, None)
+    return _from_id(_cycle_rows(rows, lead_default))
 
 
 def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
-                  dedup: bool = True, lead_default: int | None = 0, min_group_rows: int | None = None,
-                  null_time: int | None = None, scope: Staging | None = None) -> DataFrame:
+                  dedup: bool = True, lead_default: int | None = 0, null_time: int | None = None,
+                  scope: Staging | None = None, segment_ms: int = SEGMENT_MS) -> DataFrame:
     """``(key, ad, sum_tag, n)``: events per island (the reference's
-    ``group by ad, key, sum_tag``); with ``min_group_rows``, only for groups
-    with at least that many events."""
+    ``group by ad, key, sum_tag``)."""
     scope = scope or session_scope(log.sparkSession)
-    parts = _ordered_parts(log, key, ad, t, dedup, min_group_rows, null_time, scope)
-    rows = _cycle_rows(parts, lead_default)
-    # Keyed like the windows, so no new exchange; staged, so the windows run once
-    # for both uses below.
-    pieces = scope.table(rows.groupBy("part", *_ID, "local_sum").agg(F.sum("m").alias("n")), "pieces")
-    carried = F.broadcast(_carried(parts, pieces))                        # a row per part at most
-    offset = F.when(_is("first"), F.col("carry")).otherwise(F.lit(0))
-    islands = (pieces.join(carried, "part", "left")
-               .withColumn("sum_tag", (F.col("local_sum") + offset).cast("bigint"))
+    rows = _cycle_rows(_segments(log, key, ad, t, dedup, None, null_time, segment_ms, None), lead_default)
+    # Dealt like the windows, so no new exchange; staged, as it is read twice.
+    pieces = scope.table(rows.groupBy(*_SEGMENT, "local_sum").agg(F.sum("m").alias("n")), "pieces")
+    w = Window.partitionBy(*_ID).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (pieces.groupBy(*_SEGMENT).agg(F.max("local_sum").alias("tags"))
+               .select(*_SEGMENT, F.coalesce(F.sum("tags").over(w), F.lit(0)).alias("offset")))
+    islands = (pieces.join(offsets, _SEGMENT)
+               .withColumn("sum_tag", (F.col("local_sum") + F.col("offset")).cast("bigint"))
                .groupBy(*_ID, "sum_tag").agg(F.sum("n").cast("bigint").alias("n")))
     return _from_id(islands)
 
 
+def _segment_summaries(rows: DataFrame) -> DataFrame:
+    """One row per segment of ``(id, segment, t, m)``.
+
+    ``k`` times, the first ``t1`` (``m1`` events) and the last ``tk`` (``mk``);
+    ``t2`` and ``tj`` are their neighbours inside.  The rows between have their
+    tags: ``tags`` in all, ``head`` events before the first tag, ``tail`` from
+    the last tag on (0 without tags), ``most`` in the largest piece after a tag."""
+    w = Window.partitionBy(*_SEGMENT).orderBy("t")
+    x = rows.select(*_SEGMENT, "t", "m", F.lag("t").over(w).alias("prev"), F.lead("t").over(w).alias("next"))
+    inner = F.col("prev").isNotNull() & F.col("next").isNotNull()
+    tag = F.when(inner, _tags(F.col("m"), F.col("t") - F.col("prev"), F.col("next") - F.col("t"))).otherwise(F.lit(0))
+    x = x.withColumn("piece", F.sum(tag).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    first, last = F.col("prev").isNull(), F.col("next").isNull()
+    pieces = x.groupBy(*_SEGMENT, "piece").agg(
+        F.count(F.lit(1)).alias("k"), F.sum(F.when(inner, F.col("m")).otherwise(F.lit(0))).alias("n"),
+        F.max(F.when(first, F.struct("t", "m", "next"))).alias("one"),
+        F.max(F.when(last, F.struct("t", "m", "prev"))).alias("end"))
+    s = pieces.groupBy(*_SEGMENT).agg(
+        F.sum("k").alias("k"), F.max("one").alias("one"), F.max("end").alias("end"), F.max("piece").alias("tags"),
+        F.max(F.when(F.col("piece") == 0, F.col("n"))).alias("head"), F.max_by("n", "piece").alias("_tail"),
+        F.max(F.when(F.col("piece") > 0, F.col("n"))).alias("most"))
+    return s.select(*_SEGMENT, "k", F.col("one.t").alias("t1"), F.col("one.m").alias("m1"), F.col("one.next").alias("t2"),
+                    F.col("end.t").alias("tk"), F.col("end.m").alias("mk"), F.col("end.prev").alias("tj"), "tags",
+                    F.coalesce("head", F.lit(0)).alias("head"), F.when(F.col("tags") > 0, F.col("_tail")).otherwise(F.lit(0)).alias("tail"),
+                    F.coalesce("most", F.lit(0)).alias("most"))
+
+
+def _fold(summaries: DataFrame, lead_default: int | None) -> DataFrame:
+    """``(id, n)``: the events of islands, from the segments of each (key, ad) in order;
+    every island that reaches a segment's edge, and the largest inside (a piece that goes on
+    beyond its segment counts there with what it has inside, which is no more than its island)."""
+    w = Window.partitionBy(*_ID).orderBy("segment")
+    s = summaries.withColumn("before", F.coalesce(F.lag("tk").over(w), F.lit(0).cast("bigint"))).withColumn("after", F.lead("t1").over(w))
+    more = F.col("k") > 1
+    to_next = _or_last(F.col("after") - F.col("tk"), lead_default)
+    one = _tags(F.col("m1"), F.col("t1") - F.col("before"), F.when(more, F.col("t2") - F.col("t1")).otherwise(to_next))
+    end = F.when(more, _tags(F.col("mk"), F.col("tk") - F.col("tj"), to_next)).otherwise(F.lit(0))
+    part = lambda no, tags, n: F.struct(F.lit(no).alias("no"), tags.cast("bigint").alias("tags"), n.cast("bigint").alias("n"))
+    parts = F.array(part(0, one, F.col("m1")), part(1, F.lit(0), F.col("head")), part(2, F.col("tags"), F.col("tail")),
+                    part(3, end, F.when(more, F.col("mk")).otherwise(F.lit(0))))
+    # The edge tags first (windows by segment), then the islands (windows by part).
+    s = s.select(*_ID, "segment", "most", F.explode(parts).alias("p"))
+    w = Window.partitionBy(*_ID).orderBy("segment", "p.no").rowsBetween(Window.unboundedPreceding, 0)
+    islands = s.withColumn("island", F.sum("p.tags").over(w)).groupBy(*_ID, "island").agg(F.sum("p.n").alias("n"), F.max("most").alias("most"))
+    return islands.select(*_ID, F.greatest("n", "most").alias("n"))
+
+
 def cycle_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                threshold: int = CYCLE_IP_THRESHOLD, dedup: bool = True, lead_default: int | None = 0,
                distinct: bool = True, prune: bool = True, null_time: int | None = None,
-               scope: Staging | None = None) -> DataFrame:
+               segment_ms: int = SEGMENT_MS, counts: DataFrame | None = None) -> DataFrame:
     """Distinct keys with an island of equal gaps larger than ``threshold``
     (light groups dropped first, exactly)."""
-    isl = cycle_islands(log, key, ad, t, dedup, lead_default, threshold + 1 if prune else None, null_time, scope)
-    return _keys(isl.where(F.col("n") > threshold), key, distinct)
+    rows = _segments(log, key, ad, t, dedup, threshold + 1 if prune else None, null_time, segment_ms, counts)
+    found = _fold(_segment_summaries(rows), lead_default)
+    return _keys(_from_id(found.where(F.col("n") > threshold)), key, distinct)
 
 
 # ------------------------------------------------------------------ the four rules

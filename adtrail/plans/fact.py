@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtrail.operators.crawler import agent_patterns
-from adtrail.operators.flags import RULES, RuleParams, join_flags, prepare_flagged, rule_set
+from adtrail.operators.flags import KEYS, RuleParams, join_flags, prepare_flagged, key_rules
 from adtrail.operators.geo import attach_region, prepare_ranges
 from adtrail.operators.ua import parse_agents
 from adtrail.plans.broadcast import bounded
@@ -75,11 +75,10 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
         "plat": lambda: bounded(plat, max_rows, stage=scope),
     }
     # Keys are de-duplicated once, in the flagged-key table.
-    rules = {r: (lambda r=r: rule_set(log, r, params, False, scope)) for r in RULES}
-    with ThreadPoolExecutor(max_workers=len(tasks) + len(rules)) as pool:
-        sets = {k: pool.submit(f) for k, f in rules.items()}
+    with ThreadPoolExecutor(max_workers=len(tasks) + len(KEYS)) as pool:
+        found = [pool.submit(key_rules, log, key, params, False, scope) for key in KEYS]
         futures = {k: pool.submit(f) for k, f in tasks.items()}
-        flags = prepare_flagged({k: f.result() for k, f in sets.items()}, scope)
+        flags = prepare_flagged({rule: df for f in found for rule, df in f.result().items()}, scope)
         side = {k: f.result() for k, f in futures.items()} | {"flags": flags}
 
     x = attach_region(log, ranges, "client_ip", prepared=side["region"])

@@ -50,7 +50,7 @@ def skew_profile(spark, sf):
     """Largest sort group of one task when one IP carries a third of all events
     (``event_time % 3 = 0`` is re-keyed to one address): the direct forms sort a
     whole (key, ad) group; the frequency rule one bucket (and its context copy),
-    the period rule at most one range part."""
+    the period rule one segment."""
     log = R.coarse_log(spark, sf).withColumn(
         "client_ip", F.when(F.col("event_time") % 3 == 0, F.lit("10.0.0.1")).otherwise(F.col("client_ip")))
     direct = log.groupBy("client_ip", "ad_id").count().agg(F.max("count")).first()[0]
@@ -58,9 +58,9 @@ def skew_profile(spark, sf):
     b = F.floor(F.col("t") / 300_000)
     freq = (counts.select("key", "ad", F.explode(F.array(b, b + 1)).alias("b"))
             .groupBy("key", "ad", "b").count().agg(F.max("count")).first()[0])
-    part = (traffic.cycle_rows(log, "client_ip").groupBy("part").count().agg(F.max("count")).first()[0])
+    part = (traffic.cycle_rows(log, "client_ip").groupBy("key", "ad", "segment").count().agg(F.max("count")).first()[0])
     return {"rows": log.count(), "hot_key_rows": log.where(F.col("client_ip") == "10.0.0.1").count(),
-            "direct_window_max_group": direct, "frequency_max_group": freq, "period_max_part": part}
+            "direct_window_max_group": direct, "frequency_max_group": freq, "period_max_segment": part}
 
 
 HEADLINE = ["fact_enriched", "parse_log", "high_frequency_ip", "high_frequency_device", "cycle_ip",

@@ -213,7 +213,47 @@ def test_no_window_holds_a_whole_key(spark):
         for line in plan.splitlines():
             if "Window [" in line:
                 by = line.split("], [")[1]      # Window [functions], [partition], [order]
-                assert "part#" in by or "bucket#" in by or "kk#" not in by, line
+                # ... or is the fold over a key's segments: a row per time span.
+                assert "segment#" in line or "bucket#" in by or "kk#" not in by, line
+
+
+@pytest.mark.parametrize("segment_ms", [1, 1500, 9000, 10 ** 7])
+def test_segmented_scan_equals_direct(spark, segment_ms):
+    rows = _random_rows(41, n_keys=6, n=350) + [("one", "1", 77)] + [("even", "1", 700 * i) for i in range(1, 60)]
+    rows += [("even", "2", 5000)] * 3 + [("even", "2", 700 * i) for i in range(20)]
+    for key, dedup, lead in (("client_ip", True, 0), ("client_device_id", False, None)):
+        log = _log(spark, rows, key)
+        direct = direct_forms.cycle_islands_direct(log, key, dedup=dedup, lead_default=lead).cache()
+        got = traffic.cycle_islands(log, key, dedup=dedup, lead_default=lead, segment_ms=segment_ms)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+        # The fold's largest island per key is the direct form's, so every threshold agrees.
+        folded = traffic._fold(traffic._segment_summaries(traffic._segments(
+            log, key, "ad_id", "event_time", dedup, None, None, segment_ms, None)), lead)
+        most = {r[0]: r[1] for r in traffic._from_id(folded).groupBy("key").agg(F.max("n")).collect()}
+        assert most == {r[0]: r[1] for r in direct.groupBy("key").agg(F.max("n")).collect()}
+        direct.unpersist()
+
+
+def test_light_groups_go_and_heavy_ones_stay(spark):
+    rows = [(f"k{i}", "1", i) for i in range(300)] + [("hot", None, i) for i in range(9)] + [(None, "2", i) for i in range(5)]
+    log = _log(spark, rows)
+    for slots in (1, 64, 1 << 24):
+        kept = traffic.without_light_groups(log, "client_ip", "ad_id", 5, slots)
+        assert kept.columns == log.columns
+        got = [tuple(r) for r in kept.collect()]
+        assert {r for r in rows if r[0] in ("hot", None)} <= set(got) and len(got) == len(set(got))
+        assert len(got) == (14 if slots == 1 << 24 else len(rows) if slots == 1 else len(got))
+    assert traffic.without_light_groups(log, "client_ip", "ad_id", 400, 1 << 24).count() == 0
+
+
+def test_rules_of_a_key_share_their_counts(spark):
+    from adtrail.operators.flags import RuleParams, rule_set, rule_sets
+
+    rows = [(k, k, a, t) for k, a, t in _random_rows(51, n_keys=8, n=400)] + [("", "", "1", 1000 * i) for i in range(30)]
+    log = spark.createDataFrame(rows, "client_ip string, client_device_id string, ad_id string, event_time bigint")
+    p = RuleParams(8000, 4, 4, 6)
+    for rule, df in rule_sets(log, p).items():
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, rule_set(log, rule, p).collect()), key=repr), rule
 
 
 HOSTILE = (-2 ** 63, 2 ** 63 - 1, -1, MAX_EVENT_TIME_MS)
