@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.llm import words as W
-from adtrail.staging import Staging
+from adtrail.staging import Staging, drop_dead_shuffles
 
 SHINGLE = 3
 NUM, DEN = 90, 100
@@ -386,12 +386,15 @@ def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int
     clusters = components(candidate_stars(docs, num, den, text, key, size), staging)
     firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     cluster_path = staging.paths[-1]
+    drop_dead_shuffles(docs.sparkSession)            # the part keys, the largest of all
     members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", "copies", F.col("root").alias("cluster")), "members")
     staging.drop(cluster_path)
     sets = staging.table(member_sets(docs, members, text, key, size), "member_sets")
     used = staging.paths[-2:]
+    drop_dead_shuffles(docs.sparkSession)
     links = staging.table(link_tiles(_tiles(sets, tile_shingles), num, den, link_counts), "links")
     staging.drop(*used)
+    drop_dead_shuffles(docs.sparkSession)
     linked = components(links.select("a", "b"), staging)
     # Names without a link are components of their own.
     rooted = firsts.join(linked, firsts["name"] == linked["node"], "left").select(

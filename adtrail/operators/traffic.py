@@ -247,18 +247,14 @@ def _segment_summaries(rows: DataFrame) -> DataFrame:
     tag = F.when(inner, _tags(F.col("m"), F.col("t") - F.col("prev"), F.col("next") - F.col("t"))).otherwise(F.lit(0))
     x = x.withColumn("piece", F.sum(tag).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     first, last = F.col("prev").isNull(), F.col("next").isNull()
+    own = lambda where, c: F.max(F.when(where, F.col(c)))
     pieces = x.groupBy(*_SEGMENT, "piece").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(F.when(inner, F.col("m")).otherwise(F.lit(0))).alias("n"),
-        F.max(F.when(first, F.struct("t", "m", "next"))).alias("one"),
-        F.max(F.when(last, F.struct("t", "m", "prev"))).alias("end"))
+        F.count(F.lit(1)).alias("k"), F.sum(F.when(inner, F.col("m")).otherwise(F.lit(0))).alias("n"), F.min("t").alias("t1"), F.max("t").alias("tk"),
+        own(first, "m").alias("m1"), own(first, "next").alias("t2"), own(last, "m").alias("mk"), own(last, "prev").alias("tj"))
     s = pieces.groupBy(*_SEGMENT).agg(
-        F.sum("k").alias("k"), F.max("one").alias("one"), F.max("end").alias("end"), F.max("piece").alias("tags"),
-        F.max(F.when(F.col("piece") == 0, F.col("n"))).alias("head"), F.max_by("n", "piece").alias("_tail"),
-        F.max(F.when(F.col("piece") > 0, F.col("n"))).alias("most"))
-    return s.select(*_SEGMENT, "k", F.col("one.t").alias("t1"), F.col("one.m").alias("m1"), F.col("one.next").alias("t2"),
-                    F.col("end.t").alias("tk"), F.col("end.m").alias("mk"), F.col("end.prev").alias("tj"), "tags",
-                    F.coalesce("head", F.lit(0)).alias("head"), F.when(F.col("tags") > 0, F.col("_tail")).otherwise(F.lit(0)).alias("tail"),
-                    F.coalesce("most", F.lit(0)).alias("most"))
+        F.sum("k").alias("k"), F.min("t1").alias("t1"), *[F.max(c).alias(c) for c in ("m1", "t2", "tk", "mk", "tj")], F.max("piece").alias("tags"),
+        own(F.col("piece") == 0, "n").alias("head"), F.max_by("n", "piece").alias("tail"), own(F.col("piece") > 0, "n").alias("most"))
+    return s.withColumn("tail", F.when(F.col("tags") > 0, F.col("tail")).otherwise(F.lit(0))).na.fill(0, ["head", "most"])
 
 
 def _fold(summaries: DataFrame, lead_default: int | None) -> DataFrame:
