@@ -2,11 +2,11 @@
 
 ``log LEFT JOIN crawler ON client_ua rlike pattern`` gives one output row per
 matching pattern (and one row with NULL pattern columns when none matches).
-The pattern list is a parameter of the job (a list of regular expressions, or
-a table that is read into one, at most ``MAX_PATTERNS`` rows), so every pattern
-is a literal of the plan and compiled once per task.  Distinct agents are
-matched, in one projection, and the (agent, pattern) pairs are joined back on
-the agent string, which keeps the multiplicity.
+The patterns are a short list, a parameter of the job (then every pattern is a
+literal of the plan, and the distinct agents are matched in one projection), or
+a table of any length, which is joined by a literal index
+(:mod:`adtrail.operators.literals`).  The (agent, pattern) pairs are joined back
+on the agent string, which keeps the multiplicity.
 """
 
 from __future__ import annotations
@@ -16,13 +16,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtrail.operators.literals import matches
 from adtrail.plans.broadcast import join_small
 from adtrail.schemas import CRAWLER_JSON
 from adtrail.staging import Staging, session_scope
 
-# The longest pattern list; a longer one is an error, never cut.
-MAX_PATTERNS = 10_000
-
 # --- fixed values: sample crawler patterns used by the queries ---------------
 CRAWLER_ROWS = [
     ("Googlebot", "2024-01-01", "http://www.google.com/bot.html",
@@ -39,21 +37,17 @@ def default_patterns(spark: SparkSession) -> DataFrame:
     return raw.select("pattern", "addition_date", "url", F.col("instances").alias("instance"))
 
 
-def pattern_list(patterns: DataFrame | Iterable[str]) -> list[str]:
-    """The patterns as a list; a table is read (duplicates kept: they fan out too)."""
-    if isinstance(patterns, DataFrame):
-        rows = patterns.select("pattern").where(F.col("pattern").isNotNull()).limit(MAX_PATTERNS + 1).collect()
-        patterns = [r["pattern"] for r in rows]
-    out = sorted(patterns)
-    if len(out) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} crawler patterns")
-    return out
-
-
-def agent_patterns(df: DataFrame, patterns: DataFrame | Iterable[str], ua_col: str = "client_ua") -> DataFrame:
-    """``(_agent, pattern)`` for every distinct non-NULL agent and every pattern it matches."""
+def agent_patterns(df: DataFrame, patterns: DataFrame | Iterable[str], ua_col: str = "client_ua",
+                   scope: Staging | None = None) -> DataFrame:
+    """``(_agent, pattern)`` for every distinct non-NULL agent and every pattern it matches;
+    a pattern that is given several times matches as often."""
     agents = df.select(F.col(ua_col).alias("_agent")).where(F.col("_agent").isNotNull()).distinct()
-    hits = [F.when(F.col("_agent").rlike(p), F.lit(p)) for p in pattern_list(patterns)]
+    if isinstance(patterns, DataFrame):
+        agents = (scope or session_scope(df.sparkSession)).table(agents, "agents")
+        times = patterns.groupBy("pattern").agg(F.count(F.lit(1)).cast("int").alias("_times"))
+        return (matches(agents, patterns).join(times, "pattern")
+                .select("_agent", F.explode(F.array_repeat("pattern", F.col("_times"))).alias("pattern")))
+    hits = [F.when(F.col("_agent").rlike(p), F.lit(p)) for p in sorted(patterns)]
     found = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
     return agents.select("_agent", F.explode(found).alias("pattern"))
 
@@ -61,16 +55,18 @@ def agent_patterns(df: DataFrame, patterns: DataFrame | Iterable[str], ua_col: s
 def crawler_match(df: DataFrame, patterns: DataFrame | Iterable[str], ua_col: str = "client_ua",
                   max_rows: int | None = None, scope: Staging | None = None) -> DataFrame:
     """Fan-out form: ``df`` + ``crawler_pattern``, one row per matching pattern."""
-    pairs = agent_patterns(df, patterns, ua_col).withColumnRenamed("pattern", "crawler_pattern")
-    out = join_small(df, pairs, (ua_col, "_agent"), "left", max_rows, stage=scope or session_scope(df.sparkSession))
+    scope = scope or session_scope(df.sparkSession)
+    pairs = agent_patterns(df, patterns, ua_col, scope).withColumnRenamed("pattern", "crawler_pattern")
+    out = join_small(df, pairs, (ua_col, "_agent"), "left", max_rows, stage=scope)
     return out.drop("_agent")
 
 
 def crawler_flag(df: DataFrame, patterns: DataFrame | Iterable[str], ua_col: str = "client_ua",
                  max_rows: int | None = None, scope: Staging | None = None) -> DataFrame:
     """No fan-out form: ``df`` + ``is_crawler``."""
-    hits = agent_patterns(df, patterns, ua_col).select("_agent").distinct().withColumn("is_crawler", F.lit(True))
-    out = join_small(df, hits, (ua_col, "_agent"), "left", max_rows, stage=scope or session_scope(df.sparkSession))
+    scope = scope or session_scope(df.sparkSession)
+    hits = agent_patterns(df, patterns, ua_col, scope).select("_agent").distinct().withColumn("is_crawler", F.lit(True))
+    out = join_small(df, hits, (ua_col, "_agent"), "left", max_rows, stage=scope)
     return out.withColumn("is_crawler", F.coalesce(F.col("is_crawler"), F.lit(False))).drop("_agent")
 
 

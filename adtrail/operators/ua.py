@@ -6,9 +6,11 @@ priority wins; the version is ``regexp_extract(ua, version_pattern, 1)``.
 Agents matching no rule of an attribute get ``Unknown`` and a NULL version.
 
 The agents are deduplicated first (one regex pass per distinct agent, not per
-event).  The rules are a parameter of the job (a list, or a table that is read
-into one, at most ``MAX_RULES`` rows): each attribute is one ``CASE`` chain of
-literal patterns, compiled once per task, and a chain stops at its first match.
+event).  A short rule list is a parameter of the job: each attribute is one
+``CASE`` chain of literal patterns, compiled once per task, and a chain stops at
+its first match.  A rule table of any length is joined by a literal index
+(:mod:`adtrail.operators.literals`), and the first match by priority is an
+aggregate, so the plan does not grow with the rules.
 The result is joined back on the agent string.  The rule table below is ours:
 the third-party library the warehouse used is not part of it.
 """
@@ -20,13 +22,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtrail.operators.literals import matches
 from adtrail.plans.broadcast import join_small
 from adtrail.schemas import UA_RULES
 from adtrail.staging import Staging, session_scope
 
 UNKNOWN = "Unknown"
-# The longest rule table; a longer one is an error, never cut.
-MAX_RULES = 10_000
 
 # --- fixed values: our UA rule table (attribute, priority, pattern, value, version_pattern)
 # Patterns use the syntax common to Java regex and RE2.
@@ -63,17 +64,6 @@ def default_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(UA_RULE_ROWS, UA_RULES)
 
 
-def rule_list(rules: DataFrame | Iterable[tuple]) -> list[tuple]:
-    """``(attribute, priority, pattern, value, version_pattern)`` rows by priority."""
-    if isinstance(rules, DataFrame):
-        cols = ("attribute", "priority", "pattern", "value", "version_pattern")
-        rules = [tuple(r) for r in rules.select(*cols).limit(MAX_RULES + 1).collect()]
-    out = sorted(rules, key=lambda r: (r[0], r[1]))
-    if len(out) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} agent rules")
-    return out
-
-
 def _chain(rules: list[tuple], ua: Column, result, default) -> Column:
     """The first matching rule's result."""
     out = None
@@ -84,8 +74,10 @@ def _chain(rules: list[tuple], ua: Column, result, default) -> Column:
 
 def parse_agents(agents: DataFrame, rules: DataFrame | Iterable[tuple], ua_col: str = "ua") -> DataFrame:
     """Distinct agents -> ``(ua_col, ua_struct)``."""
+    if isinstance(rules, DataFrame):
+        return _parse_by_table(agents, rules, ua_col)
     by: dict[str, list[tuple]] = {a: [] for a in ATTRIBUTES}
-    for r in rule_list(rules):
+    for r in sorted(rules, key=lambda r: (r[0], r[1])):
         if r[0] in by:
             by[r[0]].append(r)
     ua = F.col(ua_col)
@@ -107,6 +99,23 @@ def parse_agents(agents: DataFrame, rules: DataFrame | Iterable[tuple], ua_col:
     return agents.select(ua_col, st.alias("ua_struct"))
 
 
+def _parse_by_table(agents: DataFrame, rules: DataFrame, ua_col: str) -> DataFrame:
+    """The same from a rule table; of two rules with one priority the lesser pattern wins."""
+    agents = session_scope(agents.sparkSession).table(agents.select(ua_col), "agents")
+    rules = rules.select("attribute", "priority", "pattern", "value", "version_pattern").where(F.col("attribute").isin(*ATTRIBUTES))
+    won = (matches(agents, rules, ua_col).join(rules, "pattern").groupBy(ua_col, "attribute")
+           .agg(F.min_by(F.struct("value", "version_pattern"), F.struct("priority", "pattern")).alias("rule")))
+    version = F.when(F.col("rule.version_pattern") != "", F.expr(f"regexp_extract(`{ua_col}`, rule.version_pattern, 1)"))
+    won = won.select(ua_col, "attribute", F.col("rule.value").alias("value"), version.alias("version"))
+    of = lambda a, c: F.max(F.when(F.col("attribute") == a, F.col(c)))
+    found = won.groupBy(ua_col).agg(*[of(a, "value").alias(f"_{a}") for a in ATTRIBUTES], *[of(a, "version").alias(f"_{a}_v") for a in ("browser", "engine", "os")])
+    name = lambda a: F.coalesce(f"_{a}", F.lit(UNKNOWN)).alias(a)
+    st = F.struct(name("browser"), F.col("_browser_v").alias("browserVersion"), name("engine"), F.col("_engine_v").alias("engineVersion"),
+                  name("os"), F.col("_os_v").alias("osVersion"), name("platform"),
+                  (F.coalesce("_mobile", F.lit("false")) == "true").alias("isMobile"))
+    return agents.join(found, ua_col, "left").select(ua_col, st.alias("ua_struct"))
+
+
 def distinct_agents(df: DataFrame, ua_col: str = "client_ua") -> DataFrame:
     """Non-empty agents, once each (``''`` and NULL parse to a NULL struct)."""
     return df.select(F.col(ua_col).alias("_agent")).where(F.col("_agent") != "").distinct()
