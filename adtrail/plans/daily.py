@@ -79,6 +79,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+# Tables whose text comes from the log collector as it is; the others are
+# written by the import, which escapes delimiters and line ends in values.
+COLLECTED = ("ods_ad_log_inc",)
+
+
 # ---------------------------------------------------------------- import
 def import_layer(spark: SparkSession, wh: Warehouse, reader: Callable[[str], DataFrame], date: str,
                  tables: str = "all") -> list[str]:
@@ -88,7 +93,7 @@ def import_layer(spark: SparkSession, wh: Warehouse, reader: Callable[[str], Dat
     done = []
     for t in _select(tables, schemas.ODS_TABLES):
         columns = [c for c in schemas.ODS_TABLES[t].names if c != "dt"]
-        write_text(reader(t).select(*columns), wh.origin(t, date), ODS_DELIMITERS[t])
+        write_text(reader(t).select(*columns), wh.origin(t, date), ODS_DELIMITERS[t], escaped=t not in COLLECTED)
         done.append(t)
     return done
 
@@ -102,15 +107,14 @@ def load_ods(spark: SparkSession, wh: Warehouse, date: str, tables: str = "all")
         src = wh.origin(t, date)
         if not path_exists(spark, src):
             continue
-        lines = spread(spark.read.text(src))
-        (lines.write.mode("overwrite").option("compression", "gzip")
-         .text(f"{wh.ods(t)}/dt={date}"))
+        # Rebalanced as it is written, so later reads find enough files.
+        overwrite_partition(spark.read.text(src), wh.ods(t), date, fmt="text", compression="gzip")
         loaded.append(t)
     return loaded
 
 
 def read_ods(spark: SparkSession, wh: Warehouse, table: str, date: str | None = None) -> DataFrame:
-    df = read_delimited_text(spark, wh.ods(table), schemas.ODS_TABLES[table], ODS_DELIMITERS[table])
+    df = read_delimited_text(spark, wh.ods(table), schemas.ODS_TABLES[table], ODS_DELIMITERS[table], escaped=table not in COLLECTED)
     return df if date is None else df.where(F.col("dt") == date)
 
 

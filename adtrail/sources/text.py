@@ -24,14 +24,22 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
+def escapes(delimiter: str) -> tuple[tuple[str, str], ...]:
+    """(plain, code) of the escaped text form, in the order of encoding: the backslash
+    first, so that afterwards every backslash starts a code."""
+    return (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"), (delimiter, "\\d"))
+
+
 def split_fields(df: DataFrame, schema: T.StructType, delimiter: str, null_token: str | None = None,
-                 value_col: str = "value") -> DataFrame:
+                 value_col: str = "value", escaped: bool = False) -> DataFrame:
     parts = F.split(F.col(value_col), _regex_quote(delimiter), -1)
     cols = []
     for i, f in enumerate(schema.fields):
         v = F.get(parts, i)
         if null_token is not None:
             v = F.when(v != F.lit(null_token), v)
+        for plain, code in reversed(escapes(delimiter)) if escaped else ():
+            v = F.replace(v, F.lit(code), F.lit(plain))
         cols.append((v if isinstance(f.dataType, T.StringType) else v.try_cast(f.dataType)).alias(f.name))
     keep = [F.col(c) for c in df.columns if c != value_col]
     return df.select(*cols, *keep)
@@ -42,7 +50,7 @@ def _regex_quote(s: str) -> str:
 
 
 def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType, delimiter: str,
-                        null_token: str | None = None, min_partitions: int | None = None) -> DataFrame:
+                        null_token: str | None = None, min_partitions: int | None = None, escaped: bool = False) -> DataFrame:
     """Read a (possibly ``dt=``-partitioned) text table.  gzip files are not
     splittable: pass ``min_partitions`` to spread the rows after the read."""
     raw = spark.read.option("basePath", path).text(path)
@@ -50,13 +58,13 @@ def read_delimited_text(spark: SparkSession, path: str, schema: T.StructType, de
         raw = raw.withColumn("dt", F.col("dt").cast("string"))
     if min_partitions:
         raw = spread(raw, min_partitions)
-    return split_fields(raw, schema, delimiter, null_token)
+    return split_fields(raw, schema, delimiter, null_token, escaped=escaped)
 
 
 def read_partition(spark: SparkSession, root: str, dt: str, schema: T.StructType, delimiter: str,
-                   null_token: str | None = None) -> DataFrame:
+                   null_token: str | None = None, escaped: bool = False) -> DataFrame:
     """One day of a text table; the ``dt`` filter prunes directories."""
-    return read_delimited_text(spark, root, schema, delimiter, null_token).where(F.col("dt") == dt)
+    return read_delimited_text(spark, root, schema, delimiter, null_token, escaped=escaped).where(F.col("dt") == dt)
 
 
 def read_crawler_json(spark: SparkSession, path: str) -> DataFrame:
