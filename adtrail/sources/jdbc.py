@@ -27,6 +27,36 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     return spark.read.jdbc(url, table, properties=props)
 
 
+def split_predicates(keys: DataFrame, key: str, parts: int, accuracy: int = 10_000) -> list[str]:
+    """Up to ``parts`` predicates on ``key`` of about equal shares, whatever the keys'
+    distribution: their bounds are quantiles (a sketch with a relative rank error of
+    ``1 / accuracy``, combined map-side; ``parts - 1`` numbers reach the driver).
+
+    Every row satisfies exactly one; NULL keys go with the first.  Only a key that
+    is repeated more often than a share makes a larger one.  No rows: one predicate."""
+    cuts = F.array(*[F.lit(i / parts) for i in range(1, parts)]) if parts > 1 else None
+    found = keys.agg(F.percentile_approx(key, cuts, accuracy)).first()[0] if cuts is not None else None
+    bounds = sorted(set(found or []))
+    name = f"`{key}`"
+    if not bounds:
+        return [f"{name} IS NULL OR {name} IS NOT NULL"]
+    first = f"{name} IS NULL OR {name} <= {bounds[0]}"
+    between = [f"{name} > {a} AND {name} <= {b}" for a, b in zip(bounds, bounds[1:])]
+    return [first, *between, f"{name} > {bounds[-1]}"]
+
+
+def read_jdbc_even(spark: SparkSession, url: str, table: str, key: str, parts: int, properties: dict | None = None,
+                   lower: int | None = None, upper: int | None = None, quote: str = "") -> DataFrame:
+    """Full-table import in splits of about equal shares: the key column is read first
+    (in ranges of equal width, where bounds are given), then the table by its quantiles.
+    ``quote``: the database's identifier quote."""
+    props = dict(properties or {})
+    keys = f"(SELECT {quote}{key}{quote} FROM {table}) k"
+    read = read_jdbc(spark, url, keys, props, key, lower, upper, parts) if lower is not None else read_jdbc(spark, url, keys, props)
+    predicates = [p.replace("`", quote) for p in split_predicates(read, key, parts)]
+    return spark.read.jdbc(url, table, predicates=predicates, properties=props)
+
+
 def catalog_tables(tables: DataFrame, database: str, explicit: str | None = None) -> DataFrame:
     """Tables to import: an explicit comma list, else every table of ``database``
     (``tables`` has the ``information_schema.tables`` columns)."""

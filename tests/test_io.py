@@ -1,6 +1,7 @@
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from adtrail.operators.dims import dim_crawler
@@ -76,3 +77,84 @@ def test_salted_day_clustering_writes_same_rows(spark):
     day = root + "/dt=2024-01-01"
     files = [f for f in os.listdir(day) if f.endswith(".orc")]
     assert 1 < len(files) <= 3          # a day is written by up to files_per_day tasks, not one
+
+
+HOSTILE = ["", "plain", "tab\there", "line\nend", "cr\rlf\r\n", "\\", "\\N", "\\n", "\\s\\d", "a\\", "\u0001", "é\t\\t", None]
+
+
+def test_escaped_text_round_trip(spark, tmp_path):
+    from pyspark.sql import types as T
+    from adtrail.sinks.partitions import write_text
+    from adtrail.sources.text import read_delimited_text
+
+    rows = [(str(i), a, b) for i, (a, b) in enumerate((a, b) for a in HOSTILE for b in HOSTILE)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "a", "b")])
+    for k, delimiter in enumerate(("\t", "\u0001")):
+        path = str(tmp_path / f"out{k}")
+        write_text(spark.createDataFrame(rows, schema), path, delimiter, null_as="\\N", escaped=True)
+        back = read_delimited_text(spark, path, schema, delimiter, null_token="\\N", escaped=True)
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_failed_day_leaves_the_old_one(spark, tmp_path, adaptive):
+    from adtrail.sinks import partitions
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        root, day = str(tmp_path / "t"), "2024-01-01"
+        read = lambda: sorted(r[0] for r in spark.read.orc(f"{root}/dt={day}").collect())
+        partitions.overwrite_partition(spark.range(100), root, day)
+        bad = spark.range(50).select(F.when(F.col("id") == 49, F.raise_error(F.lit("source"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+        with pytest.raises(Exception):
+            partitions.overwrite_partition(bad, root, day)
+        assert read() == list(range(100))
+        # A day from itself.
+        partitions.overwrite_partition(spark.read.orc(f"{root}/dt={day}").where("id < 10"), root, day)
+        assert read() == list(range(10))
+        # The driver dies between the two renames: the next writer, or a reader's call, heals the day.
+        (tmp_path / "t" / f"dt={day}").rename(tmp_path / "t" / f"_old-dt={day}")
+        partitions.heal_partition(spark.range(1), root, day)
+        assert read() == list(range(10))
+        # The second rename fails.
+        renamed, real = [], partitions._rename
+        def failing(fs, old, new):
+            renamed.append(new)
+            if len(renamed) == 2:
+                raise OSError("no")
+            real(fs, old, new)
+        partitions._rename = failing
+        try:
+            with pytest.raises(OSError):
+                partitions.overwrite_partition(spark.range(3), root, day)
+        finally:
+            partitions._rename = real
+        assert read() == list(range(10))
+        assert [p.name for p in (tmp_path / "t").iterdir()] == [f"dt={day}"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_a_batch_is_appended_once(spark, tmp_path):
+    from adtrail.sinks.partitions import append_partition
+
+    root, day = str(tmp_path / "t"), "2024-01-01"
+    for batch, n in (("a", 5), ("b", 3), ("a", 4), ("a.1", 2)):
+        append_partition(spark.range(n), root, day, batch=batch)
+    got = sorted(r[0] for r in spark.read.orc(f"{root}/dt={day}").collect())
+    assert got == sorted([*range(3), *range(4), *range(2)])
+    with pytest.raises(ValueError):
+        append_partition(spark.range(1), root, day, batch="../x")
+
+
+def test_split_predicates(spark):
+    from adtrail.sources.jdbc import split_predicates
+
+    skewed = spark.range(5000).select((F.col("id") * F.col("id") * F.col("id")).alias("k")).unionByName(spark.range(7).select(F.lit(None).cast("bigint").alias("k")))
+    predicates = split_predicates(skewed, "k", 9)
+    sizes = [skewed.where(p).count() for p in predicates]
+    assert len(sizes) == 9 and sum(sizes) == 5007 and max(sizes) < 1.5 * 5007 / 9
+    for df in (spark.range(0).toDF("k"), spark.range(3).select(F.lit(4).alias("k"))):
+        assert sum(df.where(p).count() for p in split_predicates(df, "k", 4)) == df.count()
+    assert len(split_predicates(skewed, "k", 1)) == 1
