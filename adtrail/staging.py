@@ -10,12 +10,40 @@ is a :func:`session_scope`, released on demand or when the process ends.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import threading
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 from adtrail.session import fresh_dir
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _before, _writing = threading.Lock(), {}, {}
+
+
+@contextlib.contextmanager
+def _shuffles_end_with_their_job(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a staging job go when it ends: its result is read from the
+    table only.  (Otherwise they stay until the driver's collector finds the plan
+    unreachable, and a chain of staged steps keeps the shuffles of all.)  Jobs side
+    by side share the setting; the last one puts the session's own back."""
+    key = id(spark)
+    with _lock:
+        if not _writing.get(key):
+            _before[key] = spark.conf.get(_CLEANUP, "false")
+            spark.conf.set(_CLEANUP, "true")
+        _writing[key] = _writing.get(key, 0) + 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing[key] -= 1
+            if not _writing[key]:
+                spark.conf.set(_CLEANUP, _before.pop(key))
+
+
 class Staging:
     """The staged tables of one job."""
 
@@ -33,7 +61,8 @@ class Staging:
         """Write ``df`` once and read it back: one job, lineage cut, and any
         lost executor only re-reads files."""
         p = self.path(name)
-        (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(p)
+        with _shuffles_end_with_their_job(self.spark):
+            (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(p)
         return self.spark.read.schema(df.schema).parquet(p)
 
     def drop(self, *paths: str) -> None:
@@ -61,13 +90,6 @@ class Staging:
         self.release()
 
 
-def drop_dead_shuffles(spark: SparkSession) -> None:
-    """Delete the shuffle files of finished jobs.  Spark's context cleaner removes them
-    once the driver's collector has seen that their plans are unreachable, which on a
-    large heap may be long after; a job that shuffled much and goes on asks for it."""
-    spark.sparkContext._jvm.System.gc()
-
-
 _SESSION: list[Staging] = []
 
 
