@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.llm import words as W
-from adtrail.staging import Staging, drop_dead_shuffles
+from adtrail.staging import Staging
 
 SHINGLE = 3
 NUM, DEN = 90, 100
@@ -221,12 +221,16 @@ def components(edges: DataFrame, staging: Staging) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def _tiles(member_sets: DataFrame, tile_shingles: int) -> DataFrame:
-    """``member_sets`` (cluster, name, n, hashes, copies) with ``tile, side``: a row per
-    tile that the set takes part in."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / tile_shingles)).cast("int")
-    sizes = member_sets.select("cluster", "n").groupBy("cluster").agg(F.sum("n").alias("total")).select("cluster", blocks.alias("blocks"))
-    placed = member_sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+def with_blocks(members: DataFrame, tile_shingles: int) -> DataFrame:
+    """``members`` with ``blocks``: into how many its cluster is cut."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.sum("n") / tile_shingles)).cast("int")
+    return members.drop("n").join(members.groupBy("cluster").agg(blocks.alias("blocks")), "cluster")
+
+
+def _tiles(member_sets: DataFrame) -> DataFrame:
+    """``member_sets`` (name, cluster, n, hashes, copies, blocks) with ``tile, side``: a row
+    per tile that the set takes part in.  No shuffle: the sets carry their cluster's cut."""
+    placed = member_sets.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiled = placed.select("cluster", "name", "n", "hashes", "copies", "block", other)
     return tiled.select(F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "cluster",
@@ -346,7 +350,7 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = F
 
 
 def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """The sets of one row per name in ``members`` (doc_id, name, cluster, copies); of a row
+    """The sets of one row per name in ``members`` (doc_id, name, cluster, copies, blocks); of a row
     that is repeated so often that a task's share of it was split, one per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, done = None, set()                     # names already given of the id at hand
@@ -367,15 +371,15 @@ def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: st
                 ok = pa.array(ok, pa.bool_())
                 out = pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), batch.column(1).slice(t.first, t.rows),
-                    pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), copies],
-                    ["name", "cluster", "n", "hashes", "copies"])
+                    pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), copies,
+                    batch.column(5).slice(t.first, t.rows)], ["name", "cluster", "n", "hashes", "copies", "blocks"])
                 yield out.filter(ok)
 
     # Members grow with the documents: always a shuffle join, at any size.
     rows, members = _rows(docs, key, text).withColumnRenamed("doc_id", "__id"), members.hint("merge")
-    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text", "copies", "__id")
+    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text", "copies", "__id", "blocks")
     # The join leaves rows of one id side by side, so repeats are seen without a shuffle of the sets.
-    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary, copies bigint")
+    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary, copies bigint, blocks int")
 
 
 def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, text: str = "text",
@@ -384,17 +388,14 @@ def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int
     ``link_counts`` also ``n_links``, the number of other rows that it links with."""
     named = staging.table(set_names(docs, text, key, size), "set_names")
     clusters = components(candidate_stars(docs, num, den, text, key, size), staging)
-    firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.min("n_shingles").alias("n"))
     cluster_path = staging.paths[-1]
-    drop_dead_shuffles(docs.sparkSession)            # the part keys, the largest of all
-    members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", "copies", F.col("root").alias("cluster")), "members")
+    members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", "copies", "n", F.col("root").alias("cluster")), "members")
     staging.drop(cluster_path)
-    sets = staging.table(member_sets(docs, members, text, key, size), "member_sets")
+    sets = staging.table(member_sets(docs, with_blocks(members, tile_shingles), text, key, size), "member_sets")
     used = staging.paths[-2:]
-    drop_dead_shuffles(docs.sparkSession)
-    links = staging.table(link_tiles(_tiles(sets, tile_shingles), num, den, link_counts), "links")
+    links = staging.table(link_tiles(_tiles(sets), num, den, link_counts), "links")
     staging.drop(*used)
-    drop_dead_shuffles(docs.sparkSession)
     linked = components(links.select("a", "b"), staging)
     # Names without a link are components of their own.
     rooted = firsts.join(linked, firsts["name"] == linked["node"], "left").select(
