@@ -52,7 +52,7 @@ SHINGLE = 3
 NUM, DEN = 90, 100
 SPARE = 2                     # parts that may agree by being empty, at least
 BAND_GROWTH = 1.5
-TILE_SHINGLES = 2_000_000     # shingles of one tile side
+TILE_SHINGLES = 6_000_000     # shingles of one tile side
 _KEYS_HELD = 1_000_000
 
 
