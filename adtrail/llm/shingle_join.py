@@ -16,7 +16,12 @@ link when ``den * |A & B| >= num * |A | B|``.
 3. Candidate clusters.  The sets under one key form a star (never all pairs);
    connected components of the stars are the clusters.  Every link lies inside one.
 4. Tiles.  A cluster's sets are brought together, a cluster above
-   ``TILE_SHINGLES`` in blocks that meet pairwise.  Inside a tile, sets are taken
+   ``TILE_SHINGLES`` in blocks.  First each block meets itself and names its hub,
+   the root of its largest group; the hubs meet; groups whose hubs link with the
+   commonest one are the cluster's core, connected already.  Then only sets
+   outside the core meet all others, block by block, so copies of one
+   original cost a reading or two, however many there are.  With ``link_counts``
+   all blocks meet pairwise instead.  Inside a tile, sets are taken
    in order of how common their shingles are there (the original of a group of
    near copies first) and compared with those of fitting size that are not yet
    connected to them (with ``link_counts``: with all, so every link is met
@@ -42,7 +47,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtrail.llm import words as W
@@ -230,9 +235,17 @@ def with_blocks(members: DataFrame, tile_shingles: int) -> DataFrame:
 def _tiles(member_sets: DataFrame) -> DataFrame:
     """``member_sets`` (name, cluster, n, hashes, copies, blocks) with ``tile, side``: a row
     per tile that the set takes part in.  No shuffle: the sets carry their cluster's cut."""
-    placed = member_sets.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tiled = placed.select("cluster", "name", "n", "hashes", "copies", "block", other)
+    placed = member_sets.withColumn("block", _block("blocks"))
+    return _meetings(placed.withColumn("others", F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+
+def _block(count: str) -> Column:
+    return F.pmod(F.xxhash64("name"), F.col(count)).cast("int")
+
+
+def _meetings(placed: DataFrame) -> DataFrame:
+    """A row per tile of every set that stands in ``block`` and meets the blocks ``others``."""
+    tiled = placed.select("cluster", "name", "hashes", "copies", "block", F.explode("others").alias("other"))
     return tiled.select(F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "cluster",
                         F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "name", "hashes", "copies")
 
@@ -312,9 +325,11 @@ def link_tile(sets: list[np.ndarray], side: np.ndarray, num: int = NUM, den: int
     return root, links
 
 
-def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = False) -> DataFrame:
+def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = False, hubs: bool = False) -> DataFrame:
     """Edges ``a, b`` that connect the linked sets of every tile.  With ``count``
-    a row for every set with a link, ``links`` of the tile; a root's ``b`` is itself."""
+    a row for every set with a link, ``links`` of the tile; a root's ``b`` is itself.
+    With ``hubs`` a further row for the root of every tile's largest group, with
+    its ``cluster`` and ``hashes`` (null in the other rows)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, sides, sets, copies = [], [], [], []
         now = None
@@ -326,7 +341,15 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = F
             root, links = link_tile(sets, np.array(sides), num, den, np.array(copies, dtype=np.int64) if count else None)
             name = np.array(names, dtype=np.int64)
             off = np.flatnonzero((root != np.arange(len(root))) | (links > 0))
-            return pa.RecordBatch.from_arrays([pa.array(name[off]), pa.array(name[root[off]]), pa.array(links[off])], ["a", "b", "links"])
+            cluster, hashes = [None] * len(off), [None] * len(off)
+            if hubs:
+                hub = int(np.bincount(root).argmax())
+                off = np.append(off, hub)
+                cluster.append(now[0])
+                hashes.append(sets[hub].tobytes())
+            return pa.RecordBatch.from_arrays([
+                pa.array(name[off]), pa.array(name[root[off]]), pa.array(links[off]), pa.array(cluster, pa.int64()),
+                pa.array(hashes, pa.binary())], ["a", "b", "links", "cluster", "hashes"])
 
         for batch in batches:
             cols = [batch.column(i) for i in range(7)]
@@ -346,7 +369,39 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = F
             yield edges()
 
     ordered = tiles.repartition("tile").sortWithinPartitions("cluster", "lo", "hi", "name")
-    return ordered.select("cluster", "lo", "hi", "block", "name", "hashes", "copies").mapInArrow(run, "a bigint, b bigint, links bigint")
+    return ordered.select("cluster", "lo", "hi", "block", "name", "hashes", "copies").mapInArrow(
+        run, "a bigint, b bigint, links bigint, cluster bigint, hashes binary")
+
+
+def link_sets(sets: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
+    """Edges ``a, b`` that connect all linked ``sets`` (name, cluster, n, hashes, copies, blocks)."""
+    whole = staging.table(link_tiles(_tiles(sets.filter("blocks = 1")), num, den), "links")
+    # Clusters that are cut into blocks: each block by itself, then the blocks' hubs.
+    cut = sets.filter("blocks > 1")
+    alone = cut.withColumn("block", _block("blocks")).withColumn("others", F.array("block"))
+    inner = staging.table(link_tiles(_meetings(alone), num, den, hubs=True), "block_links")
+    hubs = inner.filter("hashes is not null").select(
+        F.col("a").alias("name"), "cluster", (F.length("hashes") / 8).alias("n"), "hashes", F.lit(1).cast("bigint").alias("copies"))
+    between = staging.table(link_tiles(_tiles(with_blocks(hubs, tile_shingles)), num, den), "hub_links")
+    # The core: the commonest hub, those linked with it, and their groups.
+    times = between.groupBy(F.col("b").alias("name")).agg(F.count(F.lit(1)).alias("times"))
+    ranked = hubs.select("name", "cluster").join(times, "name", "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    first = ranked.groupBy("cluster").agg(F.max_by("name", F.struct("times", "name")).alias("hub")).select("hub")
+    near = between.join(first, between["b"] == first["hub"]).select(F.col("a").alias("hub"))
+    core_hubs = staging.table(first.unionByName(near).distinct(), "core_hubs")
+    core = inner.select(F.col("a").alias("name"), F.col("b").alias("hub")).join(core_hubs, "hub").select("name").distinct()
+    # The others are blocks of their own, 0 to rest - 1; they meet all blocks, the core's from ``rest`` on meet only them.
+    flagged = cut.select("name", "cluster", "n").distinct().join(core.withColumn("core", F.lit(True)), "name", "left")
+    flagged = flagged.withColumn("core", F.coalesce("core", F.lit(False)))
+    blocks = {flag: F.ceil(F.sum(F.when(F.col("core") == flag, F.col("n")).otherwise(0)) / tile_shingles).cast("int") for flag in (False, True)}
+    sizes = flagged.groupBy("cluster").agg(blocks[False].alias("rest"), F.greatest(F.lit(1), blocks[True]).alias("inside")).filter("rest > 0")
+    places = flagged.join(sizes, "cluster").select(
+        "name", F.when(F.col("core"), F.col("rest") + _block("inside")).otherwise(_block("rest")).alias("block"),
+        F.sequence(F.lit(0), F.col("rest") - 1 + F.when(F.col("core"), 0).otherwise(F.col("inside"))).alias("others"))
+    places = staging.table(places, "places")
+    outer = staging.table(link_tiles(_meetings(cut.join(places.hint("merge"), "name")), num, den), "outer_links")
+    edges = [x.select("a", "b") for x in (whole, inner, between, outer)]
+    return edges[0].unionByName(edges[1]).unionByName(edges[2]).unionByName(edges[3]).filter("a != b")
 
 
 def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
@@ -394,7 +449,10 @@ def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int
     staging.drop(cluster_path)
     sets = staging.table(member_sets(docs, with_blocks(members, tile_shingles), text, key, size), "member_sets")
     used = staging.paths[-2:]
-    links = staging.table(link_tiles(_tiles(sets), num, den, link_counts), "links")
+    if link_counts:
+        links = staging.table(link_tiles(_tiles(sets), num, den, True), "links")
+    else:
+        links = link_sets(sets, staging, num, den, tile_shingles)
     staging.drop(*used)
     linked = components(links.select("a", "b"), staging)
     # Names without a link are components of their own.

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from adtrail.llm import shingle_join as S
 from adtrail.llm import words as W
@@ -79,6 +80,33 @@ def test_clusters_in_blocks_give_the_same(spark, staging):
     assert result(S.link_components(docs, staging, tile_shingles=300)) == brute(rows)
 
 
+def test_a_cut_cluster_with_core_chain_and_strangers(spark, staging):
+    """One cluster in many blocks: copies of one original, a chain that leads away
+    from it, a second group and sets without any link."""
+    rng = np.random.default_rng(12)
+    sets = [np.arange(200)] + [np.delete(np.arange(200), rng.choice(200, 8, replace=False)) for _ in range(30)]
+    sets += [np.arange(10 * i, 200 + 10 * i) for i in range(1, 12)]
+    sets += [np.delete(np.arange(5000, 5150), i) for i in range(12)] + [np.arange(9000 + 300 * i, 9200 + 300 * i) for i in range(10)]
+    sets = [W.mix(np.sort(x).astype(np.uint64)) for x in sets]
+    sets = [np.sort(x) for x in sets]
+    root = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(x, sets[j]))
+            if 100 * both >= 90 * (len(x) + len(sets[j]) - both):
+                root = [root[j] if r == root[i] else r for r in root]
+    want = {frozenset(i for i, r in enumerate(root) if r == v) for v in set(root) if root.count(v) > 1}
+    for tile in (250, 1000, 4000, 10 ** 6):
+        rows = [(i, 7, len(x), bytearray(x.tobytes()), 1) for i, x in enumerate(sets)]
+        members = spark.createDataFrame(rows, "name long, cluster long, n long, hashes binary, copies long")
+        blocks = members.select("name", F.greatest(F.lit(1), F.ceil(F.lit(sum(map(len, sets)) / tile))).cast("int").alias("blocks"))
+        edges = S.link_sets(members.join(blocks, "name"), staging, tile_shingles=tile)
+        found = {}
+        for r in S.components(edges, staging).collect():
+            found.setdefault(r["root"], set()).add(r["node"])
+        assert set(map(frozenset, found.values())) == want, tile
+
+
 def test_edge_rows(spark, edge, empty, staging):
     rows = [(r["doc_id"], r["text"]) for r in edge.collect()]
     assert result(S.link_components(edge, staging)) == brute(rows)
