@@ -4,27 +4,40 @@ Two kinds of evidence are looked for in every whole text:
 
 * notice phrases, as runs of words, by a word-level Aho-Corasick automaton: one
   step per word finds all places of all phrases;
-* identifier tags (``spdx license identifier``), found by the same automaton;
-  the licence expression after each tag is read from the raw text and parsed by
-  the shunting-yard method (``and``, ``or``, ``with``, parentheses), and
-  evaluated to the set of its licences and whether all of it is known.
+* identifier tags (``spdx license identifier``, the words joined by any
+  characters that are no words), found by the same automaton; the licence
+  expression after each tag is read from the raw text and parsed by the
+  shunting-yard method (``with`` binds before ``and``, ``and`` before ``or``).
+
+An expression's value is its alternatives: each a set of licences that hold
+together.  ``or`` puts alternatives side by side, ``and`` joins each of one side
+with each of the other, ``with`` leaves its licence as it is; an alternative that
+asks for more than another is left out.  Beyond ``MAX_ALTERNATIVES`` combinations
+``alternatives`` is empty; ``labels`` names every licence in any case.  Unknown identifiers are passed over
+and clear ``all_known``; prose after an expression ends it.  ``alternatives`` gives
+the choices of a text's tags (``gpl+mit|apache``: both, or the third), so ``MIT OR
+GPL-2.0`` (``gpl|mit``) and ``MIT AND GPL-2.0`` (``gpl+mit``) differ; tags of one
+text hold together.
 
 Words are lower-cased (A-Z) runs of ASCII letters, digits and non-ASCII
 characters.  A phrase counts at every place, overlapping places too.
 
 Score: ``1 - prod(1 - c)`` over the kinds of evidence found, with the
-confidences ``TAG_CONFIDENCE`` (a well-formed expression), ``PHRASE_CONFIDENCE``
-(each different phrase).
+confidences ``TAG_CONFIDENCE`` (an expression known as a whole), ``PART_CONFIDENCE``
+(expressions known in part), ``PHRASE_CONFIDENCE`` (each different phrase).
 
 Defined results: null text = empty text: no words, no labels (empty strings),
-null positions, score 0.  A malformed expression gives no labels.  Repeated
-rows give repeated results; other columns are ignored.
+null positions, score 0.  A malformed expression, or one without a known licence,
+gives no labels.  A text of any length is read as a whole, in linear time; an
+empty table gives an empty result.  Repeated rows give repeated results; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,19 +63,39 @@ NOTICES = {
     "public domain": "public-domain",
     "the unlicense": "unlicense",
     "all rights reserved": "proprietary",
+    "boost software license": "boost",
+    "zlib license": "zlib",
+    "server side public license": "sspl",
+    "business source license": "busl",
+    "open font license": "ofl",
+    "artistic license": "artistic",
+    "python software foundation license": "psf",
+    "european union public licence": "eupl",
+    "common development and distribution license": "cddl",
+    "free documentation license": "gfdl",
+    "open database license": "odbl",
+    "open software license": "osl",
+    "academic free license": "afl",
 }
 TAG = "spdx license identifier"
-# Identifier (lower case, up to its version) -> label.
+# Identifier (lower case, up to its version) -> label, where they differ.
 IDENTIFIERS = {
-    "mit": "mit", "apache": "apache", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "bsd": "bsd", "mpl": "mpl",
-    "isc": "isc", "epl": "epl", "cc0": "public-domain", "unlicense": "unlicense", "cc-by": "cc", "cc-by-sa": "cc-by-sa",
-    "cc-by-nc": "cc-by-nc", "cc-by-nd": "cc-by-nd",
+    "bsl": "boost", "cc0": "public-domain", "cc-pddc": "public-domain", "cc-by": "cc", "0bsd": "bsd", "odc-by": "odbl",
+    "python": "psf", "x11": "mit", "mulanpsl": "mulan", "blueoak": "blue-oak", "wtfpl": "wtfpl", "ms-pl": "ms-pl", "ms-rl": "ms-rl",
 }
-TAG_CONFIDENCE, PHRASE_CONFIDENCE = 0.95, 0.7
+# Identifiers that are their own labels.
+IDENTIFIERS |= {name: name for name in (
+    "mit", "apache", "gpl", "lgpl", "agpl", "bsd", "mpl", "isc", "epl", "unlicense", "cc-by-sa", "cc-by-nc", "cc-by-nd", "cc-by-nc-sa", "cc-by-nc-nd",
+    "zlib", "sspl", "busl", "ofl", "artistic", "psf", "eupl", "cddl", "gfdl", "odbl", "osl", "afl", "ncsa", "postgresql", "openssl", "php", "ruby",
+    "vim", "w3c", "unicode", "icu", "curl", "ecl", "upl", "zpl", "cpl", "ipl", "lppl", "libpng", "ntp", "hpnd", "json", "cecill", "bzip2", "ftl", "tcl")}
+TAG_CONFIDENCE, PART_CONFIDENCE, PHRASE_CONFIDENCE = 0.95, 0.8, 0.7
 
 # Everything that is no word byte becomes a space; A-Z become a-z.
 _FOLD = bytes(32 if c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 128 else c + 32 if 65 <= c < 91 else c for c in range(256))
-_TAG_RAW = re.compile(rb"spdx-license-identifier[ \t]*:?[ \t]*([a-z0-9.+\-() \t]*)", re.I)
+# The tag as the automaton sees it: its words between bytes that are none.
+_GAP = rb"[^0-9A-Za-z\x80-\xff]+"
+_TAG_RAW = re.compile(rb"(?<![0-9A-Za-z\x80-\xff])" + _GAP.join(map(re.escape, TAG.encode().split()))
+                      + rb"(?![0-9A-Za-z\x80-\xff])[ \t]*[:=]?[ \t]*([a-z0-9.+\-() \t]*)", re.I)
 _TOKEN = re.compile(r"[()]|[a-z0-9.+\-]+")
 
 
@@ -109,70 +142,111 @@ class WordAutomaton:
         return out
 
 
+MAX_ALTERNATIVES = 1024
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
-def evaluate(expression: str) -> frozenset[str] | None:
-    """The labels of a licence expression, or None if it is malformed or an
-    identifier is unknown.  ``with`` binds an exception to one licence."""
-    values: list[frozenset[str] | None] = []
+class Choice(NamedTuple):
+    """A licence expression's value: its alternatives, each the licences that hold
+    together (None: more than ``MAX_ALTERNATIVES``), all licences it names, and
+    whether every identifier was known."""
+
+    alternatives: frozenset[frozenset[str]] | None
+    named: frozenset[str]
+    all_known: bool
+
+    def __str__(self) -> str:
+        return "|".join(sorted("+".join(sorted(a)) for a in self.alternatives or ()))
+
+
+def _least(alternatives: Iterable[frozenset[str]]) -> frozenset[frozenset[str]]:
+    """Without the alternatives that ask for more than another one does."""
+    kept: list[frozenset[str]] = []
+    for a in sorted(set(alternatives), key=len):
+        if not any(k <= a for k in kept):
+            kept.append(a)
+    return frozenset(kept)
+
+
+def _combine(a: Choice, b: Choice, conjunction: bool) -> Choice:
+    named, all_known = a.named | b.named, a.all_known and b.all_known
+    if not (a.named and b.named):             # a side of which nothing is known adds nothing
+        return Choice((a if a.named else b).alternatives, named, all_known)
+    x, y = a.alternatives, b.alternatives
+    if x is None or y is None or (len(x) * len(y) if conjunction else len(x) + len(y)) > MAX_ALTERNATIVES:
+        return Choice(None, named, all_known)
+    return Choice(_least((p | q for p in x for q in y) if conjunction else x | y), named, all_known)
+
+
+def either(a: Choice, b: Choice) -> Choice:
+    """The alternatives of both sides."""
+    return _combine(a, b, False)
+
+
+def both(a: Choice, b: Choice) -> Choice:
+    """Each alternative of one side with each of the other."""
+    return _combine(a, b, True)
+
+
+_APPLY = {"or": either, "and": both, "with": lambda licence, exception: licence}
+
+
+def evaluate(expression: str) -> Choice | None:
+    """The value of a licence expression, or None if it is malformed."""
+    values: list[Choice] = []
     operators: list[str] = []
 
-    def apply() -> bool:
-        op = operators.pop()
-        if op not in _RANK or len(values) < 2:
-            return False
+    def apply() -> None:
         b, a = values.pop(), values.pop()
-        if op == "with":       # the exception's own name is no licence
-            values.append(a)
-        else:
-            values.append(None if a is None or b is None else a | b)
-        return True
+        values.append(_APPLY[operators.pop()](a, b))
 
+    tokens = _TOKEN.findall(expression.lower())
     expect = True              # a licence or "(" must come next
-    for token in _TOKEN.findall(expression.lower()):
-        if token == "(":
+    for at, token in enumerate(tokens):
+        if expect != (token == "(" or token not in _RANK and token != ")"):
             if not expect:
-                return None
+                break          # a word or "(" after a whole operand: prose
+            return None
+        if token == "(":
             operators.append(token)
         elif token == ")":
-            if expect:
-                return None
             while operators and operators[-1] != "(":
-                if not apply():
-                    return None
+                apply()
             if not operators:
                 return None
             operators.pop()
         elif token in _RANK:
-            if expect:
-                return None
+            if _prose(tokens[at + 1:at + 3]):
+                break
             while operators and operators[-1] != "(" and _RANK[operators[-1]] >= _RANK[token]:
-                if not apply():
-                    return None
+                apply()
             operators.append(token)
             expect = True
         else:
-            if not expect:
-                break          # prose after the expression
-            values.append(frozenset() if operators[-1:] == ["with"] else _label(token))
+            values.append(_label(token))
             expect = False
-    if expect:
+    if expect or "(" in operators:
         return None
     while operators:
-        if not apply():
-            return None
-    return values[0] if len(values) == 1 else None
+        apply()
+    return values[0]
+
+
+def _prose(following: list[str]) -> bool:
+    """Is this the start of a sentence, not an operand: an unknown word with another word after it?"""
+    if len(following) < 2 or any(w in _RANK or w in "()" for w in following):
+        return False
+    return not _label(following[0]).all_known
 
 
-def _label(identifier: str) -> frozenset[str] | None:
+def _label(identifier: str) -> Choice:
     """The label of an identifier, its version and suffix aside."""
     parts = identifier.rstrip("+.").split("-")
     for n in range(len(parts), 0, -1):
         label = IDENTIFIERS.get("-".join(parts[:n]))
         if label:
-            return frozenset([label])
-    return None
+            return Choice(frozenset([frozenset([label])]), frozenset([label]), True)
+    return Choice(frozenset(), frozenset(), False)
 
 
 PHRASES = [*BASE, *NOTICES, TAG]
@@ -180,39 +254,41 @@ _LABELS = [*BASE.values(), *NOTICES.values(), None]
 
 
 def scan(text: bytes, automaton: WordAutomaton) -> tuple:
-    """(n_words, n_base, first_word, last_word, base_labels, labels, expressions, score)."""
+    """(n_words, n_base, first_word, last_word, base_labels, labels, expressions, score, alternatives, all_known)."""
     words = text.translate(_FOLD).split(b" ")
     words = [w for w in words if w]
     places = automaton.places(words)
     if not places:
-        return len(words), 0, None, None, "", "", "", 0.0
+        return len(words), 0, None, None, "", "", "", 0.0, "", None
     base = [(p, at) for p, at in places if p < len(BASE)]
     starts = [at for _, at in base]
     base_labels = {_LABELS[p] for p, _ in base}
     kinds = {p for p, _ in places}
     labels = {_LABELS[p] for p in kinds} - {None}
-    doubt, read = 1.0, []
+    doubt, read, value = 1.0, [], None
     for _ in kinds - {len(PHRASES) - 1}:
         doubt *= 1 - PHRASE_CONFIDENCE
     if len(PHRASES) - 1 in kinds:
         for m in _TAG_RAW.finditer(text):
             expression = m[1].decode().strip()
             found = evaluate(expression)
-            if found is not None:
-                labels |= found
+            if found is not None and found.named:
+                value = found if value is None else both(value, found)
                 read.append(" ".join(expression.split()))
-        if read:
-            doubt *= 1 - TAG_CONFIDENCE
-    return (len(words), len(base), min(starts, default=None), max(starts, default=None),
-            ",".join(sorted(base_labels)), ",".join(sorted(labels)), "; ".join(read), round(1 - doubt, 9))
+        if value is not None:
+            labels |= value.named
+            doubt *= 1 - (TAG_CONFIDENCE if value.all_known else PART_CONFIDENCE)
+    return (len(words), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(base_labels)), ",".join(sorted(labels)),
+            "; ".join(read), round(1 - doubt, 9), str(value or ""), None if value is None else value.all_known)
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document with its places, labels, expressions and score."""
+    """One row per document with its places, labels, expressions, score, choices of
+    its expressions and whether all of them is known (null without any)."""
     one = docs.select(docs[key].alias("__key"), docs[text].cast("string").alias("__text"))
     kind = one.schema["__key"].dataType.simpleString()
-    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "expressions", "score"]
-    types = [pa.int64()] * 4 + [pa.string()] * 3 + [pa.float64()]
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "expressions", "score", "alternatives", "all_known"]
+    types = [pa.int64()] * 4 + [pa.string()] * 3 + [pa.float64(), pa.string(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = WordAutomaton(PHRASES)
@@ -224,4 +300,4 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], [key, *names])
 
     return one.mapInArrow(run, f"`{key}` {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-                               "base_labels string, labels string, expressions string, score double")
+                               "base_labels string, labels string, expressions string, score double, alternatives string, all_known boolean")

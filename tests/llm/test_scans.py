@@ -36,25 +36,68 @@ def test_places_against_brute_force(pieces, joint):
     starts = [i for _, i in places]
     assert row[:5] == (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({a for a, _ in places})))
     extra = {label for phrase, label in licenses.NOTICES.items() for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()}
+    # Labels beyond the phrases' are those of the tags: all of one tag's licences.
+    tags = set(row[5].split(",")) - {""} - {a for a, _ in places} - extra
     assert {a for a, _ in places} | extra <= set(row[5].split(",")) | {""}
+    assert tags <= set().union(*(re.split(r"[|+]", row[8]),)) and bool(row[8]) == (row[9] is not None)
     assert 0 <= row[7] <= 1
 
 
 def test_expressions():
     e = licenses.evaluate
-    assert e("MIT") == {"mit"}
-    assert e("(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0") == {"mit", "apache", "gpl"}
-    assert e("CC-BY-SA-4.0") == {"cc-by-sa"} and e("gpl-2.0+") == {"gpl"}
-    assert e("MIT and this is prose") is None and e("MIT then prose") == {"mit"}
-    for bad in ("", "MIT OR", "OR MIT", "(MIT", "MIT)", "(MIT) (BSD)", "no-such-licence", "MIT WITH", "()", ")("):
+    for text, choices, known in [
+            ("MIT", "mit", True), ("MIT OR GPL-2.0", "gpl|mit", True), ("MIT AND GPL-2.0", "gpl+mit", True),
+            ("MIT OR Apache-2.0 AND BSD-2-Clause", "apache+bsd|mit", True), ("(MIT OR Apache-2.0) AND BSD-2-Clause", "apache+bsd|bsd+mit", True),
+            ("(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0", "apache+gpl|gpl+mit", True),
+            ("CC-BY-SA-4.0", "cc-by-sa", True), ("gpl-2.0+", "gpl", True), ("MIT OR MIT AND Zlib", "mit", True),
+            ("MIT AND No-Such-1.0", "mit", False), ("No-Such-1.0 OR Apache-2.0", "apache", False), ("no-such-licence", "", False),
+            ("MIT and this is prose", "mit", True), ("MIT then prose", "mit", True), ("MIT and others", "mit", False)]:
+        assert (str(e(text)), e(text).all_known) == (choices, known), text
+    assert e("MIT OR (MIT AND GPL-2.0)").named == {"mit", "gpl"}
+    for bad in ("", "MIT OR", "OR MIT", "(MIT", "MIT)", "MIT WITH", "()", ")("):
         assert e(bad) is None, bad
+    wide = " and ".join(f"({a} or {b})" for a, b in zip(list(licenses.IDENTIFIERS)[::2], list(licenses.IDENTIFIERS)[1::2]))
+    assert e(wide).alternatives is None and len(e(wide).named) > 40
+
+
+NAMES = ["mit", "apache", "gpl", "bsd", "zlib"]
+trees = st.recursive(st.sampled_from(NAMES), lambda t: st.tuples(st.sampled_from(["or", "and"]), t, t), max_leaves=8)
+
+
+def written(t, above=0):
+    if isinstance(t, str):
+        return t
+    rank = {"or": 1, "and": 2}[t[0]]
+    text = f"{written(t[1], rank)} {t[0]} {written(t[2], rank)}"
+    return f"({text})" if rank < above else text
+
+
+def holds(t, have):
+    return t in have if isinstance(t, str) else (any if t[0] == "or" else all)(holds(x, have) for x in t[1:])
+
+
+@settings(max_examples=150, deadline=None)
+@given(trees)
+def test_alternatives_hold_where_the_expression_does(tree):
+    """Brute force: a set of licences meets the expression if and only if it holds an alternative."""
+    value = licenses.evaluate(written(tree))
+    for bits in range(1 << len(NAMES)):
+        have = {n for i, n in enumerate(NAMES) if bits >> i & 1}
+        assert any(a <= have for a in value.alternatives) == holds(tree, have)
 
 
 def test_license_rows(spark, edge, empty):
     docs = documents(spark, [(1, "Released under the MIT License. SPDX-License-Identifier: Apache-2.0", None, None), (2, None, None, None)])
     out = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
     assert out[1]["labels"] == "apache,mit" and out[1]["base_labels"] == "mit" and out[1]["first_word"] == 3 and out[1]["score"] > 0.9
-    assert tuple(out[2])[1:] == (0, 0, None, None, "", "", "", 0.0)
+    assert tuple(out[2])[1:] == (0, 0, None, None, "", "", "", 0.0, "", None)
+    texts = {3: "SPDX-License-Identifier: MIT OR GPL-2.0\n", 4: "spdx license_identifier = MIT AND GPL-2.0", 5: "SPDX-License-Identifier: MIT AND Odd-1\n",
+             6: "notSPDX-License-Identifier: MIT", 7: "SPDX-License-Identifier: see the file", 8: "SPDX-License-Identifier: MIT\n" + "word " * 300_000}
+    tagged = licenses.scan_licenses(documents(spark, [(i, t, None, None) for i, t in texts.items()])).collect()
+    got = {r["doc_id"]: (r["labels"], r["alternatives"], r["all_known"], r["score"]) for r in tagged}
+    assert got == {3: ("gpl,mit", "gpl|mit", True, 0.95), 4: ("gpl,mit", "gpl+mit", True, 0.95), 5: ("mit", "mit", False, 0.8),
+                   6: ("", "", None, 0.0), 7: ("", "", None, 0.0), 8: ("mit", "mit", True, 0.95)}
+    assert {r["doc_id"]: r["n_words"] for r in tagged}[8] == 300_004
     assert licenses.scan_licenses(edge).count() == edge.count() and licenses.scan_licenses(empty).count() == 0
 
 
