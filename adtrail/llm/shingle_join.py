@@ -57,7 +57,7 @@ SHINGLE = 3
 NUM, DEN = 90, 100
 SPARE = 2                     # parts that may agree by being empty, at least
 BAND_GROWTH = 1.5
-TILE_SHINGLES = 6_000_000     # shingles of one tile side
+TILE_SHINGLES = 2_000_000     # shingles of one tile side
 _KEYS_HELD = 1_000_000
 
 
@@ -192,6 +192,8 @@ def candidate_stars(docs: DataFrame, num: int = NUM, den: int = DEN, text: str =
                     keys, names, held = [], [], 0
         if held:
             yield flush(keys, names)
+        keys, names = [], []
+        W.release_memory()
 
     met = _rows(docs, key, text).mapInArrow(run, "key bigint, head bigint, members array<bigint>")
     w = Window.partitionBy("key")   # at most a row per flush of a task
@@ -367,6 +369,8 @@ def link_tiles(tiles: DataFrame, num: int = NUM, den: int = DEN, count: bool = F
                 copies.append(cols[6][row].as_py())
         if meet():
             yield edges()
+        names, sides, sets, copies = [], [], [], []
+        W.release_memory()
 
     ordered = tiles.repartition("tile").sortWithinPartitions("cluster", "lo", "hi", "name")
     return ordered.select("cluster", "lo", "hi", "block", "name", "hashes", "copies").mapInArrow(

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from adtrail.llm.words import WordTable
 
 _NEVER = 1 << 60
+TRANSITIONS = 1 << 18      # looked-up transitions kept per Python worker (about 40 MB)
 
 
 class TokenAutomaton:
@@ -86,6 +87,8 @@ class TokenAutomaton:
         """Is there an arc ``c`` from the state that ``p`` leads to?"""
         known = self.table.get((p, c))
         if known is None:
+            if len(self.table) >= TRANSITIONS:
+                self.table.clear()
             known = self.table[p, c] = self._arc(p, c)
         return known
 

@@ -7,6 +7,8 @@ few vector operations instead of a Python loop.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,6 +37,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Give freed buffers back to the system at the end of a task: a Python worker
+    serves later stages too, and would keep them beside what those need."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c"))
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 @dataclass
 class Texts:
     """Some rows of a batch: their bytes, ``offsets[i]:offsets[i+1]`` per row."""
