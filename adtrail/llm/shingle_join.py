@@ -19,8 +19,8 @@ link when ``den * |A & B| >= num * |A | B|``.
    ``TILE_SHINGLES`` in blocks.  First each block meets itself and names its hub,
    the root of its largest group; the hubs meet; groups whose hubs link with the
    commonest one are the cluster's core, connected already.  Then only sets
-   outside the core meet all others, block by block, so copies of one
-   original cost a reading or two, however many there are.  With ``link_counts``
+   outside the core meet the others of fitting size (size bands, cut into
+   blocks), so copies of one original cost a few readings, however many there are.  With ``link_counts``
    all blocks meet pairwise instead.  Inside a tile, sets are taken
    in order of how common their shingles are there (the original of a group of
    near copies first) and compared with those of fitting size that are not yet
@@ -59,6 +59,7 @@ SPARE = 2                     # parts that may agree by being empty, at least
 BAND_GROWTH = 1.5
 TILE_SHINGLES = 2_000_000     # shingles of one tile side
 _KEYS_HELD = 1_000_000
+_BAND_BLOCKS = 1 << 40       # numbers of blocks kept apart per size band
 
 
 def shingle_sets(t: W.Texts, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -242,7 +243,7 @@ def _tiles(member_sets: DataFrame) -> DataFrame:
 
 
 def _block(count: str) -> Column:
-    return F.pmod(F.xxhash64("name"), F.col(count)).cast("int")
+    return F.pmod(F.xxhash64("name"), F.greatest(F.lit(1), F.col(count))).cast("int")
 
 
 def _meetings(placed: DataFrame) -> DataFrame:
@@ -394,14 +395,21 @@ def link_sets(sets: DataFrame, staging: Staging, num: int = NUM, den: int = DEN,
     near = between.join(first, between["b"] == first["hub"]).select(F.col("a").alias("hub"))
     core_hubs = staging.table(first.unionByName(near).distinct(), "core_hubs")
     core = inner.select(F.col("a").alias("name"), F.col("b").alias("hub")).join(core_hubs, "hub").select("name").distinct()
-    # The others are blocks of their own, 0 to rest - 1; they meet all blocks, the core's from ``rest`` on meet only them.
+    # Linked sets lie in one size band or in neighbouring ones (a little wider than the
+    # threshold's ratio of sizes, for rounding).  In a band the others are blocks
+    # 0 to rest - 1, the core's follow; only tiles with a block of others are needed.
     flagged = cut.select("name", "cluster", "n").distinct().join(core.withColumn("core", F.lit(True)), "name", "left")
-    flagged = flagged.withColumn("core", F.coalesce("core", F.lit(False)))
+    flagged = flagged.withColumn("core", F.coalesce("core", F.lit(False))).withColumn(
+        "band", F.floor(F.log("n") / (1.001 * math.log(den / num))).cast("int"))
     blocks = {flag: F.ceil(F.sum(F.when(F.col("core") == flag, F.col("n")).otherwise(0)) / tile_shingles).cast("int") for flag in (False, True)}
-    sizes = flagged.groupBy("cluster").agg(blocks[False].alias("rest"), F.greatest(F.lit(1), blocks[True]).alias("inside")).filter("rest > 0")
-    places = flagged.join(sizes, "cluster").select(
-        "name", F.when(F.col("core"), F.col("rest") + _block("inside")).otherwise(_block("rest")).alias("block"),
-        F.sequence(F.lit(0), F.col("rest") - 1 + F.when(F.col("core"), 0).otherwise(F.col("inside"))).alias("others"))
+    sizes = flagged.groupBy("cluster", "band").agg(blocks[False].alias("rest"), blocks[True].alias("inside"))
+    bands = sizes.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("rest", "inside")))).alias("bands"))
+    count = "try_element_at(bands, b).rest + if(core, 0, try_element_at(bands, b).inside)"
+    others = F.expr(f"flatten(transform(filter(array(band - 1, band, band + 1), b -> coalesce({count}, 0) > 0), "
+                    f"b -> transform(sequence(0, {count} - 1), i -> b * {_BAND_BLOCKS}L + i)))")
+    own = F.when(F.col("core"), F.col("rest") + _block("inside")).otherwise(_block("rest"))
+    places = flagged.join(sizes, ["cluster", "band"]).join(bands, "cluster").select(
+        "name", (F.col("band") * F.lit(_BAND_BLOCKS).cast("bigint") + own).alias("block"), others.alias("others")).filter(F.size("others") > 0)
     places = staging.table(places, "places")
     outer = staging.table(link_tiles(_meetings(cut.join(places.hint("merge"), "name")), num, den), "outer_links")
     edges = [x.select("a", "b") for x in (whole, inner, between, outer)]
