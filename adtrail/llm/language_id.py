@@ -135,6 +135,7 @@ def sample(training: DataFrame, text: str, lang: str, key: str, seed: int = SEED
                     out.append(mine if len(mine) <= SAMPLED else rng.choice(mine, SAMPLED, replace=False))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), batch.column(1).slice(t.first, t.rows), pa.array(out, pa.list_(pa.int32()))], ["lang", "order", "grams"])
+        W.release_memory()
 
     return rows.select("lang", "order", "text").mapInArrow(run, "lang string, order bigint, grams array<int>")
 
@@ -201,6 +202,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), pa.array(names[best].tolist(), pa.string()), pa.array(p),
                     pa.array(~known | (p < m.threshold))], ["row", "lang_pred", "score", "rejected"])
+        W.release_memory()
 
     kind = source.schema["row"].dataType.simpleString()
     return source.mapInArrow(run, f"row {kind}, lang_pred string, score double, rejected boolean")

@@ -5,6 +5,10 @@ link when ``den * |A & B| >= num * |A | B|``.
 
 1. Copies.  Every row gets the name of its set (a 64-bit hash of the whole set);
    rows with one name are one node from here on, so copies are never paired.
+   Sets that cannot link are left out of the steps to follow: a linked set shares
+   all but ``n - ceil(n * num / den)`` of its ``n`` shingles with its partner, so of
+   those in a hash sample at least ``need`` occur in another set.  The sample's
+   size is known per set, so the test is one-sided: no set with a link is left out.
 2. Size bands and parts.  Linked sets differ in at most ``k`` shingles, where
    ``k = floor((|A| + |B|) * (den - num) / (den + num))``.  Sizes are cut into
    bands; in a band the hash range is cut into ``k + 1 + spare`` parts, so two
@@ -58,6 +62,7 @@ NUM, DEN = 90, 100
 SPARE = 2                     # parts that may agree by being empty, at least
 BAND_GROWTH = 1.5
 TILE_SHINGLES = 2_000_000     # shingles of one tile side
+SAMPLE_FACTOR = 2             # the sample's share of all shingles, as a multiple of 1 - num / den
 _KEYS_HELD = 1_000_000
 _BAND_BLOCKS = 1 << 40       # numbers of blocks kept apart per size band
 
@@ -143,63 +148,98 @@ def part_keys(x: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def set_names(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, name`` of every row."""
+def sampled(x: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """The shingles of the set that are in the hash sample."""
+    limit = min((den - num) * SAMPLE_FACTOR * (1 << 32) // den, 1 << 32)
+    return x[(W.mix(x) >> np.uint64(32)) < np.uint64(limit)]
+
+
+def least_shared(x: np.ndarray, num: int = NUM, den: int = DEN) -> int:
+    """How many sampled shingles of ``x`` occur in another set, if ``x`` links with one."""
+    return len(sampled(x, num, den)) - (len(x) - -(-len(x) * num // den))
+
+
+def set_names(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE,
+              num: int = NUM, den: int = DEN) -> DataFrame:
+    """``doc_id, n_shingles, name, need`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in W.texts(batch.column(1)):
                 sets = list(shingle_sets(t, size))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.first, t.rows), pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([set_name(x) for x in sets], pa.int64())], ["doc_id", "n_shingles", "name"])
+                    pa.array([set_name(x) for x in sets], pa.int64()),
+                    pa.array([least_shared(x, num, den) for x in sets], pa.int64())], ["doc_id", "n_shingles", "name", "need"])
+        W.release_memory()
 
-    return _rows(docs, key, text).mapInArrow(run, "doc_id bigint, n_shingles bigint, name bigint")
+    return _rows(docs, key, text).mapInArrow(run, "doc_id bigint, n_shingles bigint, name bigint, need bigint")
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("text"))
 
 
-def candidate_stars(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text", key: str = "doc_id",
-                    size: int = SHINGLE) -> DataFrame:
-    """Edges ``a, b`` between names that agree on a part, one star per part key."""
-    def flush(keys: list[np.ndarray], names: list[int]):
-        k = np.concatenate(keys)
-        c = np.repeat(np.array(names, dtype=np.int64), [len(x) for x in keys])
-        order = np.lexsort((c, k))
-        k, c = k[order], c[order]
-        new_key = np.ones(len(k), bool)
-        new_key[1:] = k[1:] != k[:-1]
-        fresh = new_key.copy()
-        fresh[1:] |= c[1:] != c[:-1]
-        k, c, new_key = k[fresh], c[fresh], new_key[fresh]
-        heads = np.flatnonzero(new_key)
-        offsets = np.concatenate([heads, [len(k)]]) - np.arange(len(heads) + 1)
-        members = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(c[~new_key], pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(k[heads]), pa.array(c[heads]), members], ["key", "head", "members"])
+def _flush(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+    """A row per key: one of its names, and the others."""
+    k = np.concatenate(keys)
+    c = np.repeat(np.array(names, dtype=np.int64), [len(x) for x in keys])
+    order = np.lexsort((c, k))
+    k, c = k[order], c[order]
+    new_key = np.ones(len(k), bool)
+    new_key[1:] = k[1:] != k[:-1]
+    fresh = new_key.copy()
+    fresh[1:] |= c[1:] != c[:-1]
+    k, c, new_key = k[fresh], c[fresh], new_key[fresh]
+    heads = np.flatnonzero(new_key)
+    offsets = np.concatenate([heads, [len(k)]]) - np.arange(len(heads) + 1)
+    members = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(c[~new_key], pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(k[heads]), pa.array(c[heads]), members], ["key", "head", "members"])
+
+
+def _merged(pairs: Iterator[tuple[np.ndarray, int]]) -> Iterator[pa.RecordBatch]:
+    """(keys, name) of a task's sets as rows, equal keys merged."""
+    keys, names, held = [], [], 0
+    for k, name in pairs:
+        if len(k):
+            keys.append(k)
+            names.append(name)
+            held += len(k)
+        if held >= _KEYS_HELD:
+            yield _flush(keys, names)
+            keys, names, held = [], [], 0
+    if held:
+        yield _flush(keys, names)
+    keys, names = [], []
+    W.release_memory()
+
+
+def _shared(met: DataFrame) -> DataFrame:
+    """``key, head, members, b`` of the keys with two names or more; ``b`` is the least head."""
+    w = Window.partitionBy("key")   # at most a row per flush of a task
+    met = met.select("key", "head", "members", F.min("head").over(w).alias("b"), F.max("head").over(w).alias("last"))
+    return met.filter((F.col("b") != F.col("last")) | (F.size("members") > 0))
+
 
+def shared_counts(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text", key: str = "doc_id",
+                  size: int = SHINGLE) -> DataFrame:
+    """``name, shared``: how many sampled shingles of a set occur in another set (no row: none)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, names, held = [], [], 0
-        for batch in batches:
-            for t in W.texts(batch.column(1)):
-                for x in shingle_sets(t, size):
-                    k = part_keys(x, num, den)
-                    if len(k):
-                        keys.append(k)
-                        names.append(set_name(x))
-                        held += len(k)
-                if held >= _KEYS_HELD:
-                    yield flush(keys, names)
-                    keys, names, held = [], [], 0
-        if held:
-            yield flush(keys, names)
-        keys, names = [], []
-        W.release_memory()
+        yield from _merged((sampled(x, num, den).view(np.int64), set_name(x)) for batch in batches
+                           for t in W.texts(batch.column(1)) for x in shingle_sets(t, size))
 
-    met = _rows(docs, key, text).mapInArrow(run, "key bigint, head bigint, members array<bigint>")
-    w = Window.partitionBy("key")   # at most a row per flush of a task
-    met = met.select("head", "members", F.min("head").over(w).alias("b"), F.max("head").over(w).alias("last"))
-    stars = met.filter((F.col("b") != F.col("last")) | (F.size("members") > 0))
+    found = _shared(_rows(docs, key, text).mapInArrow(run, "key bigint, head bigint, members array<bigint>"))
+    # Rows of a key are in one task already; a set that came by copies in many tasks counts once.
+    pairs = found.select("key", F.explode(F.concat("members", F.array("head"))).alias("name")).distinct()
+    return pairs.groupBy("name").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def candidate_stars(sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Edges ``a, b`` between names of ``sets`` (name, hashes) that agree on a part, one star per part key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _merged((part_keys(np.frombuffer(raw.as_buffer(), dtype=np.uint64), num, den), name)
+                           for batch in batches for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)))
+
+    stars = _shared(sets.select("name", "hashes").mapInArrow(run, "key bigint, head bigint, members array<bigint>"))
     return stars.select(F.explode(F.concat("members", F.array("head"))).alias("a"), "b").filter("a != b").distinct()
 
 
@@ -417,16 +457,15 @@ def link_sets(sets: DataFrame, staging: Staging, num: int = NUM, den: int = DEN,
 
 
 def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """The sets of one row per name in ``members`` (doc_id, name, cluster, copies, blocks); of a row
-    that is repeated so often that a task's share of it was split, one per task."""
+    """``name, n, hashes, copies``: the set of one row per name in ``members`` (doc_id, name, copies);
+    of a row that is repeated so often that a task's share of it was split, one per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, done = None, set()                     # names already given of the id at hand
         for batch in batches:
-            for t in W.texts(batch.column(2)):
+            for t in W.texts(batch.column(1)):
                 sets = list(shingle_sets(t, size))
-                copies = batch.column(3).slice(t.first, t.rows)
                 names = batch.column(0).slice(t.first, t.rows).to_pylist()
-                ids = batch.column(4).slice(t.first, t.rows).to_pylist()
+                ids = batch.column(3).slice(t.first, t.rows).to_pylist()
                 ok = []
                 for x, name, i in zip(sets, names, ids):
                     if i != last:
@@ -437,30 +476,36 @@ def member_sets(docs: DataFrame, members: DataFrame, text: str = "text", key: st
                         done.add(name)
                 ok = pa.array(ok, pa.bool_())
                 out = pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(t.first, t.rows), batch.column(1).slice(t.first, t.rows),
-                    pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary()), copies,
-                    batch.column(5).slice(t.first, t.rows)], ["name", "cluster", "n", "hashes", "copies", "blocks"])
+                    batch.column(0).slice(t.first, t.rows), pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([x.tobytes() for x in sets], pa.binary()), batch.column(2).slice(t.first, t.rows)], ["name", "n", "hashes", "copies"])
                 yield out.filter(ok)
+        W.release_memory()
 
     # Members grow with the documents: always a shuffle join, at any size.
     rows, members = _rows(docs, key, text).withColumnRenamed("doc_id", "__id"), members.hint("merge")
-    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "cluster", "text", "copies", "__id", "blocks")
+    found = rows.join(members, rows["__id"].eqNullSafe(members["doc_id"])).select("name", "text", "copies", "__id")
     # The join leaves rows of one id side by side, so repeats are seen without a shuffle of the sets.
-    return found.mapInArrow(run, "name bigint, cluster bigint, n bigint, hashes binary, copies bigint, blocks int")
+    return found.mapInArrow(run, "name bigint, n bigint, hashes binary, copies bigint")
 
 
 def link_components(docs: DataFrame, staging: Staging, num: int = NUM, den: int = DEN, text: str = "text",
                     key: str = "doc_id", tile_shingles: int = TILE_SHINGLES, size: int = SHINGLE, link_counts: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row, by shingles of ``size`` words; with
     ``link_counts`` also ``n_links``, the number of other rows that it links with."""
-    named = staging.table(set_names(docs, text, key, size), "set_names")
-    clusters = components(candidate_stars(docs, num, den, text, key, size), staging)
-    firsts = named.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.min("n_shingles").alias("n"))
+    named = staging.table(set_names(docs, text, key, size, num, den), "set_names")
+    firsts = named.filter("n_shingles > 0").groupBy("name").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.min("n_shingles").alias("n"), F.min("need").alias("need"))
+    shared = staging.table(shared_counts(docs, num, den, text, key, size), "shared_counts")
+    able = firsts.join(shared.hint("merge"), "name", "left").filter(F.coalesce("shared", F.lit(0)) >= F.col("need"))
+    found = staging.table(member_sets(docs, able.select("doc_id", "name", "copies"), text, key, size), "found_sets")
+    staging.drop(staging.paths[-2])
+    found_path = staging.paths[-1]
+    clusters = components(candidate_stars(found, num, den), staging).select(F.col("node").alias("name"), F.col("root").alias("cluster"))
     cluster_path = staging.paths[-1]
-    members = staging.table(firsts.join(clusters, firsts["name"] == clusters["node"]).select("doc_id", "name", "copies", "n", F.col("root").alias("cluster")), "members")
-    staging.drop(cluster_path)
-    sets = staging.table(member_sets(docs, with_blocks(members, tile_shingles), text, key, size), "member_sets")
-    used = staging.paths[-2:]
+    members = with_blocks(found.select("name", "n").distinct().join(clusters, "name"), tile_shingles)
+    sets = staging.table(found.join(members.hint("merge"), "name").select("name", "cluster", "n", "hashes", "copies", "blocks"), "member_sets")
+    staging.drop(found_path, cluster_path)
+    used = staging.paths[-1:]
     if link_counts:
         links = staging.table(link_tiles(_tiles(sets), num, den, True), "links")
     else:

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from adtrail.llm.words import WordTable
+from adtrail.llm.words import WordTable, release_memory
 
 _NEVER = 1 << 60
 TRANSITIONS = 1 << 18      # looked-up transitions kept per Python worker (about 40 MB)
@@ -246,5 +246,6 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", key: str = "do
                 if with_ids:
                     cols += [pa.array(ids, pa.list_(pa.int64())), pa.array(out, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, [key, "n_tokens", "ids_sha256", "decoded_sha256", "token_ids", "decoded"][:len(cols)])
+        release_memory()
 
     return one.mapInArrow(run, schema)

@@ -199,3 +199,32 @@ def test_links_are_counted_against_brute_force(spark, staging):
         assert result(found) == brute(rows)
         assert sorted((r["doc_id"], r["n_links"]) for r in found.collect()) == want
     assert max(n for _, n in want) == 6
+
+
+def test_sets_with_a_link_share_what_they_need():
+    rng = np.random.default_rng(9)
+    for num in (80, 90):
+        for n in [*range(1, 40), 130, 900]:
+            for _ in range(6):
+                a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+                drop = int(rng.integers(0, S.max_difference(2 * n, num, 100) + 1))
+                b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2 ** 63, drop // 2).astype(np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= num * (len(a) + len(b) - both):
+                    for x in (a, b):
+                        shared = len(np.intersect1d(S.sampled(x, num, 100), np.intersect1d(a, b)))
+                        assert shared >= S.least_shared(x, num, 100), (num, n, drop)
+
+
+def test_passages_alone_do_not_make_candidates(spark, staging):
+    """Texts that share passages only are left out before the parts; copies are not."""
+    rng = random.Random(10)
+    passages = [" ".join(f"p{i}x{j}" for j in range(60)) for i in range(5)]
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(250)) + " " + rng.choice(passages)) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(5)] + [(200 + i, rows[0][1]) for i in range(30)]
+    docs = documents(spark, [(i, t, None, None) for i, t in rows]).repartition(4)
+    shared = {r["name"]: r["shared"] for r in S.shared_counts(docs).collect()}
+    need = {r["doc_id"]: (r["name"], r["need"]) for r in S.set_names(docs).collect()}
+    able = {i for i, (name, least) in need.items() if shared.get(name, 0) >= least}
+    assert able == {*range(5), *range(100, 105), *range(200, 230)}
+    assert result(S.link_components(docs, staging)) == brute(rows)
