@@ -32,7 +32,7 @@ def escapes(delimiter: str) -> tuple[tuple[str, str], ...]:
 
 def split_fields(df: DataFrame, schema: T.StructType, delimiter: str, null_token: str | None = None,
                  value_col: str = "value", escaped: bool = False) -> DataFrame:
-    parts = F.split(F.col(value_col), _regex_quote(delimiter), -1)
+    parts = F.split(F.col(value_col), regex_quote(delimiter), -1)
     cols = []
     for i, f in enumerate(schema.fields):
         v = F.get(parts, i)
@@ -45,7 +45,7 @@ def split_fields(df: DataFrame, schema: T.StructType, delimiter: str, null_token
     return df.select(*cols, *keep)
 
 
-def _regex_quote(s: str) -> str:
+def regex_quote(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
