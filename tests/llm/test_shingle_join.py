@@ -10,13 +10,13 @@ from adtrail.llm import words as W
 from llm.conftest import documents
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
-    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
-def brute(rows):
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, size=3, num=90):
+    sets = [shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(i):
@@ -27,7 +27,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 90 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * both >= num * len(sets[i] | sets[j]):
                 parent[find(i)] = find(j)
     out = []
     for i, (doc, _) in enumerate(rows):
@@ -228,3 +228,12 @@ def test_passages_alone_do_not_make_candidates(spark, staging):
     able = {i for i, (name, least) in need.items() if shared.get(name, 0) >= least}
     assert able == {*range(5), *range(100, 105), *range(200, 230)}
     assert result(S.link_components(docs, staging)) == brute(rows)
+
+
+def test_components_of_the_pipeline_against_brute_force(spark, staging):
+    rows = near_copies(11, groups=14)
+    docs = documents(spark, [(i, t, None, None) for i, t in rows]).repartition(3)
+    want = brute(rows, 5, 80)
+    assert result(S.link_components(docs, staging, 80, 100, size=5)) == want
+    assert result(S.link_components(docs, staging, 80, 100, size=5, tile_shingles=400)) == want
+    assert len({c for _, _, c in want}) < len(want) - 30
