@@ -47,13 +47,14 @@ def key_rules(log: DataFrame, key: str, p: RuleParams = RuleParams(), distinct:
     scope = scope or session_scope(log.sparkSession)
     least = min(p.frequency_threshold, p.cycle_ip_threshold if key == "client_ip" else p.cycle_device_threshold) + 1
     counts = scope.table(traffic.timestamp_counts(log, key, min_events=least), "timestamp_counts")
-    return {rule: rule_set(log, rule, p, distinct, counts) for rule in KEYS[key]}
+    tasks = traffic.count_tasks(counts)
+    return {rule: rule_set(log, rule, p, distinct, counts, tasks) for rule in KEYS[key]}
 
 
 def rule_set(log: DataFrame, rule: str, p: RuleParams = RuleParams(), distinct: bool = True,
-             counts: DataFrame | None = None) -> DataFrame:
-    """One of the four key sets; ``counts``: its key column's staged counts, if at hand."""
-    w, th, kw = p.frequency_window_ms, p.frequency_threshold, {"distinct": distinct, "counts": counts}
+             counts: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """One of the four key sets; ``counts``: its key column's staged counts, if at hand, and ``tasks`` for their sorts."""
+    w, th, kw = p.frequency_window_ms, p.frequency_threshold, {"distinct": distinct, "counts": counts, "tasks": tasks}
     if rule == "high_frequency_ip":
         return traffic.high_frequency_ip(log, w, th, **kw)
     if rule == "high_frequency_device":

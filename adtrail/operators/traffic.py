@@ -46,7 +46,7 @@ Semantics kept exactly (see README):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from adtrail.fixed import (CYCLE_DEVICE_THRESHOLD, CYCLE_IP_THRESHOLD, FREQUENCY_THRESHOLD,
@@ -58,6 +58,8 @@ from adtrail.staging import Staging, session_scope
 SLOTS = 1 << 24
 # Width of a segment of the fixed-period scan: bounds a segment's distinct times.
 SEGMENT_MS = 600_000
+# Rows of the counts per task of a rule's sorts, where the counts are staged (so that their number is known).
+TASK_ROWS = 500_000
 
 # Group identity of a (key, ad) pair with NULLs made explicit, so that joins,
 # windows and ranges share plain equality keys.
@@ -113,13 +115,25 @@ def timestamp_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "even
             .groupBy("key", "ad", "t").agg(F.count(F.lit(1)).alias("m")))
 
 
+def count_tasks(counts: DataFrame, rows: int | None = None) -> int:
+    """Tasks for the sorts of staged counts, in proportion to their rows: what a task
+    sorts does not grow with the log (small shuffled bytes can be very many rows)."""
+    return max(1, -(-counts.count() // (rows or TASK_ROWS)))
+
+
+def _dealt(df: DataFrame, by: list[str], tasks: int | None) -> DataFrame:
+    return df.repartition(*by) if tasks is None else df.repartition(tasks, *by)
+
+
 # ------------------------------------------------------------------ frequency
 def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                      window_ms: int = FREQUENCY_WINDOW_MS, exclude_empty: bool = False,
-                     min_events: int | None = None, counts: DataFrame | None = None) -> DataFrame:
+                     min_events: int | None = None, counts: DataFrame | None = None,
+                     tasks: int | None = None) -> DataFrame:
     """``(key, ad, t, m, cnt)``: for each distinct timestamp, the events of the
     same (key, ad) in ``[t - window_ms, t]`` (NULL ``t``: those without a time).
-    ``counts``: the log's :func:`timestamp_counts`, if they are at hand."""
+    ``counts``: the log's :func:`timestamp_counts`, if they are at hand; ``tasks``:
+    their :func:`count_tasks`."""
     if counts is None:
         counts = timestamp_counts(log, key, ad, t, exclude_empty, min_events)
     elif exclude_empty:
@@ -133,6 +147,8 @@ def frequency_counts(log: DataFrame, key: str, ad: str = "ad_id", t: str = "even
     copies = F.explode(F.when(F.col("t").isNull(), F.array(own)).otherwise(F.array(own, following)))
     both = (c.select(*_ID, "t", "m", copies.alias("_c"))
             .select(*_ID, "t", "m", "_c.bucket", "_c.cur"))
+    if tasks is not None:
+        both = _dealt(both, [*_ID, "bucket"], 2 * tasks)        # each timestamp twice
     w = Window.partitionBy(*_ID, "bucket").orderBy("t").rangeBetween(-window_ms, 0)
     return _from_id(both.withColumn("cnt", F.sum("m").over(w)).where(F.col("cur"))
                     .select(*_ID, "t", "m", "cnt"))
@@ -148,10 +164,10 @@ def _keys(df: DataFrame, key: str, distinct: bool) -> DataFrame:
 def high_frequency_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                         window_ms: int = FREQUENCY_WINDOW_MS, threshold: int = FREQUENCY_THRESHOLD,
                         exclude_empty: bool = False, distinct: bool = True, prune: bool = True,
-                        counts: DataFrame | None = None) -> DataFrame:
+                        counts: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Distinct keys that, for some ad, have more than ``threshold`` events in
     a trailing ``window_ms`` window (light groups dropped first, exactly)."""
-    fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty, threshold + 1 if prune else None, counts)
+    fc = frequency_counts(log, key, ad, t, window_ms, exclude_empty, threshold + 1 if prune else None, counts, tasks)
     return _keys(fc.where(F.col("cnt") > threshold), key, distinct)
 
 
@@ -160,7 +176,7 @@ _SEGMENT = [*_ID, "segment"]
 
 
 def _segments(log: DataFrame, key: str, ad: str, t: str, dedup: bool, min_events: int | None,
-              null_time: int | None, segment_ms: int, counts: DataFrame | None) -> DataFrame:
+              null_time: int | None, segment_ms: int, counts: DataFrame | None, tasks: int | None = None) -> DataFrame:
     """``(id, segment, t, m)``: the combined rows, dealt by segment."""
     c = _with_id(timestamp_counts(log, key, ad, t, min_events=min_events) if counts is None else counts)
     if null_time is None:
@@ -170,7 +186,7 @@ def _segments(log: DataFrame, key: str, ad: str, t: str, dedup: bool, min_events
              .groupBy(*_ID, "t").agg(F.sum("m").alias("m")))
     if dedup:
         c = c.withColumn("m", F.least(F.col("m"), F.lit(1).cast("bigint")))
-    return c.withColumn("segment", F.expr(f"t div {segment_ms}")).repartition(*_SEGMENT)
+    return _dealt(c.withColumn("segment", F.expr(f"t div {segment_ms}")), _SEGMENT, tasks)
 
 
 def _flag(x: Column) -> Column:
@@ -234,57 +250,71 @@ def cycle_islands(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_t
     return _from_id(islands)
 
 
+def _so_far(n: Column, tagged: Column, upto: Column, w: WindowSpec) -> Column:
+    """The events of the island at hand, up to the end of this row: those of all rows
+    (``upto``) without those before the last row that was ``tagged``."""
+    return upto - F.coalesce(F.max(F.when(tagged, upto - n)).over(w), F.lit(0))
+
+
 def _segment_summaries(rows: DataFrame) -> DataFrame:
     """One row per segment of ``(id, segment, t, m)``.
 
     ``k`` times, the first ``t1`` (``m1`` events) and the last ``tk`` (``mk``);
     ``t2`` and ``tj`` are their neighbours inside.  The rows between have their
     tags: ``tags`` in all, ``head`` events before the first tag, ``tail`` from
-    the last tag on (0 without tags), ``most`` in the largest piece after a tag."""
+    the last tag on (0 without tags), ``most`` in the largest piece after a tag,
+    ``inner`` in all.  All are running values of one sorted pass, as they stand
+    at the segment's last row: no aggregate holds the segments beside the sort."""
     w = Window.partitionBy(*_SEGMENT).orderBy("t")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
     x = rows.select(*_SEGMENT, "t", "m", F.lag("t").over(w).alias("prev"), F.lead("t").over(w).alias("next"))
     inner = F.col("prev").isNotNull() & F.col("next").isNotNull()
     tag = F.when(inner, _tags(F.col("m"), F.col("t") - F.col("prev"), F.col("next") - F.col("t"))).otherwise(F.lit(0))
-    x = x.withColumn("piece", F.sum(tag).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    first, last = F.col("prev").isNull(), F.col("next").isNull()
-    own = lambda where, c: F.max(F.when(where, F.col(c)))
-    pieces = x.groupBy(*_SEGMENT, "piece").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(F.when(inner, F.col("m")).otherwise(F.lit(0))).alias("n"), F.min("t").alias("t1"), F.max("t").alias("tk"),
-        own(first, "m").alias("m1"), own(first, "next").alias("t2"), own(last, "m").alias("mk"), own(last, "prev").alias("tj"))
-    s = pieces.groupBy(*_SEGMENT).agg(
-        F.sum("k").alias("k"), F.min("t1").alias("t1"), *[F.max(c).alias(c) for c in ("m1", "t2", "tk", "mk", "tj")], F.max("piece").alias("tags"),
-        own(F.col("piece") == 0, "n").alias("head"), F.max_by("n", "piece").alias("tail"), own(F.col("piece") > 0, "n").alias("most"))
-    return s.withColumn("tail", F.when(F.col("tags") > 0, F.col("tail")).otherwise(F.lit(0))).na.fill(0, ["head", "most"])
+    x = x.withColumn("tag", tag).withColumn("n", F.when(inner, F.col("m")).otherwise(F.lit(0)))
+    # Expressions of one step share a window pass.
+    x = x.select(*_SEGMENT, "t", "m", "prev", "next", "n", (F.col("tag") > 0).alias("tagged"),
+                 F.sum("tag").over(run).alias("tags"), F.sum("n").over(run).alias("inner"), F.count(F.lit(1)).over(run).alias("k"),
+                 F.first("t").over(run).alias("t1"), F.first("m").over(run).alias("m1"), F.first("next").over(run).alias("t2"))
+    x = x.withColumn("tail", F.when(F.col("tags") > 0, _so_far(F.col("n"), F.col("tagged"), F.col("inner"), run)).otherwise(F.lit(0)))
+    x = x.select("*", F.max("tail").over(run).alias("most"), F.max(F.when(F.col("tags") == 0, F.col("inner"))).over(run).alias("head"))
+    more = F.col("k") > 1
+    return x.where(F.col("next").isNull()).select(
+        *_SEGMENT, "k", "t1", "m1", F.when(more, F.col("t2")).alias("t2"), F.col("t").alias("tk"), F.col("m").alias("mk"),
+        F.col("prev").alias("tj"), "tags", F.coalesce("head", F.lit(0)).alias("head"), "tail", "most", "inner")
 
 
 def _fold(summaries: DataFrame, lead_default: int | None) -> DataFrame:
-    """``(id, n)``: the events of islands, from the segments of each (key, ad) in order;
-    every island that reaches a segment's edge, and the largest inside (a piece that goes on
-    beyond its segment counts there with what it has inside, which is no more than its island)."""
+    """``(id, n)``: per segment of each (key, ad), in order, the largest size that an island
+    has reached by the segment's end, of those that touch it.  (A piece that goes on beyond its
+    segment counts with what it has so far, which is no more than its island; the row
+    of the segment where an island ends has all of it.)  One sort per (key, ad)."""
     w = Window.partitionBy(*_ID).orderBy("segment")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
     s = summaries.withColumn("before", F.coalesce(F.lag("tk").over(w), F.lit(0).cast("bigint"))).withColumn("after", F.lead("t1").over(w))
     more = F.col("k") > 1
     to_next = _or_last(F.col("after") - F.col("tk"), lead_default)
     one = _tags(F.col("m1"), F.col("t1") - F.col("before"), F.when(more, F.col("t2") - F.col("t1")).otherwise(to_next))
     end = F.when(more, _tags(F.col("mk"), F.col("tk") - F.col("tj"), to_next)).otherwise(F.lit(0))
-    part = lambda no, tags, n: F.struct(F.lit(no).alias("no"), tags.cast("bigint").alias("tags"), n.cast("bigint").alias("n"))
-    parts = F.array(part(0, one, F.col("m1")), part(1, F.lit(0), F.col("head")), part(2, F.col("tags"), F.col("tail")),
-                    part(3, end, F.when(more, F.col("mk")).otherwise(F.lit(0))))
-    # The edge tags first (windows by segment), then the islands (windows by part).
-    s = s.select(*_ID, "segment", "most", F.explode(parts).alias("p"))
-    w = Window.partitionBy(*_ID).orderBy("segment", "p.no").rowsBetween(Window.unboundedPreceding, 0)
-    islands = s.withColumn("island", F.sum("p.tags").over(w)).groupBy(*_ID, "island").agg(F.sum("p.n").alias("n"), F.max("most").alias("most"))
-    return islands.select(*_ID, F.greatest("n", "most").alias("n"))
+    mk = F.when(more, F.col("mk")).otherwise(F.lit(0))
+    s = s.select(*_ID, "segment", "m1", "head", "tags", "tail", "most", one.alias("one"), end.alias("end"), mk.alias("mk"),
+                 (F.col("m1") + F.col("inner") + mk).alias("n"))
+    # The events from the segment's last tag on (NULL without a tag): what stays open behind it.
+    rest = F.when(F.col("end") > 0, F.col("mk")).when(F.col("tags") > 0, F.col("tail") + F.col("mk")).when(F.col("one") > 0, F.col("n"))
+    s = s.withColumn("rest", rest).withColumn("upto", F.sum("n").over(run))
+    s = s.withColumn("open", _so_far(F.col("rest"), F.col("rest").isNotNull(), F.col("upto"), run))
+    entered = F.when(F.col("one") > 0, F.lit(0)).otherwise(F.coalesce(F.lag("open").over(w), F.lit(0)))
+    return s.select(*_ID, F.greatest(entered + F.col("m1") + F.col("head"), "most", "open").alias("n"))
 
 
 def cycle_keys(log: DataFrame, key: str, ad: str = "ad_id", t: str = "event_time",
                threshold: int = CYCLE_IP_THRESHOLD, dedup: bool = True, lead_default: int | None = 0,
                distinct: bool = True, prune: bool = True, null_time: int | None = None,
-               segment_ms: int = SEGMENT_MS, counts: DataFrame | None = None) -> DataFrame:
+               segment_ms: int = SEGMENT_MS, counts: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Distinct keys with an island of equal gaps larger than ``threshold``
     (light groups dropped first, exactly)."""
-    rows = _segments(log, key, ad, t, dedup, threshold + 1 if prune else None, null_time, segment_ms, counts)
-    found = _fold(_segment_summaries(rows), lead_default)
+    rows = _segments(log, key, ad, t, dedup, threshold + 1 if prune else None, null_time, segment_ms, counts, tasks)
+    segments = _segment_summaries(rows)
+    found = _fold(segments if tasks is None else _dealt(segments, _ID, tasks), lead_default)
     return _keys(_from_id(found.where(F.col("n") > threshold)), key, distinct)
 
 

@@ -287,3 +287,26 @@ def test_missing_times_in_the_period_rule_by_choice(spark):
     at_zero = traffic.cycle_islands(log, "client_ip", dedup=False, null_time=0)
     got = sorted(((r["key"], r["ad"], r["sum_tag"], r["n"]) for r in at_zero.collect()), key=repr)
     assert got == _islands_python([(k, a, t or 0) for k, a, t in rows], False, 0)
+
+
+def test_period_rule_sorts_once_and_keeps_no_aggregate(spark):
+    """From the counts to an island's size: one sort per exchange, no rows multiplied, no hash table beside the sort."""
+    counts = traffic.timestamp_counts(_log(spark, _random_rows(61)), "client_ip").localCheckpoint()
+    found = traffic._fold(traffic._segment_summaries(traffic._segments(counts, "", "", "", True, None, None, 9000, counts)), 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Sort [") == 2, plan
+    assert "Aggregate" not in plan and "Generate" not in plan, plan
+
+
+def test_tasks_of_the_rules_follow_the_counts(spark, monkeypatch):
+    from adtrail.operators.flags import RuleParams, key_rules
+
+    rows = [(k, k, a, t) for k, a, t in _random_rows(71, n_keys=8, n=400)]
+    log = spark.createDataFrame(rows, "client_ip string, client_device_id string, ad_id string, event_time bigint")
+    p = RuleParams(8000, 4, 4, 6)
+    want = {rule: sorted(map(tuple, df.collect()), key=repr) for rule, df in key_rules(log, "client_ip", p).items()}
+    monkeypatch.setattr(traffic, "TASK_ROWS", 20)
+    for rule, df in key_rules(log, "client_ip", p).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan, rule
+        assert sorted(map(tuple, df.collect()), key=repr) == want[rule], rule
