@@ -46,6 +46,13 @@ def agent_info(log: DataFrame, ua_rules, crawler, crawler_mode: str = "fanout",
     return info.join(pairs, "_agent", "left")
 
 
+def used(dim: DataFrame, key: str, log: DataFrame, column: str) -> DataFrame:
+    """The dimension's rows that the log can meet: what is broadcast to every task is
+    bounded by the values in the log, not only by the dimension's size."""
+    found = log.select(F.col(column).alias("_used")).where(F.col("_used").isNotNull()).distinct()
+    return dim.join(found, F.col(key) == F.col("_used"), "left_semi")
+
+
 def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges: DataFrame,
            ua_rules, crawler, params: RuleParams = RuleParams(), crawler_mode: str = "fanout",
            max_rows: int | None = None, stage_log: bool = True, scope: Staging | None = None) -> DataFrame:
@@ -54,7 +61,8 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
     With ``stage_log`` the coarse log is written once as a columnar table in
     the shared folder (like the warehouse's temporary table): the four rules
     and the enrichment read pruned columns of it instead of parsing URLs five
-    times, and lineage is cut there.
+    times, and lineage is cut there.  The two dimensions are then cut to the
+    rows whose keys are in the log (two more reads of one column each).
 
     The sides joined onto the log are prepared (computed, staged, measured)
     first.  They do not depend on each other, so their jobs are submitted
@@ -68,6 +76,8 @@ def enrich(log: DataFrame, ads_dim: DataFrame, platform_dim: DataFrame, ranges:
                          "product_price", "material_id", "material_url", "group_id")
     plat = platform_dim.select(F.col("id").alias("platform_id"), F.col("platform_name_en").alias("_pne"),
                                "platform_name_zh")
+    if stage_log:
+        ads, plat = used(ads, "_ad_id", log, "ad_id"), used(plat, "_pne", log, "platform_name_en")
     tasks = {
         "region": lambda: prepare_ranges(ranges, max_rows=max_rows),
         "info": lambda: bounded(agent_info(log, ua_rules, crawler, crawler_mode), max_rows, stage=scope),

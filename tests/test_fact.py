@@ -97,3 +97,18 @@ def test_crawler_flag_mode_has_no_fanout(spark):
     n_events = R.coarse_log(spark, SMOKE).count()
     assert flagged.count() == n_events < fanout.count()
     assert flagged.where(F.col("is_crawler")).count() > 0
+
+
+def test_only_dimension_rows_of_the_log_are_joined_on(spark):
+    """Dimensions far over the broadcast bound, of which the log uses two rows and one."""
+    log, ads, plats, ranges = _inputs(spark)
+    more = [F.concat(F.lit("x"), F.col("id").cast("string")).alias("k")]
+    many = spark.range(500).select(*more)
+    ads = ads.unionByName(many.select(F.col("k").alias("ad_id")), allowMissingColumns=True)
+    plats = plats.unionByName(many.select(F.col("k").alias("id"), F.col("k").alias("platform_name_en")), allowMissingColumns=True)
+    build = lambda ads, plats: build_event_fact(log, ads, plats, ranges, default_rules(spark), default_patterns(spark), max_rows=20)
+    got = build(ads, plats)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 5, plan
+    small = _inputs(spark)
+    assert _sorted(got) == _sorted(build(small[1], small[2]))
