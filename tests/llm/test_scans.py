@@ -214,7 +214,7 @@ def test_no_vectors(spark, staging):
 @pytest.mark.parametrize("name", sorted(sql.ORACLE))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMOKE}/{t}.parquet'")
     rel = con.sql(sql.ORACLE[name])
     df = queries.QUERIES[name](spark, SMOKE)
