@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,6 +117,40 @@ def test_repeating_ids_become_cheap():
     assert len(id_codec.pack(np.tile(np.arange(50, dtype="<u4"), 400))) < 3000
 
 
+def test_files_are_smaller_than_order0_and_zlib(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(400).collect()
+    texts = pa.array([r["text"] for r in rows], pa.string())
+    ids, sizes = id_codec.encoder(PATH).encode(texts, np.array([END_ID], "<u4"))
+    assert sizes.sum() == len(ids) and len(sizes) == len(rows)
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    data = id_codec.pack(ids)
+    assert (id_codec.unpack(data) == ids).all()
+    assert 8 * len(data) < len(ids) * -(share * np.log2(share)).sum()
+    assert len(data) < len(zlib.compress(ids.astype("<u2").tobytes()))
+
+
+@pytest.mark.parametrize("bound", [3, id_codec.TABLE_WORDS])
+def test_chunks_of_texts_encode_as_the_library_does(library, monkeypatch, bound):
+    monkeypatch.setattr(id_codec, "TABLE_WORDS", bound)
+    enc = id_codec.LibraryEncoder(PATH)
+    rng = random.Random(2)
+    words = ["the", "The", "it's", "<|endoftext|>", "\x01", "a\x01b", "É", "e\u0301", "x9", "中文", "\x1c", "\x85", *"abcdefg"]
+    for _ in range(4):
+        texts = [None, "", " ", *(rng.choice([" ", "\n", "\t "]).join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(20))]
+        ids, sizes = enc.encode(pa.array(texts, pa.string()).slice(1), np.array([END_ID], "<u4"))
+        want = [[*ids_of(library, t), END_ID] for t in texts[1:]]
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert len(enc.words) <= max(bound, 2 * len(words))
+
+
+def test_new_words_go_to_the_library_together(monkeypatch):
+    enc, calls = id_codec.LibraryEncoder(PATH), []
+    plain = enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda text: calls.append(text) or plain(text))
+    enc.encode(pa.array([f"w{i} word{i}" for i in range(1000)] * 2), np.zeros(0, "<u4"))
+    assert len(calls) == 2000 // id_codec.JOINED
+
+
 def test_files_give_ids_back(spark, edge, empty, staging, library):
     out = id_codec.write_and_read(edge, PATH, END_ID, staging, with_ids=True).collect()
     rows = sorted(edge.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or ""))
