@@ -395,17 +395,20 @@ class LibraryEncoder:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.string()))
         words = split.flatten().dictionary_encode()
         found = pc.index_in(words.dictionary, value_set=self.words)
+        new = found.is_null()
+        rest, at = new.to_numpy(zero_copy_only=False), found.fill_null(0).to_numpy().copy()
         if found.null_count:
             if len(self.words) + found.null_count > TABLE_WORDS:
-                known = found.drop_null().to_numpy()    # this chunk's words stay
+                known = at[~rest]                       # this chunk's words stay
+                at[~rest] = np.arange(len(known))
                 sizes = np.diff(self.ends)[known]
                 self.ids = self.ids[_ranges(self.ends[known], sizes)]
                 self.ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
                 self.words = self.words.take(pa.array(known))
-            self._learn(words.dictionary.filter(found.is_null()))
-            found = pc.index_in(words.dictionary, value_set=self.words)
+            at[rest] = len(self.words) + np.arange(found.null_count)
+            self._learn(words.dictionary.filter(new))
         after = np.asarray(split.offsets)[1:] - split.offsets[0].as_py()
-        codes = np.insert(found.to_numpy()[words.indices.to_numpy()], after, len(self.words))
+        codes = np.insert(at[words.indices.to_numpy()], after, len(self.words))
         starts = np.concatenate([self.ends[:-1], [self.ends[-1]]])
         sizes = np.concatenate([np.diff(self.ends), [len(end)]])[codes]
         ids = np.concatenate([self.ids, end])[_ranges(starts[codes], sizes)]
